@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, secrets
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.query,
+    "op9_secret_scans": secrets.query,
     "op10_mixing": mixing.query,
 }
 
 ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op9_secret_scans": secrets.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }
