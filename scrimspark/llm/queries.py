@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, secrets
+from . import byte_bpe, exact_dedup, mixing, quality, secrets, token_counts
 
 QUERIES = {
+    "op2_token_counts": token_counts.query,
+    "op3_quality_rules": quality.query,
     "op4_exact_dedup": exact_dedup.query,
+    "op5_byte_bpe": byte_bpe.query,
     "op9_secret_scans": secrets.query,
     "op10_mixing": mixing.query,
 }
