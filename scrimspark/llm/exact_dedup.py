@@ -15,24 +15,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop, keep, table, text_or_empty
+from .common import keep, table, text_or_empty
 
 #: A chunk ends after a vowel-like letter, a mark and white space, or where it reaches 4096 characters.
 CHUNK = r"(?s).{256,4096}?(?:[aeiouäöüéèst][.,;:]?[\n ](?=[\p{Lu}a-d])|\z)|.{4096}|.{1,256}\z"
 
 
-def chunk_ids(docs: DataFrame, hash_bits: int) -> tuple[DataFrame, DataFrame]:
-    """docs with `_hashes` (array of the chunks' hashes), and the chunks whose hash belongs to several chunks, with
-    their ordinal: (_hash, _chunk, _ordinal), usually empty."""
+def chunk_ids(docs: DataFrame, hash_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs with `_hashes` (array of the chunks' hashes), the hashes that belong to several chunks (usually none), and
+    those chunks with their ordinal: (_hash, _chunk, _ordinal)."""
     chunks = F.regexp_extract_all(text_or_empty(), F.lit(CHUNK), F.lit(0))
     mask = F.lit((1 << hash_bits) - 1 if hash_bits < 64 else -1)
     hashed = docs.withColumn("_chunks", chunks).withColumn("_hashes", F.transform("_chunks", lambda c: F.xxhash64(c).bitwiseAND(mask)))
     distinct = hashed.select(F.explode(F.arrays_zip("_hashes", "_chunks")).alias("c")).select(F.col("c._hashes").alias("_hash"), F.col("c._chunks").alias("_chunk")).distinct()
     # verified: a hash with one distinct chunk behind it identifies that chunk
-    shared = distinct.groupBy(F.col("_hash").alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    clashes = keep(distinct.join(shared, F.col("_hash") == F.col("_h"), "left_semi"), "dedup-clashes")
+    shared = keep(distinct.groupBy(F.col("_hash").alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "dedup-shared")
+    clashes = distinct.join(shared, F.col("_hash") == F.col("_h"), "left_semi")  # not run unless there is a shared hash
     ordinal = F.row_number().over(Window.partitionBy("_hash").orderBy("_chunk")) - 1
-    return hashed, clashes.withColumn("_ordinal", ordinal.cast("long"))
+    return hashed, shared, clashes.withColumn("_ordinal", ordinal.cast("long"))
 
 
 def exact_groups(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
@@ -42,11 +42,11 @@ def exact_groups(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     """
     for c in ("text_sha256", "keep_id", "group_size", "kept"):
         docs = docs.drop(c)
-    hashed, clashes = chunk_ids(docs.select("doc_id", "text"), hash_bits)
+    hashed, shared, clashes = chunk_ids(docs.select("doc_id", "text"), hash_bits)
     # the recipes are written once, so that row numbers hold whatever is recomputed
     row = F.monotonically_increasing_id()
     plain = hashed.select(row.alias("_row"), "doc_id", F.sha2(text_or_empty(), 256).alias("text_sha256"), F.length(text_or_empty()).alias("_length"), F.col("_hashes").alias("_recipe"))
-    if clashes.isEmpty():
+    if shared.isEmpty():
         recipes = keep(plain, "dedup-recipes")
     else:  # the documents that hold a clashing chunk get its ordinal into their lists
         numbered = hashed.withColumn("_row", row).withColumn("text_sha256", F.sha2(text_or_empty(), 256)).withColumn("_length", F.length(text_or_empty()))
