@@ -58,7 +58,9 @@ def exact_groups(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     key = ["_recipe", "_length"]
     last = F.max(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), "_row"))
     groups = recipes.groupBy(*key).agg(last.alias("_last"), F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id")).where("group_size > 1")
-    # a group of any size is a skewed key of this join, which adaptive execution splits by row; single texts don't join
+    # written, so that the join below has two plain exchanges (or a broadcast, by the measured size): a large group is a
+    # skewed key of that join, which adaptive execution then splits by row; single texts don't join
+    groups = keep(groups, "dedup-groups")
     out = recipes.join(groups, key, "left").select(
         "_row",
         "doc_id",
