@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -36,6 +37,12 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of finished steps now, not when the driver's heap happens to fill."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop(*kept: DataFrame) -> None:
     """Deletes what keep() wrote, once nothing reads it any more."""
     for df in kept:
