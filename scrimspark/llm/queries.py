@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, chat, exact_dedup, html_text, mixing, ngram_join, quality, secrets, token_counts
+import corpus_pipeline
+
+from . import byte_bpe, chat, exact_dedup, html_text, mixing, ngram_join, quality, secrets, substring_dedup, token_counts
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -10,10 +12,12 @@ QUERIES = {
     "op3_quality_rules": quality.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_byte_bpe": byte_bpe.query,
+    "op6_suffix_array_dedup": substring_dedup.query,
     "op7_ngram_jaccard_join": ngram_join.query,
     "op8_html_extraction": html_text.query,
     "op9_secret_scans": secrets.query,
     "op10_mixing": mixing.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
