@@ -21,8 +21,8 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are connected by similarities of 0.85 or more on 5-word shingles the smallest doc_id stays."""
-    return ngram_join.first_of_each(docs, percent=85, width=5).select(*COLUMNS)
+    """Of documents that are connected by similarities of 0.8 or more on 5-word shingles the smallest doc_id stays."""
+    return ngram_join.first_of_each(docs, percent=80, width=5).select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

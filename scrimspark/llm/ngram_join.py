@@ -239,7 +239,7 @@ def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFr
     return sizes.join(reps, ["d1", "d2", "n_shingles"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def first_of_each(docs: DataFrame, percent: int = 85, width: int = 5) -> DataFrame:
+def first_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """The rows of docs whose document is the smallest of its group."""
     groups = similar_groups(docs, percent, width)
     stay = groups.where(F.col("doc_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
