@@ -80,6 +80,8 @@ def with_views(*names: str, body: str) -> str:
         add(n)
     parts = [f"{n} AS ({re.sub(r'[{}]', '', VIEWS[n])})" for n in order]
     body = body.strip()
+    if not parts:
+        return body
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
     return "WITH " + ",\n".join(parts) + "\n" + body

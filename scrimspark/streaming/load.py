@@ -37,8 +37,8 @@ def start_match_load(spark: SparkSession, in_dir: str, tables_dir: str, checkpoi
         payloads = batch.where("matchID IS NOT NULL")
         # of payloads for one match in a batch the last page by date counts
         last = payloads.groupBy("matchID").agg(F.max_by(F.struct(*PAYLOAD.fieldNames()), F.coalesce("matchDate", F.lit(""))).alias("p")).select("p.*")
-        tables = load_tables(batch.sparkSession, current_version(batch.sparkSession, tables_dir))
-        publish(batch.sparkSession, tables_dir, load_match_payload(tables, last))
+        tables = load_tables(batch.sparkSession, current_version(batch.sparkSession, tables_dir), (*LOADED, "teams"))
+        publish(batch.sparkSession, tables_dir, tables | load_match_payload(tables, last))
 
     stream = spark.readStream.schema(PAYLOAD).json(in_dir)
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
