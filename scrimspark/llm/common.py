@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -38,9 +39,12 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 
 def tidy(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of finished steps now, not when the driver's heap happens to fill."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Lets Spark's cleaner delete the shuffle files of finished steps now, not when the driver's heap happens to fill.
+    It takes two rounds: what holds a shuffle is let go by the first."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def drop(*kept: DataFrame) -> None:

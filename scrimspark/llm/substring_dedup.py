@@ -264,16 +264,18 @@ def repeated_spans(docs: DataFrame, length: int = 100, many: int = MANY) -> Data
     spark = docs.sparkSession
     again = keep(runs(docs, length, False).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "substring-grams")
     tidy(spark)
-    found = keep(runs(docs, length, True).join(again, "gram").distinct(), "substring-runs")
+    found = keep(runs(docs, length, True).join(again, "gram"), "substring-runs")
     tidy(spark)
     firsts = keep(found.groupBy("gram", "run", "windows").agg(F.min(F.struct("id", "start")).alias("first")), "substring-firsts")
     later = found.join(firsts, ["gram", "run", "windows"]).where((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start")))
     later = later.select("id", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
     mixed = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", (F.col("n") > many).alias("many"))
     wanted = keep(firsts.join(mixed, "gram").select(F.col("first.id").alias("id"), F.col("first.start").alias("start"), "windows", "gram", "many"), "substring-wanted")
-    pieces = keep(pieces_of(docs, wanted, length).distinct(), "substring-pieces")
+    pieces = keep(pieces_of(docs, wanted, length), "substring-pieces")
     tidy(spark)
+    # rows that repeat a doc_id come twice up to here; the minimum makes them one, and equal spans are merged at the end
     heads = keep(pieces.groupBy("bucket", "bytes").agg(F.min(F.struct("id", "start")).alias("first")), "substring-heads")
+    tidy(spark)
     equal = pieces.join(heads, ["bucket", "bytes"]).where((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start")))
     equal = equal.select("id", "start", (F.col("start") + F.length("bytes")).alias("end"))
     several = heads.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
