@@ -10,8 +10,11 @@ slack; and a pair that links then shares several entries, which sorts out pairs
 
 Equal sets are joined by their digest and only their smallest doc_id goes on. In each entry's group all members are
 compared with one hub, the member that shares most with others, first each with its best hub; then, where a group still
-falls into several components, the members of different components are compared. So no link between components is lost,
-without comparing all pairs of a group of copies. Comparisons are exact on the sets (of 64-bit shingle hashes).
+falls into several components, the members of different components are compared, in blocks of bounded size. So no link
+between components is lost, without comparing all pairs of a group of copies. Each set also has a bitmap with the parity
+of its shingles in each of some buckets: two bitmaps differ in no more bits than the sets in shingles, so a pair whose
+bitmaps differ too much is out without a look at its texts. The pairs that are left are compared exactly, on their sets
+(of 64-bit shingle hashes).
 
 Nulls, ties, empty input: null and wordless texts have an empty set and link with nothing; repeated rows with one doc_id
 are one document; a null doc_id has a null component; an empty table gives an empty result. Only doc_id and text are read.
@@ -28,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, keep, mix64, table, text_or_empty
+from .common import drop, keep, mix64, table, text_or_empty, tidy
 from .components import components
 
 U64 = np.uint64
@@ -95,6 +98,10 @@ class Plan:
             return deletion, True
         return exact, False
 
+    def bits(self, n: int) -> int:
+        """Buckets of the bitmap: some sixteen for each shingle that may differ; twice as many with each band."""
+        return 64 * 2 ** max(0, self.band(n) + (16 * self.differ(self.least * 2 - 1)).bit_length() - 6)
+
     def bands(self, n: int) -> list[int]:
         """The band of n, and the one below if partners can lie there."""
         own = self.band(n)
@@ -131,8 +138,14 @@ class Plan:
         return np.unique(np.concatenate(found)), need
 
 
-def signatures(docs: DataFrame, percent: int, width: int, entries: bool) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, need) of docs (doc_id, text), or with ``entries`` (doc_id, entries)."""
+def parity(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap of ``bits`` (a power of two, 64 or more): for each bucket of the hash, the parity of its shingles."""
+    flips = np.bincount((shingles & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """(doc_id, n_shingles, d1, d2, need, bits, entries) of docs (doc_id, text)."""
     plan = Plan(percent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,16 +154,86 @@ def signatures(docs: DataFrame, percent: int, width: int, entries: bool) -> Data
             rows = []
             for text in b["text"]:
                 s = shingle_set(text or "", known, width)
-                if entries:
-                    rows.append((plan.entries(s)[0].view(np.int64),))
-                else:
-                    d1 = int(np.add.reduce(mix64(s), dtype=U64).astype(np.int64))
-                    d2 = int(np.add.reduce(mix64(s ^ U64(0x5851F42D4C957F2D)), dtype=U64).astype(np.int64))
-                    rows.append((len(s), d1, d2, plan.entries(s)[1]))
-            yield pd.concat([b[["doc_id"]].reset_index(drop=True), pd.DataFrame(rows, columns=["entries"] if entries else ["n_shingles", "d1", "d2", "need"])], axis=1)
+                d1 = int(np.add.reduce(mix64(s), dtype=U64).astype(np.int64))
+                d2 = int(np.add.reduce(mix64(s ^ U64(0x5851F42D4C957F2D)), dtype=U64).astype(np.int64))
+                entries, need = plan.entries(s)
+                bits = parity(s, plan.bits(len(s))) if len(s) >= plan.least else np.empty(0, dtype=np.int64)
+                rows.append((len(s), d1, d2, need, bits, entries.view(np.int64)))
+            yield pd.concat([b[["doc_id"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_shingles", "d1", "d2", "need", "bits", "entries"])], axis=1)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, " + ("entries array<bigint>" if entries else "n_shingles bigint, d1 bigint, d2 bigint, need int"))
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_shingles bigint, d1 bigint, d2 bigint, need int, bits array<bigint>, entries array<bigint>")
+
+
+def differing_bits(a: Column, b: Column) -> Column:
+    """Bits in which two bitmaps differ, the larger folded (its halves xored) to the size of the smaller. Bands are next
+    to each other, so one fold is enough."""
+
+    def folded(x: Column, other: Column) -> Column:
+        half = F.expr("int(0)") + (F.size(x) / 2).cast("int")
+        halves = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(x) > F.size(other), halves).otherwise(x)
+
+    return F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, n: t + n)
+
+
+def close_pairs(rows: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b) of rows (entry, members, doc_id, label, n, bits): pairs within an entry whose labels differ and whose sizes
+    and bitmaps allow a link. Groups of more than ``block`` are cut into blocks by a hash of the id, and each pair of
+    blocks is a task's work of its own, so a task holds two blocks at most; bitmaps are compared all at once."""
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+    spread = rows.select("entry", "doc_id", "label", "n", "bits", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    spread = spread.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    spread = spread.repartition("entry", "low", "high").sortWithinPartitions("entry", "low", "high")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def pairs_of(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        ids, labels, n = g["doc_id"].to_numpy(), g["label"].to_numpy(), g["n"].to_numpy()
+        order = np.argsort(n, kind="stable")
+        ids, labels, n = ids[order], labels[order], n[order]
+        own, low, high = g["own"].to_numpy()[order], g["low"].iloc[0], g["high"].iloc[0]
+        maps = [np.asarray(x, dtype=np.int64).view(U64) for x in g["bits"].to_numpy()[order]]
+        found_a, found_b = [], []
+        sizes = np.array([len(m) for m in maps])
+        for size in np.unique(sizes):  # the smaller set's bitmap size
+            rest = np.flatnonzero((sizes == size) | (sizes == 2 * size))
+            table = np.stack([m if len(m) == size else m[:size] ^ m[size:] for m in (maps[i] for i in rest)])
+            for k, i in enumerate(rest):
+                if sizes[i] != size:
+                    continue
+                top = np.searchsorted(n[rest], n[i] * 100 // percent, side="right")
+                js = np.arange(k + 1, top)
+                if low != high:
+                    js = js[own[rest[js]] != own[i]]
+                js = js[labels[rest[js]] != labels[i]]
+                if not len(js):
+                    continue
+                apart = np.bitwise_count(table[js] ^ table[k]).sum(axis=1)
+                js = rest[js[apart <= (100 - percent) * (n[i] + n[rest[js]]) // (100 + percent)]]
+                found_a.append(np.minimum(ids[i], ids[js]))
+                found_b.append(np.maximum(ids[i], ids[js]))
+        none = ids[:0]
+        return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for b in batches:
+            held = b if held is None else pd.concat([held, b], ignore_index=True)
+            keys = held[["entry", "low", "high"]].to_numpy()
+            ends = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            at = 0
+            for e in ends:
+                x, y = pairs_of(held.iloc[at:e])
+                if len(x):
+                    yield pd.DataFrame({"a": x, "b": y})
+                at = e
+            held = held.iloc[at:].reset_index(drop=True)
+        if held is not None and len(held):
+            x, y = pairs_of(held)
+            yield pd.DataFrame({"a": x, "b": y})
+
+    return spread.mapInPandas(run, f"a {kind}, b {kind}")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -180,18 +263,21 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     return pairs.select("a", "b").join(right, "b").join(left, "a").mapInPandas(run, pairs.select("a", "b").schema)
 
 
-def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame:
+def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4, block: int = 2048) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text)."""
     docs = docs.select("doc_id", text_or_empty().alias("text"))
-    sizes = keep(signatures(docs, percent, width, entries=False), "join-sizes")
+    spark = docs.sparkSession
+    sizes = keep(signatures(docs, percent, width), "join-sizes")
     # equal sets: the smallest doc_id stands for them all
-    same = keep(sizes.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node"), F.min("need").alias("need")), "join-nodes")
-    nodes = same.select(F.col("node").alias("doc_id"), "n_shingles", "need")
+    same = sizes.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node"), F.min("need").alias("need"), F.first("bits").alias("bits"))
+    same = keep(same, "join-nodes")
+    nodes = same.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "need", "bits")
 
-    index = signatures(docs, percent, width, entries=True).select("doc_id", F.explode("entries").alias("entry"))
+    index = sizes.select("doc_id", F.explode("entries").alias("entry"))
     shared = index.groupBy("entry").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("entry")
-    shared = index.join(shared, "entry").join(nodes.select("doc_id"), "doc_id", "left_semi").distinct()
+    shared = index.join(shared, "entry").join(nodes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").distinct()
     shared = keep(shared, "join-shared")
+    tidy(spark)
     live = shared.groupBy("entry").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     index = keep(shared.join(live, "entry"), "join-index")
     drop(shared)
@@ -202,16 +288,15 @@ def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFr
     stars = index.join(hubs, "entry").where(F.col("doc_id") != F.col("hub")).groupBy("doc_id", "hub").agg(F.count(F.lit(1)).alias("support"))
     stars = keep(stars.select(F.col("doc_id").alias("a"), F.col("hub").alias("b"), "support"), "join-stars")
     texts = keep(docs.join(index.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "join-texts")
+    tidy(spark)
 
-    sized = nodes.select(F.col("doc_id").alias("_id"), F.col("n_shingles").alias("_n"), F.col("need").alias("_need"))
-
-    def fitting(pairs: DataFrame, support: Column | None = None) -> DataFrame:
-        """Pairs whose sizes allow a link and that share as many entries as the smaller set asks for."""
-        rows = pairs.join(sized.toDF("a", "na", "needa"), "a").join(sized.toDF("b", "nb", "needb"), "b")
+    def fitting(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes and bitmaps allow a link."""
+        rows = pairs.join(nodes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bitsa")), "a")
+        rows = rows.join(nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bitsb")), "b")
         rows = rows.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        if support is not None:
-            rows = rows.where(support >= F.when(F.col("na") <= F.col("nb"), F.col("needa")).otherwise(F.col("needb")))
-        return rows
+        most = F.floor((100 - percent) * (F.col("na") + F.col("nb")) / (100 + percent))
+        return rows.where(differing_bits(F.col("bitsa"), F.col("bitsb")) <= most).select("a", "b")
 
     def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs whose ends are not connected yet."""
@@ -225,14 +310,16 @@ def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFr
     links = links.unionByName(more)
     labels = components(links)
 
-    named = index.join(labels.toDF("doc_id", "label"), "doc_id", "left").select("entry", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+    named = index.join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     split = named.groupBy("entry").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high").select("entry")
-    named = keep(named.join(split, "entry"), "join-open")
-    across = named.toDF("entry", "a", "la").join(named.toDF("entry", "b", "lb"), "entry").where("la < lb")
-    across = across.groupBy("a", "b").agg(F.count(F.lit(1)).alias("support"))
-    last = keep(verified(fitting(across, F.col("support")), texts, percent, width), "join-links")
+    wide = nodes.select(F.col("id").alias("doc_id"), "n", "need", "bits")
+    named = named.join(split, "entry").join(wide, "doc_id").select("entry", "members", "doc_id", "label", "n", "bits")
+    across = close_pairs(named, percent, block).distinct()
+    last = keep(verified(across, texts, percent, width), "join-links")
     if not last.isEmpty():
         labels = components(links.unionByName(last))
+    drop(index, stars, texts)
+    tidy(spark)
 
     reps = same.join(labels.toDF("node", "label"), "node", "left").select("d1", "d2", "n_shingles", F.coalesce("label", "node").alias("component_id"))
     reps = keep(reps, "join-components")
