@@ -21,7 +21,7 @@ from .plans.adapters import view, with_views
 from .schemas import PAYLOAD, TABLES
 from .sources import frames as S
 from .sources.scratch import scratch
-from .streaming.load import current_version, publish, start_match_load
+from .streaming.load import current_tables, publish, start_match_load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -632,7 +632,7 @@ def s6_incremental_match_load(v, spark, d):
     SP.payload_json(spark, d).write.text(inbox)
     for _ in range(2):
         start_match_load(spark, inbox, root, marks).awaitTermination()
-    return sizes(S.load_tables(spark, current_version(spark, root), tuple(FILLED)))
+    return sizes(current_tables(spark, root))
 
 
 ORACLE_SQL["s6_incremental_match_load"] = ORACLE_SQL["w16_load_match_payload"]

@@ -10,23 +10,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.warehouse import load_match_payload
 from ..schemas import PAYLOAD, TABLES
-from ..sources.frames import load_tables
 
-LOADED = ("matches", "match_veto", "match_maps", "players", "match_players", "player_stats")
 
+def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables' current versions: the pointer file below root has a line for each table and its folder."""
+    lines = [r.value.split("\t") for r in spark.read.text(f"{root}/current").collect()]
+    return {name: spark.read.schema(TABLES[name]).parquet(f"{root}/{folder}") for name, folder in lines}
 
-def current_version(spark: SparkSession, root: str) -> str:
-    """The folder of the tables' current version: what the pointer file below root names."""
-    return f"{root}/{spark.read.text(f'{root}/current').head()[0]}"
 
-
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
-    """Writes a whole new version and then moves the pointer, so readers see all of it or none."""
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], unchanged: dict[str, str] | None = None) -> None:
+    """Writes the tables into new folders and then the pointer to them and to the unchanged ones, so that readers see all
+    of the new versions or none."""
     version = f"v-{uuid.uuid4().hex}"
     for name, df in tables.items():
         df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name]]).write.parquet(f"{root}/{version}/{name}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
-    return version
+    folders = (unchanged or {}) | {name: f"{version}/{name}" for name in tables}
+    spark.createDataFrame([(f"{n}\t{f}",) for n, f in sorted(folders.items())], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
 
 
 def start_match_load(spark: SparkSession, in_dir: str, tables_dir: str, checkpoint: str) -> StreamingQuery:
@@ -34,11 +33,15 @@ def start_match_load(spark: SparkSession, in_dir: str, tables_dir: str, checkpoi
     tables hold already, so a batch that is run again after a failure adds nothing twice."""
 
     def load(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
         payloads = batch.where("matchID IS NOT NULL")
         # of payloads for one match in a batch the last page by date counts
         last = payloads.groupBy("matchID").agg(F.max_by(F.struct(*PAYLOAD.fieldNames()), F.coalesce("matchDate", F.lit(""))).alias("p")).select("p.*")
-        tables = load_tables(batch.sparkSession, current_version(batch.sparkSession, tables_dir), (*LOADED, "teams"))
-        publish(batch.sparkSession, tables_dir, tables | load_match_payload(tables, last))
+        tables = current_tables(session, tables_dir)
+        loaded = load_match_payload(tables, last)
+        changed = {n: df for n, df in loaded.items() if df is not tables[n]}
+        folders = dict(r.value.split("\t") for r in session.read.text(f"{tables_dir}/current").collect())
+        publish(session, tables_dir, changed, folders)
 
     stream = spark.readStream.schema(PAYLOAD).json(in_dir)
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
