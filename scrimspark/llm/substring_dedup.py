@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -262,26 +262,39 @@ def in_buckets(pieces: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = 100, many: int = MANY) -> DataFrame:
     """(id, spans) of docs (id, text): array of struct(start, end) in bytes, by start; they may overlap."""
     spark = docs.sparkSession
+
+    def after(first: str) -> Column:
+        return (F.col("id") != F.col(f"{first}.id")) | (F.col("start") != F.col(f"{first}.start"))
+
+    # each step is written and what it read is deleted, so the steps' files and shuffles don't add up on disk; rows that
+    # repeat a doc_id come twice up to the minima, which make them one, and equal spans are merged at the end
     again = keep(runs(docs, length, False).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "substring-grams")
     tidy(spark)
     found = keep(runs(docs, length, True).join(again, "gram"), "substring-runs")
+    drop(again)
     tidy(spark)
     firsts = keep(found.groupBy("gram", "run", "windows").agg(F.min(F.struct("id", "start")).alias("first")), "substring-firsts")
-    later = found.join(firsts, ["gram", "run", "windows"]).where((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start")))
-    later = later.select("id", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
+    later = found.join(firsts, ["gram", "run", "windows"]).where(after("first"))
+    later = keep(later.select("id", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end")), "substring-later")
+    drop(found)
+    tidy(spark)
     mixed = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", (F.col("n") > many).alias("many"))
     wanted = keep(firsts.join(mixed, "gram").select(F.col("first.id").alias("id"), F.col("first.start").alias("start"), "windows", "gram", "many"), "substring-wanted")
+    drop(firsts)
     pieces = keep(pieces_of(docs, wanted, length), "substring-pieces")
+    drop(wanted)
     tidy(spark)
-    # rows that repeat a doc_id come twice up to here; the minimum makes them one, and equal spans are merged at the end
     heads = keep(pieces.groupBy("bucket", "bytes").agg(F.min(F.struct("id", "start")).alias("first")), "substring-heads")
     tidy(spark)
-    equal = pieces.join(heads, ["bucket", "bytes"]).where((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start")))
-    equal = equal.select("id", "start", (F.col("start") + F.length("bytes")).alias("end"))
+    equal = pieces.join(heads, ["bucket", "bytes"]).where(after("first"))
+    equal = keep(equal.select("id", "start", (F.col("start") + F.length("bytes")).alias("end")), "substring-equal")
+    drop(pieces)
+    tidy(spark)
     several = heads.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    deep = in_buckets(heads.join(several, "bucket").select("bucket", "bytes", "first.id", "first.start"), length)
+    deep = keep(in_buckets(heads.join(several, "bucket").select("bucket", "bytes", "first.id", "first.start"), length), "substring-deep")
+    drop(heads)
     spans = keep(later.unionByName(equal).unionByName(deep).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")), "substring-spans")
-    drop(again, found, firsts, wanted, pieces, heads)
+    drop(later, equal, deep)
     tidy(spark)
     return spans
 
