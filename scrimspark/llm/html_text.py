@@ -130,15 +130,15 @@ class Grid:
                 at += span
         out = []
         for row in self.rows:
-            for i in range(max((len(c) for c, _ in row), default=0)):
+            if not any(x for c, _ in row for x in c):
+                continue
+            for i in range(max(len(c) for c, _ in row)):
                 line, at = [], 0
                 for cell, span in row:
                     width = sum(widths[at : at + span]) + 2 * (span - 1)
                     line.append((cell[i] if i < len(cell) else "").ljust(width))
                     at += span
-                line = "  ".join(line).rstrip()
-                if line:
-                    out.append(line)
+                out.append("  ".join(line).rstrip())
         return out
 
 
