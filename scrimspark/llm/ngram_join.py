@@ -22,6 +22,7 @@ are one document; a null doc_id has a null component; an empty table gives an em
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -188,13 +189,25 @@ def close_pairs(rows: DataFrame, percent: int, block: int) -> DataFrame:
     spread = spread.repartition("entry", "low", "high").sortWithinPartitions("entry", "low", "high")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def pairs_of(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        ids, labels, n = g["doc_id"].to_numpy(), g["label"].to_numpy(), g["n"].to_numpy()
+    def few(ids: list, labels: list, n: list, own: list, maps: list[bytes], one_block: bool, out: list[tuple]) -> None:
+        numbers = [int.from_bytes(m, "little") for m in maps]
+        for i in range(len(ids)):
+            for j in range(i):
+                if labels[i] == labels[j] or not one_block and own[i] == own[j]:
+                    continue
+                s, t = (i, j) if n[i] <= n[j] else (j, i)
+                if n[s] * 100 < n[t] * percent:
+                    continue
+                x, y, bits = numbers[s], numbers[t], len(maps[s]) * 8
+                if len(maps[t]) * 8 > bits:
+                    y = (y >> bits) ^ (y & ((1 << bits) - 1))
+                if (x ^ y).bit_count() <= (100 - percent) * (n[i] + n[j]) // (100 + percent):
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+
+    def many(ids: np.ndarray, labels: np.ndarray, n: np.ndarray, own: np.ndarray, maps: list[bytes], one_block: bool, out: list[tuple]) -> None:
         order = np.argsort(n, kind="stable")
-        ids, labels, n = ids[order], labels[order], n[order]
-        own, low, high = g["own"].to_numpy()[order], g["low"].iloc[0], g["high"].iloc[0]
-        maps = [np.asarray(x, dtype=np.int64).view(U64) for x in g["bits"].to_numpy()[order]]
-        found_a, found_b = [], []
+        ids, labels, n, own = ids[order], labels[order], n[order], own[order]
+        maps = [np.frombuffer(maps[i], dtype=U64) for i in order]
         sizes = np.array([len(m) for m in maps])
         for size in np.unique(sizes):  # the smaller set's bitmap size
             rest = np.flatnonzero((sizes == size) | (sizes == 2 * size))
@@ -202,36 +215,40 @@ def close_pairs(rows: DataFrame, percent: int, block: int) -> DataFrame:
             for k, i in enumerate(rest):
                 if sizes[i] != size:
                     continue
-                top = np.searchsorted(n[rest], n[i] * 100 // percent, side="right")
-                js = np.arange(k + 1, top)
-                if low != high:
-                    js = js[own[rest[js]] != own[i]]
+                js = np.arange(k + 1, np.searchsorted(n[rest], n[i] * 100 // percent, side="right"))
                 js = js[labels[rest[js]] != labels[i]]
-                if not len(js):
-                    continue
-                apart = np.bitwise_count(table[js] ^ table[k]).sum(axis=1)
-                js = rest[js[apart <= (100 - percent) * (n[i] + n[rest[js]]) // (100 + percent)]]
-                found_a.append(np.minimum(ids[i], ids[js]))
-                found_b.append(np.maximum(ids[i], ids[js]))
-        none = ids[:0]
-        return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+                if not one_block:
+                    js = js[own[rest[js]] != own[i]]
+                if len(js):
+                    apart = np.bitwise_count(table[js] ^ table[k]).sum(axis=1)
+                    js = rest[js[apart <= (100 - percent) * (n[i] + n[rest[js]]) // (100 + percent)]]
+                    out.extend((min(ids[i], x), max(ids[i], x)) for x in ids[js])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
-        for b in batches:
-            held = b if held is None else pd.concat([held, b], ignore_index=True)
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                held = b if held is None else pd.concat([held, b], ignore_index=True)
+            if held is None or not len(held):
+                continue
             keys = held[["entry", "low", "high"]].to_numpy()
-            ends = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            at = 0
+            ends = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+            if b is None:
+                ends.append(len(held))  # before the end the last group may go on
+            columns = [held[c].to_numpy() for c in ("doc_id", "label", "n", "own")]
+            lists = [c.tolist() for c in columns]
+            maps = [np.asarray(x, dtype=np.int64).tobytes() for x in held["bits"]]
+            at, out = 0, []
             for e in ends:
-                x, y = pairs_of(held.iloc[at:e])
-                if len(x):
-                    yield pd.DataFrame({"a": x, "b": y})
+                one_block = keys[at, 1] == keys[at, 2]
+                if e - at <= 24:
+                    few(*[x[at:e] for x in lists], maps[at:e], one_block, out)
+                else:
+                    many(*[c[at:e] for c in columns], maps[at:e], one_block, out)
                 at = e
+            if out:
+                yield pd.DataFrame(sorted(set(out)), columns=["a", "b"])
             held = held.iloc[at:].reset_index(drop=True)
-        if held is not None and len(held):
-            x, y = pairs_of(held)
-            yield pd.DataFrame({"a": x, "b": y})
 
     return spread.mapInPandas(run, f"a {kind}, b {kind}")
 
