@@ -189,7 +189,7 @@ def test_secrets_equal_brute_force(spark):
 
 def test_redaction(spark):
     rows = {r.doc_id: r.text for r in secrets.redact(documents(spark, SECRETS[:3])).collect()}
-    assert rows[0] == "[secret] PassWd:abc [secret] api_key: x secret\t=y" and "deadbeef" not in rows[2]
+    assert rows[0] == "[secret]' PassWd:abc [secret] api_key: x secret\t=y" and "deadbeef" not in rows[2]
 
 
 @pytest.mark.parametrize("rule", secrets.RULES, ids=lambda r: r.kind)
