@@ -295,14 +295,20 @@ def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4, block: in
     shared = index.join(shared, "entry").join(nodes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").distinct()
     shared = keep(shared, "join-shared")
     tidy(spark)
-    live = shared.groupBy("entry").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # entries with the same members give the same pairs: of those one stands for all, and ``times`` counts them
+    mark = [F.bit_xor(F.xxhash64("doc_id")).alias("x1"), F.bit_xor(F.xxhash64("doc_id", F.lit(7))).alias("x2")]
+    live = shared.groupBy("entry").agg(F.count(F.lit(1)).alias("members"), *mark).where("members > 1")
+    live = live.groupBy("members", "x1", "x2").agg(F.min("entry").alias("entry"), F.count(F.lit(1)).alias("times")).select("entry", "members", "times")
     index = keep(shared.join(live, "entry"), "join-index")
-    drop(shared)
+    whole = sizes
+    sizes = keep(whole.select("doc_id", "n_shingles", "d1", "d2"), "join-sizes")
+    drop(shared, whole)
+    tidy(spark)
 
-    weight = index.groupBy("doc_id").agg(F.sum("members").alias("weight"))
+    weight = index.groupBy("doc_id").agg(F.sum(F.col("members") * F.col("times")).alias("weight"))
     weighed = index.join(weight, "doc_id")
     hubs = weighed.groupBy("entry").agg(F.max(F.struct("weight", "doc_id"))["doc_id"].alias("hub"))
-    stars = index.join(hubs, "entry").where(F.col("doc_id") != F.col("hub")).groupBy("doc_id", "hub").agg(F.count(F.lit(1)).alias("support"))
+    stars = index.join(hubs, "entry").where(F.col("doc_id") != F.col("hub")).groupBy("doc_id", "hub").agg(F.sum("times").alias("support"))
     stars = keep(stars.select(F.col("doc_id").alias("a"), F.col("hub").alias("b"), "support"), "join-stars")
     texts = keep(docs.join(index.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "join-texts")
     tidy(spark)
