@@ -32,8 +32,8 @@ GRAM = 16
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bytes that are hashed at once.
 SLAB = 1 << 20
-#: A gram with more different runs than this is cut finer.
-MANY = 512
+#: A gram with more different runs than this is cut finer; so many runs are some 600 KB.
+MANY = 4096
 #: Windows to a piece of such a gram.
 FINE = 4
 #: Bytes of one suffix array, about.
@@ -127,18 +127,23 @@ def runs(docs: DataFrame, length: int, located: bool) -> DataFrame:
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Prefix doubling; symbols hold a unique separator after each string, so it ends once the longest is told apart."""
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-    n, step = len(rank), 1
+    n, step = len(symbols), 1
+    both = symbols
+    if symbols.max() < 2**15 - 1:  # few enough separators to take four symbols at once to begin with
+        wide = np.zeros(n + 3, dtype=np.int64)
+        wide[:n] = symbols + 1
+        both, step = (wide[:n] << 48) | (wide[1 : n + 1] << 32) | (wide[2 : n + 2] << 16) | wide[3:], 4
+    rank = np.empty(n, dtype=np.int64)
     while True:
-        after = np.zeros(n, dtype=np.int64)
-        after[: n - step] = rank[step:] + 1
-        both = rank * (n + 1) + after
         order = np.argsort(both, kind="stable")
         sorted_ = both[order]
         new = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
         rank[order] = new
-        if new[-1] == n - 1 or step >= n:
+        if new[-1] == n - 1:
             return order
+        after = np.zeros(n, dtype=np.int64)
+        after[: max(0, n - step)] = rank[step:] + 1
+        both = rank * (n + 1) + after
         step *= 2
 
 
@@ -162,18 +167,19 @@ def shared_prefixes(texts: list[bytes], length: int) -> tuple[np.ndarray, np.nda
     # value 0: rows that start with another symbol than the row before
     found = np.zeros(n, dtype=bool)
     found[extension[before < 0]] = True
-    open_ = np.flatnonzero(before >= 0)
+    here = np.flatnonzero(before >= 0).astype(np.int32)  # rows whose extension has no value yet
+    there, leads = before[here].astype(np.int32), extension[here].astype(np.int32)
     fresh = found.copy()
     for _ in range(1, length):
-        if not len(open_) or not fresh.any():
+        upto = np.cumsum(fresh, dtype=np.int32)
+        if not len(here) or not upto[-1]:
             break
-        upto = np.cumsum(fresh)
-        hit = upto[open_] > upto[before[open_]]
-        rows = extension[open_[hit]]
+        hit = upto[here] > upto[there]
+        rows = leads[hit]
         fresh = np.zeros(n, dtype=bool)
         fresh[rows] = True
         found[rows] = True
-        open_ = open_[~hit]
+        here, there, leads = here[~hit], there[~hit], leads[~hit]
     shared = ~found
     shared[0] = False
     return order, shared
