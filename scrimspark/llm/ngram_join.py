@@ -166,14 +166,18 @@ def signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_shingles bigint, d1 bigint, d2 bigint, need int, bits array<bigint>, entries array<bigint>")
 
 
+def halved(bits: Column) -> Column:
+    """A bitmap's halves xored: the bitmap of half as many buckets. One word stays as it is."""
+    half = (F.size(bits) / 2).cast("int")
+    return F.when(F.size(bits) > 1, F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(bits)
+
+
 def differing_bits(a: Column, b: Column) -> Column:
     """Bits in which two bitmaps differ, the larger folded (its halves xored) to the size of the smaller. Bands are next
     to each other, so one fold is enough."""
 
     def folded(x: Column, other: Column) -> Column:
-        half = F.expr("int(0)") + (F.size(x) / 2).cast("int")
-        halves = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
-        return F.when(F.size(x) > F.size(other), halves).otherwise(x)
+        return F.when(F.size(x) > F.size(other), halved(x)).otherwise(x)
 
     return F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, n: t + n)
 
@@ -328,20 +332,24 @@ def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4, block: in
 
     best = stars.groupBy("a").agg(F.max(F.struct("support", "b"))["b"].alias("b"))
     links = keep(verified(fitting(best), texts, percent, width), "join-links")
+    tidy(spark)
     labels = components(links)
     more = keep(verified(fitting(apart(stars, labels)), texts, percent, width), "join-links")
     links = links.unionByName(more)
+    tidy(spark)
     labels = components(links)
 
     named = index.join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     split = named.groupBy("entry").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high").select("entry")
-    wide = nodes.select(F.col("id").alias("doc_id"), "n", "need", "bits")
+    # an entry's rows carry a quarter of the bitmap; pairs that it lets through are then held against the whole
+    wide = nodes.select(F.col("id").alias("doc_id"), "n", halved(halved(F.col("bits"))).alias("bits"))
     named = named.join(split, "entry").join(wide, "doc_id").select("entry", "members", "doc_id", "label", "n", "bits")
-    across = close_pairs(named, percent, block).distinct()
-    last = keep(verified(across, texts, percent, width), "join-links")
+    across = keep(close_pairs(named, percent, block).distinct(), "join-across")
+    tidy(spark)
+    last = keep(verified(fitting(across), texts, percent, width), "join-links")
     if not last.isEmpty():
         labels = components(links.unionByName(last))
-    drop(index, stars, texts)
+    drop(index, stars, texts, across)
     tidy(spark)
 
     reps = same.join(labels.toDF("node", "label"), "node", "left").select("d1", "d2", "n_shingles", F.coalesce("label", "node").alias("component_id"))
