@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 KEY = ["match_id", "map_name"]
 
 # Names of recorded properties and events.
@@ -185,8 +187,7 @@ def map_bounds(positions: DataFrame) -> DataFrame:
 
 def downsample_positions(positions: DataFrame, n: int = 5, order: tuple[str, ...] = ("tick", "steamid")) -> DataFrame:
     """Every n-th position of a map from the first, in the given order."""
-    place = F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))
-    return positions.withColumn("_n", place).where((F.col("_n") - 1) % n == 0).drop("_n")
+    return numbered(positions, "_n", list(order), KEY).where((F.col("_n") - 1) % n == 0).drop("_n")
 
 
 def floor_slices(positions: DataFrame, floor_height: float = 150, min_points: int = 100) -> DataFrame:

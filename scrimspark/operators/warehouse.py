@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lookups import PICK, RECORDED_MAP_IDS, REMAINING, lookup
+from .numbering import numbered
 
 
 def with_ids(new: DataFrame, old: DataFrame, id_col: str, order: list[str]) -> DataFrame:
-    """New rows numbered on from old's largest id. The numbering sorts the new rows only."""
+    """New rows numbered on from old's largest id. The numbering sorts the new rows only, in ranges."""
     top = old.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
-    number = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order]))
     kind = old.schema[id_col].dataType
-    return new.crossJoin(F.broadcast(top)).withColumn(id_col, (F.col("_top") + number).cast(kind)).drop("_top")
+    return numbered(new, "_number", order).crossJoin(F.broadcast(top)).withColumn(id_col, (F.col("_top") + F.col("_number")).cast(kind)).drop("_top", "_number")
 
 
 def appended(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from scrimspark.operators import warehouse as W
+from scrimspark.operators.numbering import numbered
 from scrimspark.schemas import PAYLOAD, TABLES
 from scrimspark.streaming.load import current_tables, publish, start_match_load
 
@@ -117,3 +119,18 @@ def test_stream_loads_once(spark, tables, tmp_path):
         start_match_load(spark, str(inbox), root, str(tmp_path / "marks")).awaitTermination()
     loaded = current_tables(spark, root)
     assert counts(loaded)["player_stats"] == 3 and counts(loaded)["teams"] == 2
+
+
+def test_numbering_in_ranges(spark):
+    """Numbers follow the order within keys, null ones too, and no window deals all rows to one task."""
+    rows = spark.range(5000).selectExpr("id", "nullif(id % 3, 0) AS k", "nullif(hash(id), hash(7L)) AS o").repartition(7)
+    want = {}
+    for k in (None, 1, 2):
+        own = sorted((r for r in rows.collect() if r.k == k), key=lambda r: (r.o is not None, r.o or 0))
+        want |= {r.id: i + 1 for i, r in enumerate(own)}
+    assert {r.id: r.n for r in numbered(rows, "n", ["o"], ["k"]).collect()} == want
+    old = spark.createDataFrame([(40, 0)], "new_id int, o int")
+    out = W.with_ids(rows, old, "new_id", ["o"])
+    assert [r.new_id for r in out.orderBy(F.col("o").asc_nulls_first()).collect()] == list(range(41, 5041))
+    assert "row_number" not in out._jdf.queryExecution().toString()
+    assert numbered(rows.limit(0), "n", ["o"]).count() == 0
