@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .adapters import view
 
 
+#: Records on a listing page, at most: pages grow in number with the tables, not in size.
+PER_PAGE = 25
+
+
 def joined(parts: Column) -> Column:
     """Pieces (rows struct(order, html)) of a group as one text."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(parts)), lambda p: p["html"]), "\n")
@@ -22,6 +26,7 @@ def ranking_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_pages(spark: SparkSession, d: str) -> DataFrame:
+    """(page_id, page_no, html): event_id modulo 40, in pages of PER_PAGE events."""
     rows = view(spark, d, "tournaments")
     ms = (F.unix_seconds(F.col("start_date").cast("timestamp")) * 1000).cast("string")
     html = F.concat(
@@ -30,7 +35,8 @@ def event_pages(spark: SparkSession, d: str) -> DataFrame:
         F.lit('</td><td class="gtSmartphone-only">Online</td></tr><tr class="eventDetails"><td><span class="col-desc">Town'), (F.col("event_id") % 9).cast("string"), F.lit(" | </span>"),
         F.when(F.col("event_id") % 5 != 0, F.concat(F.lit('<span data-unix="'), ms, F.lit('">x</span>'))).otherwise(F.lit("")), F.lit("</td></tr></table></a>"),
     )
-    return rows.groupBy((F.col("event_id") % 40).alias("page_id")).agg(joined(F.struct("event_id", html.alias("html"))).alias("html"))
+    page_no = F.floor(F.col("event_id") / (40 * PER_PAGE)).alias("page_no")
+    return rows.groupBy((F.col("event_id") % 40).alias("page_id"), page_no).agg(joined(F.struct("event_id", html.alias("html"))).alias("html"))
 
 
 def event_team_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -47,12 +53,14 @@ def named_matches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def result_pages(spark: SparkSession, d: str) -> DataFrame:
+    """(page_id, page_no, html): the matches of an event (match_id modulo 500), in pages of PER_PAGE at most."""
     length = F.when(F.col("match_id") % 3 == 0, "bo3").when(F.col("match_id") % 3 == 1, "BO5").otherwise("nuke")
     html = F.concat(
         F.lit('<div class="result-con"><a class="a-reset" href="/matches/'), F.col("match_id").cast("string"), F.lit('"><div class="team1"><span class="team">'), "team1",
         F.lit('</span></div><div class="team2"><span class="team">'), "team2", F.lit('</span></div><span class="map-text">'), length, F.lit("</span></a></div>"),
     )
-    return named_matches(spark, d).groupBy(F.col("event_id").cast("long").alias("page_id")).agg(joined(F.struct("match_id", html.alias("html"))).alias("html"))
+    page_no = F.floor(F.col("match_id") / (500 * PER_PAGE)).alias("page_no")
+    return named_matches(spark, d).groupBy(F.col("event_id").cast("long").alias("page_id"), page_no).agg(joined(F.struct("match_id", html.alias("html"))).alias("html"))
 
 
 def match_pages(spark: SparkSession, d: str) -> DataFrame:

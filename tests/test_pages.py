@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from scrimspark.functions.dom import parse
 from scrimspark.operators import pages as P
+from scrimspark.plans import sample_pages as SP
+from scrimspark.plans.adapters import view
 
 VETO = """<div class="veto-box"><div class="padding preformatted-text"><div>1. A removed Nuke</div></div></div>
 <div class="veto-box"><div class="padding"><div>2. Team  B
@@ -60,3 +62,10 @@ def test_selectors():
     assert [n.text() for n in page.select(".a p, p.a")] == ["12", "3"]
     assert page.first("div.a > b") is None and page.first("p > b").text() == "2"
     assert page.first("#x").text(" ") == "1 2"
+
+
+def test_listing_pages_hold_a_bounded_number_of_records(spark):
+    d = "/root/testdata/sf0.01"
+    for made, mark, whole in ((SP.event_pages, "small-event", view(spark, d, "tournaments")), (SP.result_pages, "result-con", view(spark, d, "matches"))):
+        sizes = [r.html.count(mark) for r in made(spark, d).select("html").collect()]
+        assert max(sizes) <= 25 and sum(sizes) == whole.count()
