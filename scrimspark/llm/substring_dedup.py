@@ -11,8 +11,9 @@ breadth-first backward extension finds the common prefixes of neighbouring suffi
 grows with the number of copies.
 
 Strings are judged on the input, whole and as bytes; matches never cross documents. Nulls, ties, empty input: a null text
-counts as empty; a null doc_id comes before all others; rows that share a doc_id are one document (they get the same
-spans); an empty table gives an empty result. Input columns named like an output column are replaced.
+counts as empty; a null doc_id comes before all others; rows that share a doc_id and the text are one document (they get
+the same spans); rows that share a doc_id, or have none, with different texts are documents of their own, in the order of
+a hash of the text; an empty table gives an empty result. Input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -109,18 +110,18 @@ def slabs(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def runs(docs: DataFrame, length: int, located: bool) -> DataFrame:
-    """The runs of docs (id, text): the gram alone, or with run, id, start, windows."""
-    names = ["gram", "run", "id", "start", "windows"] if located else ["gram"]
-    types = {"gram": "bigint", "run": "bigint", "id": docs.schema["id"].dataType.simpleString(), "start": "bigint", "windows": "int"}
+    """The runs of docs (id, _sub, text): the gram alone, or with run, id, sub, start, windows."""
+    names = ["gram", "run", "id", "_sub", "start", "windows"] if located else ["gram"]
+    types = {"gram": "bigint", "run": "bigint", "id": docs.schema["id"].dataType.simpleString(), "_sub": "bigint", "start": "bigint", "windows": "int"}
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids = b["id"].to_numpy()
+            ids, subs = b["id"].to_numpy(), b["_sub"].to_numpy()
             for text, start, windows, gram, h in slabs([t.encode() for t in b["text"]], length):
                 if not located:
                     yield pd.DataFrame({"gram": gram})
                 else:
-                    yield pd.DataFrame({"gram": gram, "run": h, "id": ids[text], "start": start, "windows": windows.astype(np.int32)})
+                    yield pd.DataFrame({"gram": gram, "run": h, "id": ids[text], "_sub": subs[text], "start": start, "windows": windows.astype(np.int32)})
 
     return docs.mapInPandas(find, ", ".join(f"{n} {types[n]}" for n in names))
 
@@ -185,11 +186,11 @@ def shared_prefixes(texts: list[bytes], length: int) -> tuple[np.ndarray, np.nda
     return order, shared
 
 
-def repeats_in(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, length: int) -> pd.DataFrame:
-    """Spans (id, start, end) of the windows of texts that a text's window with an earlier (id, start) equals."""
+def repeats_in(texts: list[bytes], ids: np.ndarray, subs: np.ndarray, starts: np.ndarray, length: int) -> pd.DataFrame:
+    """Spans (id, _sub, start, end) of the windows of texts that a text's window with an earlier (id, _sub, start) equals."""
     order, shared = shared_prefixes(texts, length)
     if not shared.any():
-        return pd.DataFrame({"id": ids[:0], "start": starts[:0], "end": starts[:0]})
+        return pd.DataFrame({"id": ids[:0], "_sub": subs[:0], "start": starts[:0], "end": starts[:0]})
     sizes = np.array([len(t) + 1 for t in texts])
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     group = np.cumsum(~shared)
@@ -197,33 +198,33 @@ def repeats_in(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, length:
     at, group = order[rows], group[rows]
     text = np.searchsorted(begins, at, side="right") - 1
     place = starts[text] + at - begins[text]
-    by = np.lexsort((place, ids[text], group))
+    by = np.lexsort((place, subs[text], ids[text], group))
     later = by[1:][group[by][1:] == group[by][:-1]]
     text, place = text[later], place[later]
     by = np.lexsort((place, text))
     text, place = text[by], place[by]
     first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (place[1:] != place[:-1] + 1)]))
     last = np.append(first[1:], len(text)) - 1
-    return pd.DataFrame({"id": ids[text[first]], "start": place[first], "end": place[last] + length})
+    return pd.DataFrame({"id": ids[text[first]], "_sub": subs[text[first]], "start": place[first], "end": place[last] + length})
 
 
 def pieces_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(bucket, bytes, id, start): the bytes of the wanted runs (id, start, windows, gram, many), those of a gram with
+    """(bucket, bytes, id, sub, start): the bytes of the wanted runs (id, _sub, start, windows, gram, many), those of a gram with
     many runs cut into pieces."""
     import xxhash
 
-    lists = wanted.groupBy("id").agg(F.collect_list(F.struct("gram", "start", "windows", "many")).alias("runs"))
+    lists = wanted.groupBy("id", "_sub").agg(F.collect_list(F.struct("gram", "start", "windows", "many")).alias("runs"))
     kind = docs.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for key, text, found in zip(b["id"], b["text"], b["runs"], strict=True):
+            for key, sub, text, found in zip(b["id"], b["_sub"], b["text"], b["runs"], strict=True):
                 data = text.encode()
                 for r in found:
                     run = data[r["start"] : r["start"] + r["windows"] + length - 1]
                     if not r["many"]:
-                        out.append((r["gram"], run, key, r["start"]))
+                        out.append((r["gram"], run, key, sub, r["start"]))
                         continue
                     grams = mix64(rolled(np.frombuffer(run, dtype=np.uint8), GRAM)[GRAM]).view(np.int64)
                     seat = int(np.flatnonzero(grams == r["gram"])[0])
@@ -233,15 +234,15 @@ def pieces_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                         last = min(r["windows"] - 1, seat - block * FINE)
                         core = run[seat - block * FINE : seat - block * FINE - FINE + 1 + length]
                         bucket = int(np.uint64(xxhash.xxh64_intdigest(core, seed=block)).view(np.int64))
-                        out.append((bucket, run[first : last + length], key, r["start"] + first))
+                        out.append((bucket, run[first : last + length], key, sub, r["start"] + first))
                         first = last + 1
-            yield pd.DataFrame(out, columns=["bucket", "bytes", "id", "start"])
+            yield pd.DataFrame(out, columns=["bucket", "bytes", "id", "_sub", "start"])
 
-    return docs.join(lists, "id").mapInPandas(cut, f"bucket bigint, bytes binary, id {kind}, start bigint")
+    return docs.join(lists, ["id", "_sub"]).mapInPandas(cut, f"bucket bigint, bytes binary, id {kind}, _sub bigint, start bigint")
 
 
 def in_buckets(pieces: DataFrame, length: int) -> DataFrame:
-    """Spans (id, start, end) repeated within buckets. Sorted partitions are read as a stream; whole buckets are put
+    """Spans (id, _sub, start, end) repeated within buckets. Sorted partitions are read as a stream; whole buckets are put
     together until they fill a suffix array."""
     rows = pieces.repartition("bucket").sortWithinPartitions("bucket")
 
@@ -253,24 +254,24 @@ def in_buckets(pieces: DataFrame, length: int) -> DataFrame:
             size = np.cumsum(held["bytes"].map(len).to_numpy())
             ends = np.flatnonzero(buckets[1:] != buckets[:-1]) + 1  # the last bucket may go on
             at = 0
-            for e, following in zip(ends, np.append(ends[1:], -1), strict=True):
+            for e, following in zip(ends, np.append(ends, -1)[1:], strict=True):
                 if following < 0 or size[following - 1] - (size[at - 1] if at else 0) > BUCKET_BYTES:
                     part = held.iloc[at:e]
-                    yield repeats_in(list(part["bytes"]), part["id"].to_numpy(), part["start"].to_numpy(), length)
+                    yield repeats_in(list(part["bytes"]), part["id"].to_numpy(), part["_sub"].to_numpy(), part["start"].to_numpy(), length)
                     at = e
             held = held.iloc[at:]
         if held is not None and len(held):
-            yield repeats_in(list(held["bytes"]), held["id"].to_numpy(), held["start"].to_numpy(), length)
+            yield repeats_in(list(held["bytes"]), held["id"].to_numpy(), held["_sub"].to_numpy(), held["start"].to_numpy(), length)
 
-    return rows.mapInPandas(find, f"id {pieces.schema['id'].dataType.simpleString()}, start bigint, end bigint")
+    return rows.mapInPandas(find, f"id {pieces.schema['id'].dataType.simpleString()}, _sub bigint, start bigint, end bigint")
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, many: int = MANY) -> DataFrame:
-    """(id, spans) of docs (id, text): array of struct(start, end) in bytes, by start; they may overlap."""
+    """(id, _sub, spans) of docs (id, _sub, text), id and _sub naming a text: array of struct(start, end) in bytes, by start; they may overlap."""
     spark = docs.sparkSession
 
     def after(first: str) -> Column:
-        return (F.col("id") != F.col(f"{first}.id")) | (F.col("start") != F.col(f"{first}.start"))
+        return (F.col("id") != F.col(f"{first}.id")) | (F.col("_sub") != F.col(f"{first}._sub")) | (F.col("start") != F.col(f"{first}.start"))
 
     # each step is written and what it read is deleted, so the steps' files and shuffles don't add up on disk; rows that
     # repeat a doc_id come twice up to the minima, which make them one, and equal spans are merged at the end
@@ -279,38 +280,51 @@ def repeated_spans(docs: DataFrame, length: int = 100, many: int = MANY) -> Data
     found = keep(runs(docs, length, True).join(again, "gram"), "substring-runs")
     drop(again)
     tidy(spark)
-    firsts = keep(found.groupBy("gram", "run", "windows").agg(F.min(F.struct("id", "start")).alias("first")), "substring-firsts")
+    firsts = keep(found.groupBy("gram", "run", "windows").agg(F.min(F.struct("id", "_sub", "start")).alias("first")), "substring-firsts")
     later = found.join(firsts, ["gram", "run", "windows"]).where(after("first"))
-    later = keep(later.select("id", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end")), "substring-later")
+    later = keep(later.select("id", "_sub", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end")), "substring-later")
     drop(found)
     tidy(spark)
     mixed = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", (F.col("n") > many).alias("many"))
-    wanted = keep(firsts.join(mixed, "gram").select(F.col("first.id").alias("id"), F.col("first.start").alias("start"), "windows", "gram", "many"), "substring-wanted")
+    wanted = keep(firsts.join(mixed, "gram").select(F.col("first.id").alias("id"), F.col("first._sub").alias("_sub"), F.col("first.start").alias("start"), "windows", "gram", "many"), "substring-wanted")
     drop(firsts)
     pieces = keep(pieces_of(docs, wanted, length), "substring-pieces")
     drop(wanted)
     tidy(spark)
-    heads = keep(pieces.groupBy("bucket", "bytes").agg(F.min(F.struct("id", "start")).alias("first")), "substring-heads")
+    heads = keep(pieces.groupBy("bucket", "bytes").agg(F.min(F.struct("id", "_sub", "start")).alias("first")), "substring-heads")
     tidy(spark)
     equal = pieces.join(heads, ["bucket", "bytes"]).where(after("first"))
-    equal = keep(equal.select("id", "start", (F.col("start") + F.length("bytes")).alias("end")), "substring-equal")
+    equal = keep(equal.select("id", "_sub", "start", (F.col("start") + F.length("bytes")).alias("end")), "substring-equal")
     drop(pieces)
     tidy(spark)
     several = heads.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    deep = keep(in_buckets(heads.join(several, "bucket").select("bucket", "bytes", "first.id", "first.start"), length), "substring-deep")
+    deep = keep(in_buckets(heads.join(several, "bucket").select("bucket", "bytes", "first.id", "first._sub", "first.start"), length), "substring-deep")
     drop(heads)
-    spans = keep(later.unionByName(equal).unionByName(deep).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")), "substring-spans")
+    spans = keep(later.unionByName(equal).unionByName(deep).groupBy("id", "_sub").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")), "substring-spans")
     drop(later, equal, deep)
     tidy(spark)
     return spans
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text and any more) with (id, _sub), which name a text: _sub tells apart the texts of a doc_id that
+    several rows have, or of none, and is 0 for all others, so it costs nothing to carry."""
+    number = F.col("doc_id").cast("long")
+    several = docs.select(number.alias("id")).where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", F.lit(True).alias("_several"))
+    several = keep(several.withColumnRenamed("id", "_key"), "substring-several")
+    # rows without a doc_id meet the list by their hash, whatever it says, so that they aren't dealt to one task
+    text = F.xxhash64(text_or_empty())
+    docs = docs.withColumn("_key", F.coalesce(number, text)).join(several, "_key", "left")
+    sub = F.when(number.isNull() | F.col("_several"), text).otherwise(F.lit(0).cast("long"))
+    return docs.withColumn("_sub", sub).withColumn("id", F.coalesce(number, F.lit(-(1 << 63)))).drop("_key", "_several")
+
+
 def without_repeats(docs: DataFrame, length: int = 100, many: int = MANY) -> DataFrame:
     """docs (doc_id, text and any more) with n_bytes, removed (array of struct(start, end), the maximal removed runs of
     bytes) and kept (binary: what is left) in place of text."""
-    docs = docs.drop("n_bytes", "removed", "kept").withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    spans = repeated_spans(docs.select("id", text_or_empty().alias("text")), length, many)
-    rows = docs.join(spans, "id", "left").drop("id")
+    docs = named(docs.drop("n_bytes", "removed", "kept"))
+    spans = repeated_spans(docs.select("id", "_sub", text_or_empty().alias("text")), length, many)
+    rows = docs.join(spans, ["id", "_sub"], "left").drop("id", "_sub")
     fields = [f for f in rows.schema.fields if f.name not in ("text", "spans")]
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([*fields, T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(span)), T.StructField("kept", T.BinaryType())])

@@ -175,6 +175,22 @@ def test_repeats_of_odd_rows(spark):
     assert {r.doc_id: len(r.removed) for r in substring_dedup.without_repeats(null).collect()} == {None: 0, 1: 1}
 
 
+@pytest.mark.parametrize("many", [512, 1])
+@pytest.mark.parametrize("key", [None, 7])
+def test_repeats_in_texts_that_share_a_doc_id(spark, key, many):
+    """Texts of one doc_id, or of none, are documents of their own: spans never reach into another text."""
+    shared, words = prose(40), [f"w{i}x{i * i}" for i in range(400)]
+    tails = [" ".join(words[i * 100 : i * 100 + 60]) for i in range(4)]
+    texts = [shared + tails[0], shared + tails[1], tails[2] + "; " + shared, tails[3], None, "short"]
+    rows = spark.createDataFrame([(key, t) for t in texts] + [(9, texts[0])], "doc_id long, text string")
+    got = substring_dedup.without_repeats(rows, 100, many).collect()
+    assert len(got) == len(texts) + 1
+    left = [bytes(r.kept).decode() for r in got if r.doc_id == key]
+    assert sum(shared in t for t in left) == 1
+    assert all(sum(tail[5:] in t for t in left) == 1 for tail in tails)
+    assert [bytes(r.kept) for r in got if r.doc_id == 9] == [b""]
+
+
 def test_slabs_of_long_texts(monkeypatch):
     monkeypatch.setattr(substring_dedup, "SLAB", 500)
     text = prose(700).encode()
