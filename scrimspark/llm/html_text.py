@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from .common import table
 
 TAG = re.compile(
-    r"<(?:!--.*?(?:--!?>|\Z)|!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|/[^a-zA-Z>][^>]*(?:>|\Z)|/>"
+    r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|/[^a-zA-Z>][^>]*(?:>|\Z)|/>"
     r"|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>)",
     re.S,
 )
@@ -142,13 +142,107 @@ class Grid:
         return out
 
 
-def unseen_selectors(css: str) -> frozenset[str]:
-    """Plain tag, .class and #id selectors whose rule hides what they select."""
-    found = set()
-    for selectors, body in re.findall(r"([^{}]+)\{([^{}]*)\}", re.sub(r"(?s)/\*.*?(?:\*/|\Z)", "", css)):
-        if hides(body):
-            found.update(s for s in map(str.strip, selectors.split(",")) if re.fullmatch(r"[.#]?[\w-]+", s))
-    return frozenset(found)
+#: Width, in pixels, of the window that pages are laid out for.
+WIDTH = 1280
+#: Rules with these apply only while a reader does something, or to text that isn't in the page.
+NOT_AT_REST = re.compile(r":(?:hover|focus|active|:?before|:?after|:)", re.I)
+
+
+def applies(media: str) -> bool | None:
+    """Whether a media query list holds on a screen of WIDTH; None if that isn't known."""
+    found: list[bool | None] = []
+    for q in media.lower().split(","):
+        kind, *rest = re.split(r"\s+and\s+", re.sub(r"^only\s+", "", q.strip()))
+        parts = [kind, *rest]
+        holds: bool | None = True
+        for part in parts:
+            width = re.fullmatch(r"\(\s*(min|max)-width\s*:\s*([\d.]+)(px|em|rem)\s*\)", part)
+            if part in ("", "all", "screen"):
+                continue
+            if part in ("print", "speech", "tty", "tv", "projection", "handheld", "braille", "embossed", "aural"):
+                holds = False
+            elif width and width[2].replace(".", "", 1).isdigit():
+                size = float(width[2]) * (1 if width[3] == "px" else 16)
+                if size > WIDTH if width[1] == "min" else size < WIDTH:
+                    holds = False
+            elif holds:
+                holds = None
+        found.append(holds)
+    return True if True in found else None if None in found else False
+
+
+def rules(css: str, state: bool | None = True) -> Iterator[tuple[str, str, bool | None]]:
+    """(selectors, declarations, whether it is known to apply) of the rules that may apply."""
+    css = re.sub(r"(?s)/\*.*?(?:\*/|\Z)", "", css)
+    css = re.sub(r""" "(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*' """.strip(), '""', css)
+    open_: list[tuple[str, bool | None, list[str]]] = []
+    at = 0
+    for m in re.finditer("[{};]", css):
+        piece, at = css[at : m.start()].strip(), m.end()
+        if m[0] != "{":
+            if open_:
+                open_[-1][2].append(piece)
+                if m[0] == "}":
+                    head, holds, body = open_.pop()
+                    if holds is not False and not head.startswith("@"):
+                        yield head, ";".join(body), holds
+            continue
+        outer = open_[-1][1] if open_ else state
+        own: bool | None = True
+        if piece.lower().startswith("@media"):
+            own = applies(piece[6:])
+        elif re.match(r"(?i)@(?:supports|layer|container|scope)", piece) or open_ and not open_[-1][0].startswith("@"):
+            own = None
+        elif piece.startswith("@"):
+            own = False
+        open_.append((piece, False if outer is False or own is False else None if outer is None or own is None else True, []))
+
+
+def declared(style: str) -> Iterator[tuple[str, bool, bool]]:
+    """(property, whether it hides, whether it is important) of the declarations that decide on visibility."""
+    for name, value in re.findall(r"(?i)(?:^|;)\s*(display|visibility)\s*:\s*([^;]*)", style):
+        words = re.findall(r"[\w-]+", value.lower())
+        if words:
+            yield name.lower(), words[0] == "none" if name.lower() == "display" else words[0] in ("hidden", "collapse"), "important" in words[1:]
+
+
+class Sheet:
+    """What a page's style sheets hide: by plain tag, .class and #id selectors, unless a rule that comes later in the
+    cascade shows the element. Of a rule that shows, only the last compound is compared; in doubt, text is emitted."""
+
+    def __init__(self, html: str):
+        self.hidden: dict[str, list[tuple]] = {}
+        self.shown: list[tuple] = []
+        order = 0
+        for attrs, css in re.findall(r"(?is)<style([^>]*)>(.*?)</style", html):
+            media = re.search(r"""(?i)\bmedia\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", attrs)
+            for selectors, body, known in rules(css, applies(unescape(media[1] or media[2] or media[3] or "")) if media else True):
+                order += 1
+                for prop, hide, important in declared(body):
+                    for one in map(str.strip, re.sub(r"\([^()]*\)", "()", selectors).split(",")):
+                        if hide and (not known or not re.fullmatch(r"[.#]?[\w-]+", one)) or not hide and NOT_AT_REST.search(one):
+                            continue
+                        rank = (important, (9,) if "()" in one or not known else (one.count("#"), len(re.findall(r"[.:\[]", one)), len(re.findall(r"(?:^|[\s>+~])[\w-]", one))), order)
+                        if hide:
+                            self.hidden.setdefault(one if one[0] in ".#" else one.lower(), []).append((prop, rank))
+                            continue
+                        last = re.sub(r"\[[^\]]*\]|:[\w-]+(?:\(\))?", "", re.split(r"[\s>+~]+(?![^\[]*\])", one)[-1])
+                        tag = re.match(r"[\w-]*", last)[0].lower()
+                        self.shown.append((prop, rank, tag, set(re.findall(r"\.([\w-]+)", last)), set(re.findall(r"#([\w-]+)", last))))
+
+    def hides(self, name: str, values: dict) -> bool:
+        classes, key = set(values.get("class", "").split()), values.get("id", "")
+        against = [x for s in (name, f"#{key}", *[f".{c}" for c in classes]) for x in self.hidden.get(s, ())]
+        if not against:
+            return False
+        inline = {p: important for p, hide, important in declared(unescape(values.get("style", ""))) if not hide}
+        for prop in ("display", "visibility"):
+            worst = max((r for p, r in against if p == prop), default=None)
+            if worst is None or prop in inline and inline[prop] >= worst[0]:
+                continue
+            if not any(p == prop and r > worst and tag in ("", name) and c <= classes and i <= {key} for p, r, tag, c, i in self.shown):
+                return True
+        return False
 
 
 def hides(style: str) -> bool:
@@ -159,7 +253,7 @@ class Page:
     """Builds the tree as a stack of open elements and renders on the way."""
 
     def __init__(self, html: str):
-        self.html, self.hidden_by = html, unseen_selectors(" ".join(re.findall(r"(?is)<style[^>]*>(.*?)</style", html))) if "<style" in html.lower() else frozenset()
+        self.html, self.sheet = html, Sheet(html) if "<style" in html.lower() else None
         self.stack: list[tuple[str, bool, object]] = []
         self.flows, self.grids, self.lists = [Flow()], [], []
         self.unseen = self.pre = 0
@@ -252,8 +346,8 @@ class Page:
             for k, a, b, c in ATTR.findall(attrs):
                 values.setdefault(k.lower(), a or b or c)
         hidden = name in UNSEEN or "hidden" in values or hides(unescape(values.get("style", ""))) or (name == "dialog" and "open" not in values)
-        if self.hidden_by and not hidden:
-            hidden = name in self.hidden_by or f"#{values.get('id', '')}" in self.hidden_by or any(f".{c}" in self.hidden_by for c in values.get("class", "").split())
+        if self.sheet and not hidden:
+            hidden = self.sheet.hides(name, values)
         if name in VOID:
             if not self.unseen and not hidden:
                 self._void(name, values)

@@ -244,3 +244,28 @@ def test_chi_square():
 def test_digest_query(spark):
     rows = {r.doc_id: r for r in byte_bpe.digests(documents(spark, ODD[:6])).collect()}
     assert rows[4].decoded_sha256 == hashlib.sha256(ODD[4].encode()).hexdigest() and rows[1].n_tokens == 0
+
+
+@pytest.mark.parametrize(
+    ("css", "html", "text"),
+    [
+        ("@media print{.x{display:none}}", "<p class=x>yes", "yes"),
+        ("@media (max-width:600px){.a{color:red}.x{display:none}}", "<p class=x>yes", "yes"),
+        ("@media screen and (min-width: 40em){.x{display:none}} .y{color:red}", "<p class=x>no<p class=y>yes", "yes"),
+        ("@supports (display:grid){.x{display:none}}", "<p class=x>yes", "yes"),
+        (".tab{display:none} .tab.active{display:block}", "<p class=tab>no<p class='tab active'>yes", "yes"),
+        (".tab{display:none} #a .tab:checked{display:block}", "<p class=tab>yes", "yes"),
+        (".menu{display:none} .menu:hover{display:block}", "<p class=menu>no<p>yes", "yes"),
+        ("p,div{display:block} .x{display:none}", "<p class=x>no<p>yes", "yes"),
+        (".x{display:none !important} .x.y{display:block}", "<p class='x y'>no<p>yes", "yes"),
+        (".x{display:none}", "<p class=x style='display:block'>yes", "yes"),
+        ("a{content:'}'} .x{display:none}", "<p class=x>no<p>yes", "yes"),
+    ],
+)
+def test_style_sheets(css, html, text):
+    assert html_text.render(f"<style>{css}</style>{html}") == text
+
+
+def test_style_of_another_medium_and_short_comments():
+    assert html_text.render("<style media=print>.x{display:none}</style><p class=x>yes") == "yes"
+    assert html_text.render("a<!-->b<!--->c<!-- no -->d") == "abcd"
