@@ -161,12 +161,14 @@ def distance() -> Column:
 
 
 def grouped(stats: DataFrame, min_group: int) -> DataFrame:
-    """(_lang, _source, _group): the pool that each language and source belongs to."""
+    """(_lang, _source, _group, _total): the pool that each language and source belongs to, and the pool's rows."""
     sizes = stats.groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("_n"))
     small = F.when(F.col("_n") < min_group, F.col("_n")).otherwise(0)
     pooled = sizes.withColumn("_pool", F.sum(small).over(Window.partitionBy("_lang")))
     group = F.when(F.col("_n") >= min_group, F.concat_ws("\x1f", "_lang", "_source")).when(F.col("_pool") >= min_group, F.concat_ws("\x1f", F.lit("lang"), "_lang")).otherwise(F.lit("all"))
-    return pooled.select("_lang", "_source", group.alias("_group"))
+    rows = pooled.select("_lang", "_source", group.alias("_group"), "_n")
+    totals = rows.groupBy("_group").agg(F.sum("_n").alias("_total"))
+    return rows.join(totals, "_group").select("_lang", "_source", "_group", "_total")
 
 
 def fit(stats: DataFrame, share: float = 0.75, steps: int = 5, min_group: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -214,8 +216,8 @@ def judged(stats: DataFrame, groups: DataFrame, estimates: DataFrame, cutoff: fl
     rows = stats.join(groups, ["_lang", "_source"], "left").join(estimates.select("_group", "mean", "inverse"), "_group", "left")
     y = dict(zip([f"y{i}" for i in range(P)], vector(), strict=True))
     rows = rows.withColumns(y).withColumn("distance", distance())
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
-    return rows.withColumn("kept", kept).drop("_lang", "_source", "_group", "_lines", "mean", "inverse", *y)
+    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance") <= cutoff, F.lit(True)) | (F.col("_total") < min_pool))
+    return rows.withColumn("kept", kept).drop("_lang", "_source", "_group", "_total", "_lines", "mean", "inverse", *y)
 
 
 #: The share of normal texts of a clean group that the cut-off would still keep.

@@ -269,3 +269,11 @@ def test_style_sheets(css, html, text):
 def test_style_of_another_medium_and_short_comments():
     assert html_text.render("<style media=print>.x{display:none}</style><p class=x>yes") == "yes"
     assert html_text.render("a<!-->b<!--->c<!-- no -->d") == "abcd"
+
+
+def test_texts_of_a_small_last_pool_are_kept(spark):
+    """A few estimates' worth of other languages don't reject a clean text; a table of 20 or more rows is judged."""
+    texts = [" ".join(f"w{i}{k}" for k in range(60)) for i in range(20)] + [" ".join("#" * 40 + str(k) for k in range(60))]
+    rows = spark.createDataFrame([(i, t, "abc"[i % 3], "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert all(r.kept for r in quality.quality_report(rows, min_group=100).collect())
+    assert [r.doc_id for r in quality.quality_report(rows, min_group=20).collect() if not r.kept] == [20]
