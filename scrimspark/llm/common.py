@@ -17,6 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named input table, only the given columns, so that clashing extras never get in."""
+    small_batches(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
@@ -38,6 +39,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of 1,000 rows, unless the session says otherwise: 10,000 texts, Spark's default, and
+    what is made of them are some hundred megabytes in each worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def tidy(spark: SparkSession) -> None:
     """Lets Spark's cleaner delete the shuffle files of finished steps now, not when the driver's heap happens to fill.
     It takes two rounds: what holds a shuffle is let go by the first."""

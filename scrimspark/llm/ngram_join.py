@@ -8,31 +8,37 @@ as many are enough. Each band takes the cheaper of the two, counting index entri
 segments are added as slack, so that empty ones, which many sets share, need no entry unless a set has more of them than
 slack; and a pair that links then shares several entries, which sorts out pairs that share some common phrase.
 
-Equal sets are joined by their digest and only their smallest doc_id goes on. In each entry's group all members are
-compared with one hub, the member that shares most with others, first each with its best hub; then, where a group still
-falls into several components, the members of different components are compared, in blocks of bounded size. So no link
-between components is lost, without comparing all pairs of a group of copies. Each set also has a bitmap with the parity
-of its shingles in each of some buckets: two bitmaps differ in no more bits than the sets in shingles, so a pair whose
-bitmaps differ too much is out without a look at its texts. The pairs that are left are compared exactly, on their sets
-(of 64-bit shingle hashes).
-
-Nulls, ties, empty input: null and wordless texts have an empty set and link with nothing; repeated rows with one doc_id
-are one document; a null doc_id has a null component; an empty table gives an empty result. Only doc_id and text are read.
+Equal sets are one node of the join. Every entry's members are first compared with one hub, the member that shares most with
+others, each member with its best hub only, then with the rest of its hubs. Where the members of an entry still fall into
+several components, members of different components are compared. What an entry costs is measured: the smaller set of a
+pair leaves out as many of its most frequent entries as the pair shares beyond one, and a pair is taken up in one entry
+only, the first that both share and the smaller one uses. Each set has a bitmap with the parity of its shingles in each of
+some buckets; two bitmaps differ in no more bits than the sets in shingles, so most pairs are out after a look at them. The
+first pass over an entry names the members that have a pair left; their texts then go to the entry once each, in blocks of
+bounded bytes, and the pairs are compared exactly. A block gives back a spanning forest of its links, so neither pass
+returns more rows than it reads, however large a group of copies is, and no link between components is lost.
+
+"Exactly" means on sets of 64-bit shingle hashes. The result is components, not the single links.
+
+Nulls, ties, empty input: null and wordless texts have an empty set and link with nothing; each row is a document, also
+where rows share a doc_id or have none; a component's id is its smallest doc_id that isn't null; an empty table gives an
+empty result. A text of any length is one row; its set (8 bytes a word) is the most that a task holds of it. Only doc_id
+and text are read.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop, keep, mix64, table, text_or_empty, tidy
+from .common import drop, keep, mix64, small_batches, table, text_or_empty, tidy
 from .components import components
 
 U64 = np.uint64
@@ -44,7 +50,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -146,7 +152,7 @@ def parity(shingles: np.ndarray, bits: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, need, bits, entries) of docs (doc_id, text)."""
+    """(doc_id, _key, n_shingles, d1, d2, need, bits, entries) of docs (doc_id, text, _key); _key is row_key()."""
     plan = Plan(percent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,208 +166,298 @@ def signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
                 entries, need = plan.entries(s)
                 bits = parity(s, plan.bits(len(s))) if len(s) >= plan.least else np.empty(0, dtype=np.int64)
                 rows.append((len(s), d1, d2, need, bits, entries.view(np.int64)))
-            yield pd.concat([b[["doc_id"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_shingles", "d1", "d2", "need", "bits", "entries"])], axis=1)
+            yield pd.concat([b[["doc_id", "_key"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_shingles", "d1", "d2", "need", "bits", "entries"])], axis=1)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_shingles bigint, d1 bigint, d2 bigint, need int, bits array<bigint>, entries array<bigint>")
+    return docs.select("doc_id", "text", "_key").mapInPandas(run, f"doc_id {kind}, _key string, n_shingles bigint, d1 bigint, d2 bigint, need int, bits array<bigint>, entries array<bigint>")
 
 
 def halved(bits: Column) -> Column:
-    """A bitmap's halves xored: the bitmap of half as many buckets. One word stays as it is."""
+    """A bitmap's halves xored: the bitmap of half as many buckets. Small ones stay as they are."""
     half = (F.size(bits) / 2).cast("int")
-    return F.when(F.size(bits) > 1, F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(bits)
+    return F.when(F.size(bits) > 16, F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(bits)
 
 
-def differing_bits(a: Column, b: Column) -> Column:
-    """Bits in which two bitmaps differ, the larger folded (its halves xored) to the size of the smaller. Bands are next
-    to each other, so one fold is enough."""
+#: Members of a block of the first pass, at most.
+BLOCK = 2048
+#: Shingles of a block of the second pass, about; a larger text has a block of its own.
+BLOCK_SHINGLES = 1 << 20
 
-    def folded(x: Column, other: Column) -> Column:
-        return F.when(F.size(x) > F.size(other), halved(x)).otherwise(x)
 
-    return F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, n: t + n)
-
-
-def close_pairs(rows: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b) of rows (entry, members, doc_id, label, n, bits): pairs within an entry whose labels differ and whose sizes
-    and bitmaps allow a link. Groups of more than ``block`` are cut into blocks by a hash of the id, and each pair of
-    blocks is a task's work of its own, so a task holds two blocks at most; bitmaps are compared all at once."""
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    spread = rows.select("entry", "doc_id", "label", "n", "bits", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    spread = spread.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    spread = spread.repartition("entry", "low", "high").sortWithinPartitions("entry", "low", "high")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def few(ids: list, labels: list, n: list, own: list, maps: list[bytes], one_block: bool, out: list[tuple]) -> None:
-        numbers = [int.from_bytes(m, "little") for m in maps]
-        for i in range(len(ids)):
-            for j in range(i):
-                if labels[i] == labels[j] or not one_block and own[i] == own[j]:
-                    continue
-                s, t = (i, j) if n[i] <= n[j] else (j, i)
-                if n[s] * 100 < n[t] * percent:
-                    continue
-                x, y, bits = numbers[s], numbers[t], len(maps[s]) * 8
-                if len(maps[t]) * 8 > bits:
-                    y = (y >> bits) ^ (y & ((1 << bits) - 1))
-                if (x ^ y).bit_count() <= (100 - percent) * (n[i] + n[j]) // (100 + percent):
-                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-
-    def many(ids: np.ndarray, labels: np.ndarray, n: np.ndarray, own: np.ndarray, maps: list[bytes], one_block: bool, out: list[tuple]) -> None:
-        order = np.argsort(n, kind="stable")
-        ids, labels, n, own = ids[order], labels[order], n[order], own[order]
-        maps = [np.frombuffer(maps[i], dtype=U64) for i in order]
-        sizes = np.array([len(m) for m in maps])
-        for size in np.unique(sizes):  # the smaller set's bitmap size
-            rest = np.flatnonzero((sizes == size) | (sizes == 2 * size))
-            table = np.stack([m if len(m) == size else m[:size] ^ m[size:] for m in (maps[i] for i in rest)])
-            for k, i in enumerate(rest):
-                if sizes[i] != size:
-                    continue
-                js = np.arange(k + 1, np.searchsorted(n[rest], n[i] * 100 // percent, side="right"))
-                js = js[labels[rest[js]] != labels[i]]
-                if not one_block:
-                    js = js[own[rest[js]] != own[i]]
-                if len(js):
-                    apart = np.bitwise_count(table[js] ^ table[k]).sum(axis=1)
-                    js = rest[js[apart <= (100 - percent) * (n[i] + n[rest[js]]) // (100 + percent)]]
-                    out.extend((min(ids[i], x), max(ids[i], x)) for x in ids[js])
+def in_groups(rows: DataFrame, keys: list[str], each: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:
+    """``each`` on the columns of each group of two rows or more; it gives a list of tuples. The sorted partitions are read
+    as a stream and a task holds a group and a batch at most, so groups have to be bounded."""
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        parts: list[pd.DataFrame] = []  # all of one group
         for b in itertools.chain(batches, [None]):
             if b is not None:
-                held = b if held is None else pd.concat([held, b], ignore_index=True)
-            if held is None or not len(held):
+                if not len(b):
+                    continue
+                parts.append(b)
+                if (b[keys].iloc[-1].to_numpy() == parts[0][keys].iloc[0].to_numpy()).all():
+                    continue  # the group may go on
+            if not parts:
                 continue
-            keys = held[["entry", "low", "high"]].to_numpy()
-            ends = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+            held = pd.concat(parts, ignore_index=True)
+            values = held[keys].to_numpy()
+            ends = (np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist()
             if b is None:
-                ends.append(len(held))  # before the end the last group may go on
-            columns = [held[c].to_numpy() for c in ("doc_id", "label", "n", "own")]
-            lists = [c.tolist() for c in columns]
-            maps = [np.asarray(x, dtype=np.int64).tobytes() for x in held["bits"]]
+                ends.append(len(held))
+            columns = {c: held[c].to_numpy() for c in held.columns}
             at, out = 0, []
             for e in ends:
-                one_block = keys[at, 1] == keys[at, 2]
-                if e - at <= 24:
-                    few(*[x[at:e] for x in lists], maps[at:e], one_block, out)
-                else:
-                    many(*[c[at:e] for c in columns], maps[at:e], one_block, out)
+                if e - at > 1:
+                    out.extend(each({c: v[at:e] for c, v in columns.items()}))
                 at = e
             if out:
-                yield pd.DataFrame(sorted(set(out)), columns=["a", "b"])
-            held = held.iloc[at:].reset_index(drop=True)
-
-    return spread.mapInPandas(run, f"a {kind}, b {kind}")
-
-
-def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) that link. Each task keeps the sets of the last texts it has seen."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("_left"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("_right"))
+                yield pd.DataFrame(out, columns=names)
+            parts = [held.iloc[at:]] if at < len(held) else []
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def in_block_pairs(rows: DataFrame, blocks: Column) -> DataFrame:
+    """rows (entry, node and any more) for each pair (low, high) of the blocks of their entry, which rows are dealt to by a
+    hash of the node; own is the row's block."""
+    rows = rows.withColumn("blocks", blocks.cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("blocks", "other")
+
+
+def fitting_pairs(g: dict[str, np.ndarray], n: np.ndarray, maps: list[np.ndarray], percent: int) -> Iterator[tuple[int, list[int], list[int]]]:
+    """(i, js, bits apart) of the pairs of a block (node, label, own, low, high) that may link: with different labels and
+    fitting sizes and bitmaps. i is the smaller set, of equal ones that with the smaller node. The maps' lengths are powers
+    of two."""
+    label, own, one_block = g["label"], g["own"], g["low"][0] == g["high"][0]
+    order = np.lexsort((g["node"], n))
+    if len(n) <= 24:  # without frames: most groups are small
+        places, sizes, labels, blocks = order.tolist(), n.tolist(), label.tolist(), own.tolist()
+        numbers = [int.from_bytes(m.tobytes(), "little") for m in maps]
+        for k, i in enumerate(places):
+            bits, js, apart = len(maps[i]) * 64, [], []
+            for j in places[k + 1 :]:
+                if sizes[i] * 100 < sizes[j] * percent:
+                    break
+                if labels[i] == labels[j] or not one_block and blocks[i] == blocks[j]:
+                    continue
+                y = numbers[j]
+                if len(maps[j]) * 64 > bits:
+                    y = (y >> bits) ^ (y & ((1 << bits) - 1))
+                differ = (numbers[i] ^ y).bit_count()
+                if differ <= (100 - percent) * (sizes[i] + sizes[j]) // (100 + percent):
+                    js.append(j)
+                    apart.append(differ)
+            if js:
+                yield i, js, apart
+        return
+    label, own, n, maps = label[order], own[order], n[order], [maps[i] for i in order]
+    words = np.array([len(m) for m in maps])
+    for size in np.unique(words):
+        near = np.flatnonzero((words == size) | (words == 2 * size))
+        table = np.stack([np.bitwise_xor.reduce(maps[i].reshape(-1, size)) for i in near])
+        for k, i in enumerate(near):
+            if words[i] != size:
+                continue
+            js = np.arange(k + 1, np.searchsorted(n[near], n[i] * 100 // percent, side="right"))
+            js = js[label[near[js]] != label[i]]
+            if not one_block:
+                js = js[own[near[js]] != own[i]]
+            if len(js):
+                apart = np.bitwise_count(table[js] ^ table[k]).sum(axis=1)
+                good = apart <= (100 - percent) * (n[i] + n[near[js]]) // (100 + percent)
+                if good.any():
+                    yield int(order[i]), order[near[js[good]]].tolist(), apart[good].tolist()
+
+
+def candidates(rows: DataFrame, percent: int, block: int) -> DataFrame:
+    """(entry, node): the members of rows (entry, members, node, label, n, bits, uses, all_) that have a pair to compare
+    in this entry. uses and all_ are the entries that the set uses as the smaller one, and all that it has."""
+
+    def each(g: dict[str, np.ndarray]) -> list[tuple]:
+        entry, node = int(g["entry"][0]), g["node"].tolist()
+        maps = [np.asarray(x, dtype=np.int64).view(U64) for x in g["bits"]]
+        sets: dict[int, set] = {}
+        found: set[int] = set()
+        for i, js, _ in fitting_pairs(g, g["n"], maps, percent):
+            uses = set(g["uses"][i].tolist())
+            if entry not in uses:
+                continue
+            for j in js:
+                if j not in sets:
+                    sets[j] = set(g["all_"][j].tolist())
+                if min(uses & sets[j]) == entry:
+                    found |= {i, j}
+        return [(entry, node[i]) for i in sorted(found)]
+
+    spread = in_block_pairs(rows, F.ceil(F.col("members") / block)).drop("members")
+    return in_groups(spread, ["entry", "low", "high"], each, "entry bigint, node bigint").distinct()
+
+
+def forest(rows: DataFrame, texts: DataFrame, percent: int, width: int, block_shingles: int) -> DataFrame:
+    """(a, b): links that connect the members of rows (entry, node, label, n) as all their links within the entries do."""
+    plan, known = Plan(percent), WordHashes()
+
+    def each(g: dict[str, np.ndarray]) -> list[tuple]:
+        node, label = g["node"].tolist(), g["label"].tolist()
+        sets = [shingle_set(t, known, width) for t in g["text"]]
+        maps = [parity(s, plan.bits(len(s))).view(U64) for s in sets]
+        root = {x: x for x in label}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        out = []
+        for i, js, apart in fitting_pairs(g, np.array([len(s) for s in sets]), maps, percent):
+            for _, j in sorted(zip(apart, js, strict=True)):
+                x, y = find(label[i]), find(label[j])
+                if x != y and linked(sets[i], sets[j], percent):
+                    root[y] = x
+                    out.append((node[i], node[j]))
+        return out
+
+    total = rows.groupBy("entry").agg(F.sum("n").alias("_total"))
+    spread = in_block_pairs(rows.join(total, "entry"), F.ceil(F.col("_total") / block_shingles)).drop("_total", "n")
+    return in_groups(spread.join(texts, "node"), ["entry", "low", "high"], each, "a bigint, b bigint")
+
+
+def linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link."""
+    if len(s) > len(t):
+        s, t = t, s
+    both = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum()) if len(t) else 0
+    return both > 0 and 100 * both >= percent * (len(s) + len(t) - both)
+
+
+def star_links(stars: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """The links of stars (a, hub): texts meet their hub's in blocks, each text once for each of its hubs."""
+    known = WordHashes()
+    blocks = stars.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    leaves = stars.join(blocks, "hub").select("hub", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("part"), F.col("a").alias("node"))
+    hubs = blocks.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.col("hub").alias("node"))
+    rows = leaves.unionByName(hubs).join(texts, "node").withColumn("leaf", (F.col("node") != F.col("hub")).cast("int"))
+    rows = rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "leaf")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, sets = WordHashes(), {}
+        center = np.empty(0, dtype=U64)
+        for b in batches:
+            out = []
+            for hub, node, text in zip(b["hub"].tolist(), b["node"].tolist(), b["text"], strict=True):
+                s = shingle_set(text, known, width)
+                if node == hub:
+                    center = s
+                elif linked(s, center, percent):
+                    out.append((node, hub))
+            yield pd.DataFrame(out, columns=["a", "b"])
 
-        def of(key: int, text: str) -> np.ndarray:
-            found = sets.get(key)
-            if found is None:
-                if len(sets) >= 2000:
-                    sets.clear()
-                found = sets[key] = shingle_set(text, known, width)
-            return found
+    return rows.mapInPandas(run, "a bigint, b bigint")
 
-        for b in batches:
-            good = []
-            for x, y, s, t in zip(b["a"], b["b"], b["_left"], b["_right"], strict=True):
-                s, t = of(x, s), of(y, t)
-                both = np.intersect1d(s, t, assume_unique=True).size
-                good.append(100 * both >= percent * (s.size + t.size - both))
-            yield b.loc[good, ["a", "b"]]
 
-    return pairs.select("a", "b").join(right, "b").join(left, "a").mapInPandas(run, pairs.select("a", "b").schema)
+def row_key() -> Column:
+    """What tells a row (doc_id, text) from others: rows equal in both are one document."""
+    return F.md5(F.concat(F.col("doc_id").isNull().cast("string"), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text_or_empty()))
 
 
-def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4, block: int = 2048) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text)."""
-    docs = docs.select("doc_id", text_or_empty().alias("text"))
+def labelled(docs: DataFrame, percent: int, width: int, block: int, block_shingles: int) -> DataFrame:
+    """(doc_id, _key, n_shingles, label) for each row of docs (doc_id, text): _key is row_key(), label the number of the
+    row's component, null for an empty set."""
+    small_batches(docs.sparkSession)
+    docs = docs.select("doc_id", text_or_empty().alias("text"), row_key().alias("_key"))
     spark = docs.sparkSession
     sizes = keep(signatures(docs, percent, width), "join-sizes")
-    # equal sets: the smallest doc_id stands for them all
-    same = sizes.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node"), F.min("need").alias("need"), F.first("bits").alias("bits"))
-    same = keep(same, "join-nodes")
-    nodes = same.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "need", "bits")
-
-    index = sizes.select("doc_id", F.explode("entries").alias("entry"))
-    shared = index.groupBy("entry").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("entry")
-    shared = index.join(shared, "entry").join(nodes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").distinct()
-    shared = keep(shared, "join-shared")
+    # equal sets are one node; its text is that of its smallest doc_id and hash
+    same = sizes.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("first"), F.first("need").alias("need"), F.first("bits").alias("bits"), F.first("entries").alias("entries")
+    )
+    same = keep(same.withColumn("node", F.monotonically_increasing_id()), "join-nodes")
+    whole, sizes = sizes, keep(sizes.select("doc_id", "_key", "n_shingles", "d1", "d2"), "join-sizes")
+    drop(whole)
+    nodes = keep(same.select("node", F.col("n_shingles").alias("n"), "need", "bits"), "join-bitmaps")
+
+    entries = same.select("node", F.explode("entries").alias("entry"))
+    shared = entries.groupBy("entry").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("entry")
+    shared = keep(entries.join(shared, "entry"), "join-shared")
+    keys = keep(same.select("node", "d1", "d2", "n_shingles", "first._key"), "join-keys")
+    drop(same)
     tidy(spark)
     # entries with the same members give the same pairs: of those one stands for all, and ``times`` counts them
-    mark = [F.bit_xor(F.xxhash64("doc_id")).alias("x1"), F.bit_xor(F.xxhash64("doc_id", F.lit(7))).alias("x2")]
-    live = shared.groupBy("entry").agg(F.count(F.lit(1)).alias("members"), *mark).where("members > 1")
+    mark = [F.bit_xor(F.xxhash64("node")).alias("x1"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("x2")]
+    live = shared.groupBy("entry").agg(F.count(F.lit(1)).alias("members"), *mark)
     live = live.groupBy("members", "x1", "x2").agg(F.min("entry").alias("entry"), F.count(F.lit(1)).alias("times")).select("entry", "members", "times")
     index = keep(shared.join(live, "entry"), "join-index")
-    whole = sizes
-    sizes = keep(whole.select("doc_id", "n_shingles", "d1", "d2"), "join-sizes")
-    drop(shared, whole)
+    drop(shared)
     tidy(spark)
 
-    weight = index.groupBy("doc_id").agg(F.sum(F.col("members") * F.col("times")).alias("weight"))
-    weighed = index.join(weight, "doc_id")
-    hubs = weighed.groupBy("entry").agg(F.max(F.struct("weight", "doc_id"))["doc_id"].alias("hub"))
-    stars = index.join(hubs, "entry").where(F.col("doc_id") != F.col("hub")).groupBy("doc_id", "hub").agg(F.sum("times").alias("support"))
-    stars = keep(stars.select(F.col("doc_id").alias("a"), F.col("hub").alias("b"), "support"), "join-stars")
-    texts = keep(docs.join(index.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "join-texts")
+    weight = index.groupBy("node").agg(F.sum(F.col("members") * F.col("times")).alias("weight"))
+    hubs = index.join(weight, "node").groupBy("entry").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
+    stars = index.join(hubs, "entry").where(F.col("node") != F.col("hub")).groupBy(F.col("node").alias("a"), "hub").agg(F.sum("times").alias("support"))
+    stars = keep(fitting(stars, nodes, percent), "join-stars")
+    wanted = keys.join(index.select("node").distinct(), "node", "left_semi").select("node", "_key")
+    texts = keep(docs.select("_key", "text").join(wanted, "_key").groupBy("node").agg(F.first("text").alias("text")), "join-texts")
     tidy(spark)
 
-    def fitting(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and bitmaps allow a link."""
-        rows = pairs.join(nodes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bitsa")), "a")
-        rows = rows.join(nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bitsb")), "b")
-        rows = rows.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        most = F.floor((100 - percent) * (F.col("na") + F.col("nb")) / (100 + percent))
-        return rows.where(differing_bits(F.col("bitsa"), F.col("bitsb")) <= most).select("a", "b")
-
-    def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs whose ends are not connected yet."""
-        rows = pairs.join(labels.toDF("a", "la"), "a", "left").join(labels.toDF("b", "lb"), "b", "left")
-        return rows.where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-
-    best = stars.groupBy("a").agg(F.max(F.struct("support", "b"))["b"].alias("b"))
-    links = keep(verified(fitting(best), texts, percent, width), "join-links")
-    tidy(spark)
-    labels = components(links)
-    more = keep(verified(fitting(apart(stars, labels)), texts, percent, width), "join-links")
+    def apart(labels: DataFrame) -> DataFrame:
+        """The stars whose ends are not connected yet."""
+        rows = stars.join(labels.toDF("a", "la"), "a", "left").join(labels.toDF("hub", "lb"), "hub", "left")
+        return rows.where(F.coalesce("la", "a") != F.coalesce("lb", "hub")).select("a", "hub")
+
+    best = stars.groupBy("a").agg(F.max(F.struct("support", "hub"))["hub"].alias("hub"))
+    links = keep(star_links(best, texts, percent, width), "join-links")
+    more = keep(star_links(apart(components(links)), texts, percent, width), "join-links")
     links = links.unionByName(more)
-    tidy(spark)
     labels = components(links)
+    tidy(spark)
 
-    named = index.join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    named = index.join(labels.toDF("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = named.groupBy("entry").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high").select("entry")
-    # an entry's rows carry a quarter of the bitmap; pairs that it lets through are then held against the whole
-    wide = nodes.select(F.col("id").alias("doc_id"), "n", halved(halved(F.col("bits"))).alias("bits"))
-    named = named.join(split, "entry").join(wide, "doc_id").select("entry", "members", "doc_id", "label", "n", "bits")
-    across = keep(close_pairs(named, percent, block).distinct(), "join-across")
+    named = keep(named.join(split, "entry"), "join-split")
+    # of a set's entries, the most frequent ones that together are fewer than those a pair shares are left out
+    costly = Window.partitionBy("node").orderBy(F.col("members").desc(), "entry").rowsBetween(Window.unboundedPreceding, 0)
+    used = named.withColumn("_upto", F.sum("times").over(costly)).join(nodes.select("node", "need"), "node").where(F.col("_upto") >= F.col("need"))
+    used = used.select("node", "entry", F.lit(True).alias("uses"))
+    lists = named.join(used, ["node", "entry"], "left").groupBy("node").agg(F.collect_list("entry").alias("all_"), F.collect_list(F.when(F.col("uses"), F.col("entry"))).alias("uses"))
+    wide = nodes.select("node", "n", halved(F.col("bits")).alias("bits")).join(lists, "node")
+    some = keep(candidates(named.select("entry", "members", "node", "label").join(wide, "node"), percent, block), "join-candidates")
+    drop(index)
     tidy(spark)
-    last = keep(verified(fitting(across), texts, percent, width), "join-links")
+    rows = some.join(named.select("entry", "node", "label"), ["entry", "node"]).join(nodes.select("node", "n"), "node")
+    last = keep(forest(rows, texts, percent, width, block_shingles), "join-links")
     if not last.isEmpty():
         labels = components(links.unionByName(last))
-    drop(index, stars, texts, across)
+    drop(named, stars, texts, some, nodes)
     tidy(spark)
+    named = keys.join(labels.toDF("node", "label"), "node", "left").select("d1", "d2", "n_shingles", F.coalesce("label", "node").alias("label"))
+    result = keep(sizes.join(named, ["d1", "d2", "n_shingles"], "left").select("doc_id", "_key", "n_shingles", "label"), "join-labels")
+    drop(keys, sizes)
+    return result
+
+
+def fitting(stars: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Stars (a, hub and any more) whose sizes allow a link."""
+    rows = stars.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("_na")), "a").join(nodes.select(F.col("node").alias("hub"), F.col("n").alias("_nb")), "hub")
+    return rows.where(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent).drop("_na", "_nb")
+
 
-    reps = same.join(labels.toDF("node", "label"), "node", "left").select("d1", "d2", "n_shingles", F.coalesce("label", "node").alias("component_id"))
-    reps = keep(reps, "join-components")
-    return sizes.join(reps, ["d1", "d2", "n_shingles"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text). A null doc_id has a null component_id."""
+    rows = labelled(docs, percent, width, block, block_shingles)
+    least = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("_least"))
+    component = F.when(F.col("label").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("_least"))
+    return rows.join(least, "label", "left").select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
-    """The rows of docs whose document is the smallest of its group."""
-    groups = similar_groups(docs, percent, width)
-    stay = groups.where(F.col("doc_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi")
+    """Of each component's rows of docs the one with the smallest doc_id (none comes last, equal ones go by a hash of the
+    text); rows equal in doc_id and text count as one. Wordless texts stay."""
+    rows = labelled(docs, percent, width, BLOCK, BLOCK_SHINGLES)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("first")
+    stay = rows.where("label IS NOT NULL").groupBy("label").agg(first).select("first._key")
+    stay = stay.unionByName(rows.where("label IS NULL").select("_key")).withColumnRenamed("_key", "_ngram_key")
+    kept = docs.withColumn("_ngram_key", row_key()).join(stay, "_ngram_key", "left_semi")
+    return kept.dropDuplicates(["_ngram_key"]).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

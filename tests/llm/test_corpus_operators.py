@@ -103,6 +103,48 @@ def test_similar_groups(docs, width, percent, block):
     assert got == brute_links(width, percent)
 
 
+@pytest.mark.parametrize("most", [1, 500, 1 << 20])
+def test_similar_groups_in_small_blocks(docs, most):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_groups(docs, 85, 4, 3, most).collect()}
+    assert got == brute_links(4, 85)
+
+
+def test_rows_that_share_a_doc_id_are_documents_of_their_own(spark):
+    one, other = prose(60), prose(60)
+    rows = spark.createDataFrame([(1, one), (5, one), (5, other), (9, other), (None, other), (None, one + " end"), (5, other), (3, ""), (3, "")], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in ngram_join.similar_groups(rows).collect())
+    assert got == [(0, 57, 0), (0, 58, 0), (1, 57, 1), (3, 0, 3), (3, 0, 3), (5, 57, 1), (5, 57, 5), (5, 57, 5), (9, 57, 5)]
+    assert sorted((r.doc_id, r.text) for r in ngram_join.first_of_each(rows).collect()) == sorted([(1, one), (5, other), (3, "")])
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Copies that link with some of each other only: every component is found."""
+    hot = prose(100).split(" ")
+    texts = []
+    for _ in range(400):
+        words = list(hot)
+        for i in rng.choice(100, int(rng.integers(1, 6)), replace=False):
+            words[i] = "edit" + str(rng.integers(1 << 30))
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in (t.split(" ") for t in texts)]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both) and find(a) != find(b):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_groups(df).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+
+
 def test_first_of_each(spark, docs):
     want = {c for _, c in brute_links(5, 80).values()}
     rows = ngram_join.first_of_each(docs)
