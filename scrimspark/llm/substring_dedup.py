@@ -1,8 +1,8 @@
 """Operator 6: removes repeated substrings; suffix arrays and Burrows-Wheeler transforms in bounded buckets.
 
-Every string of ``length`` bytes (a window) is assigned to the 16-byte gram in it with the smallest hash, the leftmost of
+Every string of ``length`` bytes (a window) is assigned to the 32-byte gram in it with the smallest hash, the leftmost of
 equals, which depends on the window's bytes alone. So equal windows have equal grams, and windows whose gram occurs once
-in the corpus are done with. Runs of windows around one gram (some 40) travel as one row with a hash of the run. Of
+in the corpus are done with. Runs of windows around one gram (some 35) travel as one row with a hash of the run. Of
 equal runs, all but the earliest are repeats. What is left, different runs around the same gram, may still share windows:
 their bytes go to buckets, in which equal windows meet. There a suffix array and its Burrows-Wheeler transform are built;
 breadth-first backward extension finds the common prefixes of neighbouring suffixes by increasing length and stops at
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from .common import drop, keep, mix64, table, text_or_empty, tidy
 
 U64 = np.uint64
-GRAM = 16
+GRAM = 32
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bytes that are hashed at once.
 SLAB = 1 << 20
