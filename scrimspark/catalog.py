@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,7 +156,7 @@ def q5_matches_missing_scores(v, spark, d):
     return Q.matches_missing_scores(v("matches"), v("match_maps"))
 
 
-# warehouse load: old tables are part of the views, payloads are those of the matches with even numbers -------------------
+# warehouse load: old tables are part of the views, payloads those of all matches -----------------------------------------
 
 
 def payloads(spark: SparkSession, d: str) -> DataFrame:
@@ -175,7 +176,7 @@ def old(v: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
 
 
 FLAT = """flat AS (SELECT match_id, alias, team_name, map_id, 1 AS side_id, team1_t_score AS kills, team2_t_score AS deaths, team1_ct_score + 0.5 AS adr, 1.25 AS swing_pct, team2_ct_score / 4 AS rating, '3.0' AS rating_version
-  FROM match_maps JOIN match_players USING (match_id) JOIN players USING (player_id) JOIN teams USING (team_id) WHERE match_id % 2 = 0)"""
+  FROM match_maps JOIN match_players USING (match_id) JOIN players USING (player_id) JOIN teams USING (team_id))"""
 FLAT_VIEWS = ("match_maps", "match_players", "players", "teams")
 
 
@@ -205,27 +206,26 @@ def w4_insert_player_stats(v, spark, d):
     return out.select("match_map_id", "player_id", "kills", "deaths", F.col("adr").cast("double").alias("adr"), "rating_version")
 
 
-@query("match_veto", sql="SELECT match_id, step, action_id, team_id, map_id FROM match_veto WHERE match_id % 4 < 2 OR match_id % 2 = 0")
+@query("match_veto", sql="SELECT match_id, step, action_id, team_id, map_id FROM match_veto")
 def w5_replace_match_vetoes(v, spark, d):
     return W.replace_match_vetoes(old(v)["match_veto"], payloads(spark, d), v("teams"))
 
 
 @query("match_maps", "match_veto", sql="""
 WITH known AS (SELECT match_map_id, match_id, map_id FROM match_maps WHERE map_id <= 5),
-fresh AS (SELECT DISTINCT match_id, map_id FROM match_veto v WHERE action_id IN (1, 3) AND match_id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM known k WHERE k.match_id = v.match_id AND k.map_id = v.map_id))
+fresh AS (SELECT DISTINCT match_id, map_id FROM match_veto v WHERE action_id IN (1, 3) AND NOT EXISTS (SELECT 1 FROM known k WHERE k.match_id = v.match_id AND k.map_id = v.map_id))
 SELECT * FROM known UNION ALL SELECT (SELECT max(match_map_id) FROM known) + row_number() OVER (ORDER BY match_id, map_id), match_id, map_id FROM fresh""")
 def w6_insert_played_maps(v, spark, d):
     return W.insert_played_maps(old(v)["match_maps"], payloads(spark, d)).select("match_map_id", "match_id", "map_id")
 
 
-@query("matches", sql="""SELECT match_id, CASE WHEN match_id % 10 = 0 THEN NULL ELSE match_date END AS match_date, CASE WHEN match_id % 2 = 0 THEN 'note ' || match_id END AS match_notes,
-CASE WHEN match_id % 2 = 0 THEN coalesce(demo_link, 'ERROR') ELSE demo_link END AS demo_link FROM matches""")
+@query("matches", sql="""SELECT match_id, CASE WHEN match_id % 10 = 0 THEN NULL ELSE match_date END AS match_date, 'note ' || match_id AS match_notes, coalesce(demo_link, 'ERROR') AS demo_link FROM matches""")
 def w7_update_match_page(v, spark, d):
     return W.update_match_page(v("matches"), payloads(spark, d)).select("match_id", "match_date", "match_notes", "demo_link")
 
 
 SCORES = ", ".join(f"team{n}_{s}score" for n in (1, 2) for s in ("", "t_", "ct_"))
-SET = ", ".join(f"CASE WHEN match_id % 2 = 0 AND team1_score IS NOT NULL THEN {c} END AS {c}" for c in SCORES.split(", "))
+SET = ", ".join(f"CASE WHEN team1_score IS NOT NULL THEN {c} END AS {c}" for c in SCORES.split(", "))
 
 
 @query("match_maps", sql=f"SELECT match_map_id, match_id, map_id, {SET} FROM match_maps WHERE map_id <= 5")
@@ -270,10 +270,10 @@ def w12_insert_rankings(v, spark, d):
     return W.insert_rankings(v("rankings").where("team_id < 0"), v("teams"), rows, LAUNCH)[0].select("ranking_date", "team_id", "points", "rank")
 
 
-@query("match_maps", sql="SELECT (match_id * 10 + map_id % 3)::BIGINT AS job_id, match_map_id, 'p' || map_id AS patch_version FROM match_maps WHERE map_id <= 3")
+@query("match_maps", sql="SELECT (match_id * 10 + map_id % 3)::BIGINT AS job_id, match_map_id, 'p' || map_id AS patch_version FROM match_maps")
 def w13_resolve_parquet_files(v, spark, d):
     names = {f"de_{n.lower()}": i for i, n in MAPS.items()}
-    played = v("match_maps").where("map_id <= 3").join(v("maps"), "map_id")
+    played = v("match_maps").join(v("maps"), "map_id")
     files = played.select((F.col("match_id") * 10 + F.col("map_id") % 3).alias("job_id"), F.concat(F.lit("de_"), F.lower("map_name")).alias("map_name"), F.concat(F.lit("p"), F.col("map_id").cast("string")).alias("patch_version"), F.lit("x").alias("path"))
     jobs = played.select((F.col("match_id") * 10 + F.col("map_id") % 3).alias("job_id"), (F.col("match_id") + 7).alias("download_job_id")).distinct()
     downloads = played.select((F.col("match_id") + 7).alias("download_job_id"), "match_id").distinct()
@@ -297,40 +297,46 @@ def w15_ranking_date_spine(v, spark, d):
     return spine.join(counts, "_month", "left").drop("_month").withColumn("ranked", F.coalesce("ranked", F.lit(0).cast("long")))
 
 
+CONTENTS = {
+    "matches": ("match_id", "match_date", "match_notes", "demo_link"),
+    "match_veto": ("match_id", "step", "action_id", "team_id", "map_id"),
+    "match_maps": ("match_map_id", "match_id", "map_id", "team1_score", "team2_score", "team1_t_score", "team1_ct_score", "team2_t_score", "team2_ct_score"),
+    "players": ("player_id", "alias", "steamid"),
+    "match_players": ("match_id", "team_id", "player_id"),
+    "player_stats": ("match_map_id", "player_id", "side_id", "kills", "deaths", "adr", "swing_pct", "rating", "rating_version"),
+}
+ROWS_OF = "\nUNION ALL ".join(f"SELECT '{t}' AS name, concat_ws('|', {', '.join(f"coalesce({c}::VARCHAR, '-')" for c in columns)}) AS content FROM new_{t}" for t, columns in CONTENTS.items())
 LOADED = f"""
 WITH {FLAT}, maps_known AS (SELECT match_map_id, match_id, map_id FROM match_maps WHERE map_id <= 5),
-maps_fresh AS (SELECT DISTINCT match_id, map_id FROM match_veto v WHERE action_id IN (1, 3) AND match_id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM maps_known k WHERE k.match_id = v.match_id AND k.map_id = v.map_id)),
-all_maps AS (SELECT match_id, map_id FROM maps_known UNION ALL SELECT * FROM maps_fresh),
-sizes AS (
-  SELECT 'matches' AS name, count(*) AS n, count(match_notes) AS filled FROM (SELECT CASE WHEN match_id % 2 = 0 THEN 'x' END AS match_notes FROM matches) UNION ALL
-  SELECT 'match_veto', count(*), count(team_id) FROM match_veto WHERE match_id % 4 < 2 OR match_id % 2 = 0 UNION ALL
-  SELECT 'match_maps', count(*), count(CASE WHEN m.match_id % 2 = 0 THEN s.team1_score END) FROM all_maps m LEFT JOIN match_maps s ON s.match_id = m.match_id AND s.map_id = m.map_id UNION ALL
-  SELECT 'players', count(*), count(steamid) FROM (SELECT alias, steamid FROM players WHERE player_id % 2 = 0 UNION ALL SELECT DISTINCT alias, NULL FROM flat WHERE alias NOT IN (SELECT alias FROM players WHERE player_id % 2 = 0)) UNION ALL
-  SELECT 'match_players', count(*), count(*) FROM (SELECT match_id FROM match_players WHERE match_id % 3 = 0 OR match_id % 2 = 0 AND match_id IN (SELECT match_id FROM flat)))
-SELECT * FROM sizes"""
+maps_fresh AS (SELECT DISTINCT match_id, map_id FROM match_veto v WHERE action_id IN (1, 3) AND NOT EXISTS (SELECT 1 FROM maps_known k WHERE k.match_id = v.match_id AND k.map_id = v.map_id)),
+maps_all AS (SELECT * FROM maps_known UNION ALL SELECT (SELECT max(match_map_id) FROM maps_known) + row_number() OVER (ORDER BY match_id, map_id), match_id, map_id FROM maps_fresh),
+players_known AS (SELECT * FROM players WHERE player_id % 2 = 0), aliases AS (SELECT DISTINCT alias FROM flat WHERE alias NOT IN (SELECT alias FROM players_known)),
+line_ups AS (SELECT match_id, team_id, player_id FROM match_players WHERE match_id % 3 = 0 AND player_id % 2 = 0),
+new_matches AS (SELECT match_id, CASE WHEN match_id % 10 = 0 THEN NULL ELSE match_date END AS match_date, 'note ' || match_id AS match_notes, coalesce(demo_link, 'ERROR') AS demo_link FROM matches),
+new_match_veto AS (SELECT * FROM match_veto),
+new_match_maps AS (SELECT m.*, s.* EXCLUDE (match_map_id, match_id, map_id) FROM maps_all m LEFT JOIN (SELECT * FROM match_maps WHERE team1_score IS NOT NULL) s ON s.match_id = m.match_id AND s.map_id = m.map_id),
+new_players AS (SELECT player_id, alias, steamid FROM players_known UNION ALL SELECT (SELECT max(player_id) FROM players_known) + row_number() OVER (ORDER BY alias), alias, NULL FROM aliases),
+new_match_players AS (SELECT * FROM line_ups UNION ALL (SELECT DISTINCT match_id, team_id, player_id FROM flat JOIN teams USING (team_name) JOIN new_players USING (alias) EXCEPT SELECT * FROM line_ups)),
+new_player_stats AS (SELECT match_map_id, player_id, side_id, kills, deaths, adr::DECIMAL(5,2) AS adr, swing_pct::DECIMAL(5,2) AS swing_pct, rating::DECIMAL(5,2) AS rating, rating_version FROM flat JOIN new_players USING (alias) JOIN maps_all USING (match_id, map_id))
+{ROWS_OF}"""
 LOADED_VIEWS = (*FLAT_VIEWS, "matches", "match_veto")
-FILLED = {"matches": "match_notes", "match_veto": "team_id", "match_maps": "team1_score", "players": "steamid", "match_players": "player_id"}
 
 
-def sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """(name, n, filled) of the loaded tables."""
-    parts = [tables[n].agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n"), F.count(c).alias("filled")).select("name", "n", "filled") for n, c in FILLED.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, content): the rows of the loaded tables, their values as one text."""
+    parts = [tables[n].select(F.lit(n).alias("name"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]).alias("content")) for n, columns in CONTENTS.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def warehouse(v: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
     """The old tables with ids that fit the new rows of players."""
-    return old(v) | {"player_stats": old(v)["player_stats"].where("match_map_id < 0"), "match_players": old(v)["match_players"].join(v("players"), "player_id").where("match_id % 3 = 0").select("match_id", "team_id", "player_id")}
+    tables = old(v)
+    return tables | {"player_stats": tables["player_stats"].where("match_map_id < 0"), "match_players": tables["match_players"].where("player_id % 2 = 0").select("match_id", "team_id", "player_id")}
 
 
-@query(*LOADED_VIEWS, sql=LOADED.replace("'match_players', count(*), count(*) FROM (SELECT match_id FROM match_players WHERE match_id % 3 = 0 OR match_id % 2 = 0 AND match_id IN (SELECT match_id FROM flat))", "'match_players', count(*), count(*) FROM (SELECT match_id FROM match_players WHERE match_id % 3 = 0 AND player_id % 2 = 0 OR match_id % 2 = 0 AND match_id IN (SELECT match_id FROM flat))"))
+@query(*LOADED_VIEWS, sql=LOADED)
 def w16_load_match_payload(v, spark, d):
-    tables = warehouse(v)
-    tables["match_players"] = tables["match_players"].where("player_id % 2 = 0")
-    return sizes(W.load_match_payload(tables, payloads(spark, d)))
+    return contents(W.load_match_payload(warehouse(v), payloads(spark, d)))
 
 
 # telemetry ---------------------------------------------------------------------------------------------------------
@@ -407,7 +413,7 @@ def t9_event_views(v, spark, d):
     frame = S.tag_and_union_events({n: v(n).drop("event_type") for n in ("player_hurt", "player_death")})
     out = None
     for name in T.EVENT_VIEWS:
-        part = T.event_view(frame, name, ("dmg_health",) if name == "kills" else ()).select(F.lit(name).alias("view"), "seq")
+        part = T.event_view(frame, name).select(F.lit(name).alias("view"), "seq")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -597,7 +603,7 @@ def s2_load_tables(v, spark, d):
     return parts[0].unionByName(parts[1])
 
 
-@query("matches", sql="SELECT match_id, 'note ' || match_id AS notes, demo_link AS demo FROM matches WHERE match_id % 2 = 0")
+@query("matches", sql="SELECT match_id, 'note ' || match_id AS notes, demo_link AS demo FROM matches")
 def s3_read_payloads(v, spark, d):
     path = scratch(spark, "payloads")
     SP.payload_json(spark, d).union(spark.createDataFrame([("not json",)], "value string")).write.text(path)
@@ -626,13 +632,12 @@ def s6_incremental_match_load(v, spark, d):
     """Two runs over the same folder: the second finds nothing new."""
     root, inbox, marks = scratch(spark, "warehouse"), scratch(spark, "inbox"), scratch(spark, "marks")
     tables = warehouse(v)
-    tables["match_players"] = tables["match_players"].where("player_id % 2 = 0")
     whole = {n: W.appended(spark.createDataFrame([], TABLES[n]), df) for n, df in tables.items()}
     publish(spark, root, whole)
     SP.payload_json(spark, d).write.text(inbox)
     for _ in range(2):
         start_match_load(spark, inbox, root, marks).awaitTermination()
-    return sizes(current_tables(spark, root))
+    return contents(current_tables(spark, root))
 
 
 ORACLE_SQL["s6_incremental_match_load"] = ORACLE_SQL["w16_load_match_payload"]

@@ -13,13 +13,14 @@ KEY = ["match_id", "map_name"]
 # Names of recorded properties and events.
 TICK_COLUMNS = ("tick", "next_primary_attack_tick", "next_secondary_attack_tick")
 PLAYER_PROPS = (
-    "team_name team_clan_name X Y Z last_place_name velocity_X velocity_Y velocity_Z pitch yaw health armor_value inventory "
-    "current_equip_value has_defuser has_helmet flash_duration accuracy_penalty zoom_lvl ping"
-).split()
+    "team_name", "team_clan_name", "X", "Y", "Z", "last_place_name", "velocity_X", "velocity_Y", "velocity_Z",
+    "pitch", "yaw", "health", "armor_value", "inventory", "current_equip_value", "has_defuser", "has_helmet",
+    "flash_duration", "accuracy_penalty", "zoom_lvl", "ping",
+)
 WORLD_PROPS = (
-    "game_time is_bomb_planted which_bomb_zone is_freeze_period is_warmup_period is_terrorist_timeout is_ct_timeout "
-    "is_technical_timeout is_waiting_for_resume is_match_started game_phase"
-).split()
+    "game_time", "is_bomb_planted", "which_bomb_zone", "is_freeze_period", "is_warmup_period", "is_terrorist_timeout",
+    "is_ct_timeout", "is_technical_timeout", "is_waiting_for_resume", "is_match_started", "game_phase",
+)
 SAME_TICK_EVENTS = ("inferno_startburn", "inferno_expire")
 NO_WORLD_EVENTS = ("server_cvar",)
 EVENT_VIEWS = {
@@ -111,9 +112,15 @@ def enrich_players(events: DataFrame, state: DataFrame, roles: list[str] | None
     return rows.select(*events.columns, *[c for c in rows.columns if c not in events.columns and c != "_at"])
 
 
-def event_view(frame: DataFrame, name: str, drop: tuple[str, ...] = ()) -> DataFrame:
-    """The events of one view, without the columns that it never fills."""
-    return frame.where(F.col("event_type").isin(*EVENT_VIEWS[name])).drop(*drop)
+def event_view(frame: DataFrame, name: str, drop: tuple[str, ...] | None = None) -> DataFrame:
+    """The events of one view, without the columns that it never fills. Those are found in a pass over the view, which
+    gives one row; ``drop`` names them and saves the pass."""
+    rows = frame.where(F.col("event_type").isin(*EVENT_VIEWS[name]))
+    if drop is None:
+        filled = rows.agg(*[F.bool_or(F.col(c).isNotNull()).alias(c) for c in rows.columns if c not in (*KEY, "event_type")]).first()
+        # a view without rows has nulls here and keeps its columns
+        drop = tuple(c for c, some in filled.asDict().items() if some is False)
+    return rows.drop(*drop)
 
 
 def kills_deaths(deaths: DataFrame, attacker: str = "attacker_name", victim: str = "player_name") -> DataFrame:

@@ -8,11 +8,14 @@ from pyspark.sql import types as T
 
 # Events that only one side of a comparison knows.
 UNTRACKED_EVENTS = (
-    "cs_win_panel_match cs_round_final_beep round_time_warning player_connect player_ping round_announce_match_start "
-    "round_announce_last_round_half cs_win_panel_round announce_phase_end round_announce_final round_mvp player_ping_stop "
-    "player_connect_full player_activate server_message cs_pre_restart cs_intermission vote_cast round_end_upload_stats "
-    "cs_round_start_beep chat_message round_announce_match_point"
-).split()
+    "cs_win_panel_match", "cs_round_final_beep", "round_time_warning", "player_connect", "player_ping",
+    "round_announce_match_start", "round_announce_last_round_half", "cs_win_panel_round", "announce_phase_end",
+    "round_announce_final", "round_mvp", "player_ping_stop", "player_connect_full", "player_activate",
+    "server_message", "cs_pre_restart", "cs_intermission", "vote_cast", "round_end_upload_stats",
+    "cs_round_start_beep", "chat_message", "round_announce_match_point",
+)
+#: The same, of the relay that spectators watch.
+RELAY_EVENTS = "[a-z]+tv_(chase|fixed|versioninfo)"
 COMPOSITE_EVENTS = ("grenade_data",)
 
 
@@ -41,9 +44,10 @@ def frames_equal(left: DataFrame, right: DataFrame, abs_tol: float = 5.0) -> Dat
     return both.withColumn("side", side).where("side IS NOT NULL").select("side", *exact, *[f"{s}_{c}" for c in loose for s in ("left", "right")])
 
 
-def event_set_diff(left: DataFrame, right: DataFrame, exclude_left: tuple[str, ...] = tuple(UNTRACKED_EVENTS), exclude_right: tuple[str, ...] = COMPOSITE_EVENTS) -> DataFrame:
-    """V2: (event_type, left_rows, right_rows) of names that are not as often in both lists (event_type)."""
-    a = left.where(F.col("event_type").isNotNull() & ~F.col("event_type").isin(*exclude_left)).select("event_type", F.lit(1).alias("l"), F.lit(0).alias("r"))
+def event_set_diff(left: DataFrame, right: DataFrame, exclude_left: tuple[str, ...] = UNTRACKED_EVENTS, exclude_right: tuple[str, ...] = COMPOSITE_EVENTS, exclude_left_pattern: str = RELAY_EVENTS) -> DataFrame:
+    """V2: (event_type, left_rows, right_rows) of names that are not as often in both lists (event_type). The left list is
+    read without the names of exclude_left and without those that the whole of exclude_left_pattern matches."""
+    a = left.where(F.col("event_type").isNotNull() & ~F.col("event_type").isin(*exclude_left) & ~F.col("event_type").rlike(f"^(?:{exclude_left_pattern})$")).select("event_type", F.lit(1).alias("l"), F.lit(0).alias("r"))
     b = right.where(F.col("event_type").isNotNull() & ~F.col("event_type").isin(*exclude_right)).select("event_type", F.lit(0).alias("l"), F.lit(1).alias("r"))
     return a.union(b).groupBy("event_type").agg(F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows")).where("left_rows <> right_rows")
 

@@ -98,18 +98,17 @@ def match_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def payload_json(spark: SparkSession, d: str) -> DataFrame:
-    """(value): a JSON document for each match with an even number."""
+    """(value): a JSON document for each match."""
     teams = view(spark, d, "teams")
-    even = F.col("match_id") % 2 == 0
-    veto = view(spark, d, "match_veto").where(even).join(teams, "team_id", "left")
+    veto = view(spark, d, "match_veto").join(teams, "team_id", "left")
     vetoes = veto.groupBy("match_id").agg(F.collect_list(F.struct(F.col("step").alias("stepNumber"), F.coalesce("team_name", F.lit("")).alias("teamName"), F.col("action_id").alias("vetoActionID"), F.col("map_id").alias("mapID"))).alias("matchVeto"))
-    played = view(spark, d, "match_maps").where(even)
+    played = view(spark, d, "match_maps")
     names = {f"team{n}{S}Score": f"team{n}_{s}score" for n in (1, 2) for s, S in (("", ""), ("t_", "T"), ("ct_", "CT"))}
     results = played.where("team1_score IS NOT NULL").groupBy("match_id").agg(F.collect_list(F.struct(F.col("map_id").alias("mapID"), *[F.col(c).alias(n) for n, c in names.items()])).alias("results"))
     line = F.struct(F.col("map_id").alias("mapID"), F.lit(1).alias("sideID"), F.col("team1_t_score").alias("kills"), F.col("team2_t_score").alias("deaths"), (F.col("team1_ct_score") + 0.5).alias("ADR"), F.lit(1.25).alias("swingPct"), (F.col("team2_ct_score") / 4).alias("rating"), F.lit("3.0").alias("ratingVersion"))
     player = view(spark, d, "match_players").join(view(spark, d, "players"), "player_id").join(teams, "team_id")
     stats = played.join(player, "match_id").groupBy("match_id", "alias", "team_name").agg(F.collect_list(line).alias("stats"))
     players = stats.groupBy("match_id").agg(F.collect_list(F.struct("alias", F.col("team_name").alias("team"), "stats")).alias("players"))
-    rows = view(spark, d, "matches").where(even).join(vetoes, "match_id", "left").join(results, "match_id", "left").join(players, "match_id", "left")
+    rows = view(spark, d, "matches").join(vetoes, "match_id", "left").join(results, "match_id", "left").join(players, "match_id", "left")
     when = F.when(F.col("match_id") % 10 == 0, "").otherwise(F.date_format(F.col("match_date").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss"))
     return rows.select(F.to_json(F.struct(F.col("match_id").alias("matchID"), when.alias("matchDate"), F.concat(F.lit("note "), F.col("match_id").cast("string")).alias("matchNotes"), F.col("demo_link").alias("demoLink"), "matchVeto", "players", "results")).alias("value"))

@@ -13,19 +13,41 @@ from ..schemas import PAYLOAD, TABLES
 
 
 def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The tables' current versions: the pointer file below root has a line for each table and its folder."""
-    lines = [r.value.split("\t") for r in spark.read.text(f"{root}/current").collect()]
-    return {name: spark.read.schema(TABLES[name]).parquet(f"{root}/{folder}") for name, folder in lines}
+    """The tables' current versions, as the newest pointer below root has them."""
+    return {name: spark.read.schema(TABLES[name]).parquet(f"{root}/{folder}") for name, folder in current_folders(spark, root)[1].items()}
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], unchanged: dict[str, str] | None = None) -> None:
-    """Writes the tables into new folders and then the pointer to them and to the unchanged ones, so that readers see all
-    of the new versions or none."""
+POINTER = "version long, name string, folder string"
+
+
+def current_folders(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
+    """The newest version's number and, for each table, its folder."""
+    pointers = spark.read.schema(POINTER).parquet(f"{root}/current")
+    rows = pointers.join(pointers.agg(F.max("version").alias("version")), "version").collect()
+    return rows[0].version, {r.name: r.folder for r in rows}
+
+
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], number: int = 0, unchanged: dict[str, str] | None = None) -> None:
+    """Writes the tables into new folders and then adds a pointer, one small file, to them and to the unchanged ones. Older
+    pointers stay, so readers see all of the new versions or all of those before."""
     version = f"v-{uuid.uuid4().hex}"
     for name, df in tables.items():
         df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name]]).write.parquet(f"{root}/{version}/{name}")
     folders = (unchanged or {}) | {name: f"{version}/{name}" for name in tables}
-    spark.createDataFrame([(f"{n}\t{f}",) for n, f in sorted(folders.items())], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
+    spark.createDataFrame([(number, n, f) for n, f in sorted(folders.items())], POINTER).coalesce(1).write.mode("append").parquet(f"{root}/current")
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Deletes the folders that none of the ``keep`` newest pointers names. Readers of older versions have to be done."""
+    pointers = spark.read.schema(POINTER).parquet(f"{root}/current")
+    newest = pointers.select("version").distinct().orderBy(F.desc("version")).limit(keep)
+    named = {r.folder for r in pointers.join(newest, "version").select("folder").distinct().collect()}
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for version in (s.getPath() for s in files.listStatus(top) if s.getPath().getName().startswith("v-")):
+        for table in (s.getPath() for s in files.listStatus(version)):
+            if f"{version.getName()}/{table.getName()}" not in named:
+                files.delete(table, True)
 
 
 def start_match_load(spark: SparkSession, in_dir: str, tables_dir: str, checkpoint: str) -> StreamingQuery:
@@ -37,11 +59,12 @@ def start_match_load(spark: SparkSession, in_dir: str, tables_dir: str, checkpoi
         payloads = batch.where("matchID IS NOT NULL")
         # of payloads for one match in a batch the last page by date counts
         last = payloads.groupBy("matchID").agg(F.max_by(F.struct(*PAYLOAD.fieldNames()), F.coalesce("matchDate", F.lit(""))).alias("p")).select("p.*")
+        last = last.persist()  # every table reads it
+        version, folders = current_folders(session, tables_dir)
         tables = current_tables(session, tables_dir)
         loaded = load_match_payload(tables, last)
-        changed = {n: df for n, df in loaded.items() if df is not tables[n]}
-        folders = dict(r.value.split("\t") for r in session.read.text(f"{tables_dir}/current").collect())
-        publish(session, tables_dir, changed, folders)
+        publish(session, tables_dir, {n: df for n, df in loaded.items() if df is not tables[n]}, version + 1, folders)
+        last.unpersist()
 
     stream = spark.readStream.schema(PAYLOAD).json(in_dir)
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

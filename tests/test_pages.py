@@ -69,3 +69,31 @@ def test_listing_pages_hold_a_bounded_number_of_records(spark):
     for made, mark, whole in ((SP.event_pages, "small-event", view(spark, d, "tournaments")), (SP.result_pages, "result-con", view(spark, d, "matches"))):
         sizes = [r.html.count(mark) for r in made(spark, d).select("html").collect()]
         assert max(sizes) <= 25 and sum(sizes) == whole.count()
+
+
+def test_veto_lines_equal_the_patterns_of_the_pages():
+    known = [
+        ("1. Team B picked Dust 2", (1, "Team B", 1, 8)),
+        ("2. A Removed nuke", (2, "A", 2, 3)),
+        ("7. Mirage was left over", (7, "", 3, 1)),
+        ("7.Dust 2 left-over (decider)", (7, "", 3, 8)),
+        ("7. Train LEFTOVER", (7, "", 3, 9)),
+        ("3. A banned Train", None),
+        ("3. A pick Train", None),
+        ("x. A picked Train", None),
+        ("3 A picked Train", None),
+        ("3. picked Train", None),
+        ("3. A picked", None),
+        ("4. was left over", None),
+        ("4.", None),
+        ("", None),
+    ]
+    assert [P.veto_line(line) for line, _ in known] == [v for _, v in known]
+
+
+def test_malformed_events_and_event_teams(spark):
+    event = '<a class="small-event" href="/events/{}"><div class="event-col"><div class="text-ellipsis">{}</div></div><span class="prizePoolEllipsis">$1</span></a>'
+    html = event.format(1, " Cup ") + '<a class="small-event" href="/events/2"><p>no name</p></a>' + event.format(3, "Cup 3").replace(' href="/events/3"', "")
+    assert [r.name for r in P.extract_events(pages(spark, html)).collect()] == ["Cup"]
+    teams = '<div class="team-box"><div class="team-name"><div class="text">A</div></div></div><div class="team-box"><div class="team-name">B</div></div><div class="team-box">'
+    assert [r.team_name for r in P.extract_event_teams(pages(spark, teams)).collect()] == ["A"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scrimspark.operators import warehouse as W
 from scrimspark.operators.numbering import numbered
 from scrimspark.schemas import PAYLOAD, TABLES
-from scrimspark.streaming.load import current_tables, publish, start_match_load
+from scrimspark.streaming.load import current_tables, drop_old_versions, publish, start_match_load
 
 
 def line(map_id, side=1, kills=10):
@@ -134,3 +134,15 @@ def test_numbering_in_ranges(spark):
     assert [r.new_id for r in out.orderBy(F.col("o").asc_nulls_first()).collect()] == list(range(41, 5041))
     assert "row_number" not in out._jdf.queryExecution().toString()
     assert numbered(rows.limit(0), "n", ["o"]).count() == 0
+
+
+def test_readers_see_the_newest_whole_version_and_old_ones_go(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    for number in range(3):
+        publish(spark, root, {"teams": spark.createDataFrame([(number, "a")], TABLES["teams"])}, number)
+    # a version whose pointer was never written doesn't count
+    spark.createDataFrame([(9, "b")], TABLES["teams"]).write.parquet(f"{root}/v-broken/teams")
+    assert [r.team_id for r in current_tables(spark, root)["teams"].collect()] == [2]
+    drop_old_versions(spark, root, keep=1)
+    assert [r.team_id for r in current_tables(spark, root)["teams"].collect()] == [2]
+    assert len(list((tmp_path / "tables").glob("v-*/teams"))) == 1
