@@ -1,33 +1,38 @@
-"""Operator 5: byte-level BPE encoding and decoding, long texts by overlapping chunks.
+"""Operator 5: byte-level BPE encoding and decoding by overlapping chunks.
 
-A text of more than ``chunk`` characters is cut into chunks that overlap. Each chunk is pre-tokenised by itself, in
-parallel. Two neighbours are stitched at a boundary that both found in their overlap: a match depends on nothing before
-it, so from a common boundary on the right chunk's matches are those of the whole text; and the left chunk's are, as long
-as the boundary lies well before its end (see ``settled``). The pieces between the stitches are then encoded one by one
-and their ids concatenated. Texts without such a boundary in some overlap are encoded in one piece. Decoding concatenates
-the bytes of the ids.
+A text is cut into chunks of some hundred characters that overlap. Each chunk is pre-tokenised by itself, from wherever it
+starts. Two neighbours are stitched where their boundaries resynchronise: at the first boundary in the overlap that both
+found and that is certain. A boundary is certain if the two characters around it make it one whatever comes before and
+after, for instance a letter and a digit, a full stop and a letter, or anything and a space after it; so it is one of the
+whole text. The pieces between the stitches are encoded one by one and their ids concatenated. Neighbours without such a
+boundary stay in one piece. Texts of more than ``section`` characters are first dealt to several tasks, by sections that
+overlap and are stitched in the same way. Decoding concatenates the bytes of the ids.
 
 Nulls, ties, empty input: a null text counts as empty and has no ids; repeated rows give repeated rows; an empty table
-gives an empty result. Input columns named like an output column are replaced.
+gives an empty result; a text of any length is encoded whole, and what a task holds of it is a section, unless nothing but
+letters, or nothing but digits, or signs, or spaces fills the overlaps. Input columns named like an output column are
+replaced.
 """
 
 from __future__ import annotations
 
 import base64
+import itertools
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import small_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Matches look at most two letters past a contraction's mark; the rest is a margin.
-MARGIN = 8
+#: Characters by which sections overlap.
+SEAM = 1024
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -58,91 +63,126 @@ def splitter():
     return regex.compile(public_tokenizers.PATTERN)
 
 
-def settled(text: str) -> int:
-    """Boundaries up to here are the same however the text goes on: a non-space character follows them with a margin."""
-    at = len(text) - MARGIN
-    while at > 0 and text[at - 1].isspace():
-        at -= 1
-    return max(at - 1, 0)
+class Classes(dict):
+    """What the pattern tells apart: L (letter), N (number), S (space) or O (other); empty for characters that Unicode 3.2
+    did not have or classed in another way, as later tables of the engines may not agree on them."""
 
+    def __missing__(self, c: str) -> str:
+        found = {self._of(c, unicodedata), self._of(c, unicodedata.ucd_3_2_0)}
+        self[c] = value = found.pop() if len(found) == 1 else ""
+        return value
 
-def boundaries(text: str, first: int, last: int) -> list[int]:
-    """Ends of matches in [first, last] that lie between a character and the space or line end after it; there the
-    tables of the regex engines can't differ."""
-    ends = (m.end() for m in splitter().finditer(text))
-    return [e for e in ends if first <= e <= last and text[e : e + 1] in (" ", "\n") and not text[e - 1].isspace()]
+    @staticmethod
+    def _of(c: str, tables) -> str:
+        kind = tables.category(c)
+        # \x1c to \x1f: space to some engines only
+        return "" if kind == "Cn" or "\x1c" <= c <= "\x1f" else "S" if c.isspace() else kind[0] if kind[0] in "LN" else "O"
 
 
-def _encode_rows(path: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(path)[0]
-        for b in batches:
-            ids = [np.asarray(bpe.encode_ordinary(t or ""), dtype="<u4").tobytes() for t in b["text"]]
-            yield b.drop(columns="text").assign(ids=ids)
+CLASSES = Classes()
 
-    return run
 
+def certain(text: str, at: int) -> bool:
+    """Whether a match of the pattern ends between text[at - 1] and text[at], whatever is around them: no match goes on from
+    a letter, a number or a sign to a space or another class, but for the letters of 's and the like after an apostrophe."""
+    a, b = CLASSES[text[at - 1]], CLASSES[text[at]]
+    if not a or not b or a == b or a == "S":
+        return False
+    return not (a == "O" and b == "L" and text[at - 1] == "'")
 
-def _encode_long(docs: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
-    """Rows (text, rest) as (rest, ids)."""
-    step = chunk - overlap
-    last = F.ceil((F.length("text") - overlap) / step).cast("int") - 1
-    cut = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_at", F.explode(F.sequence(F.lit(0), F.greatest(last, F.lit(0)))))
-    cut = cut.select("_row", "_at", F.when(F.col("_at") == 0, F.col("_rest")).alias("_rest"), F.substr("text", F.col("_at") * step + 1, F.lit(chunk)).alias("_chunk"))
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            left = [boundaries(t[: overlap + MARGIN], 1, overlap) for t in b["_chunk"]]
-            right = [[e - step for e in boundaries(t, step + 1, settled(t))] for t in b["_chunk"]]
-            yield b.assign(_left=left, _right=right)
-
-    found = cut.mapInPandas(find, T.StructType([*cut.schema.fields, *[T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("_left", "_right")]]))
-    line = Window.partitionBy("_row").orderBy("_at")
-    begin = F.array_min(F.array_intersect("_left", F.lag("_right").over(line)))
-    end = F.array_min(F.array_intersect("_right", F.lead("_left").over(line))) + step
-    pieces = found.withColumn("_begin", F.when(F.col("_at") == 0, 0).otherwise(begin)).withColumn("_end", F.when(F.lead("_at").over(line).isNull(), F.length("_chunk")).otherwise(end))
-    open_ = F.max((F.col("_begin").isNull() | F.col("_end").isNull()).cast("int")).over(Window.partitionBy("_row")) == 1
-    pieces = pieces.withColumn("_open", open_)
-    pieces = pieces.withColumn("text", F.when(F.col("_open"), F.col("_chunk")).otherwise(F.substr("_chunk", F.col("_begin") + 1, F.col("_end") - F.col("_begin"))))
-    pieces = pieces.select("_row", "_at", "_rest", "_open", "text")
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def stitches(text: str, chunk: int, overlap: int) -> list[int]:
+    """Where the matches of overlapping chunks, each pre-tokenised by itself, are stitched; increasing."""
+    out: list[int] = []
+    if len(text) <= chunk:
+        return out
+    step, find, left = chunk - overlap, splitter().finditer, frozenset()
+    for start in range(0, len(text) - overlap, step):
+        ends = [m.end() for m in find(text, start, start + chunk)]
+        last = min(start + overlap, len(text) - 1)
+        common = (e for e in ends if start < e <= last and e in left and certain(text, e))
+        out.extend(e for e, _ in zip(common, range(1), strict=False))
+        left = frozenset(e for e in ends if e > start + step)
+    return out
+
+
+def encode_text(bpe, text: str, chunk: int, overlap: int) -> bytes:
+    """The ids of a text, little-endian unsigned 32-bit."""
+    cuts = [0, *stitches(text, chunk, overlap), len(text)]
+    return b"".join(np.asarray(bpe.encode_ordinary(text[a:b]), dtype="<u4").tobytes() for a, b in itertools.pairwise(cuts))
+
+
+def seam(zone: str) -> int | None:
+    """The first certain boundary in the overlap of two sections. It depends on the overlap alone, so both find the same."""
+    return next((m.end() for m in splitter().finditer(zone) if m.end() < len(zone) and certain(zone, m.end())), None)
+
+
+def _encode_sections(docs: DataFrame, path: str, chunk: int, overlap: int, section: int) -> DataFrame:
+    """Rows (text, _rest) of long texts as (_rest, ids)."""
+    wide = min(SEAM, section // 2)
+    last = F.ceil(F.length("text") / section).cast("int") - 1
+    cut = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_last", last).withColumn("_at", F.explode(F.sequence(F.lit(0), last)))
+    cut = cut.select("_row", "_at", (F.col("_at") == F.col("_last")).alias("_ends"), F.when(F.col("_at") == 0, F.col("_rest")).alias("_rest"), F.substr("text", F.col("_at") * section + 1, F.lit(section + wide)).alias("text"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = encoder(path)[0]
         for b in batches:
-            b["ids"] = [b"" if o else np.asarray(bpe.encode_ordinary(t), dtype="<u4").tobytes() for o, t in zip(b["_open"], b["text"], strict=True)]
-            b["text"] = [t if o else "" for o, t in zip(b["_open"], b["text"], strict=True)]
-            yield b
-
-    encoded = pieces.mapInPandas(encode, T.StructType([*pieces.schema.fields, T.StructField("ids", T.BinaryType())]))
-    parts = encoded.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "_open", "text", "ids"))).alias("_parts"), F.first("_rest", ignorenulls=True).alias("_rest"))
+            glued, open_, ids, texts = [], [], [], []
+            for at, ends, text in zip(b["_at"], b["_ends"], b["text"], strict=True):
+                first = 0 if at == 0 else seam(text[:wide])
+                after = None if ends else seam(text[section : section + wide])
+                whole = text[first or 0 : len(text) if ends else section + (after or 0)]
+                glued.append(first is None)
+                open_.append(not ends and after is None)
+                apart = glued[-1] or open_[-1]
+                ids.append(b"" if apart else encode_text(bpe, whole, chunk, overlap))
+                texts.append(whole if apart else "")
+            yield b.drop(columns="_ends").assign(_glued=glued, _open=open_, ids=ids, text=texts)
+
+    fields = [f for f in cut.schema.fields if f.name != "_ends"]
+    kinds = (("_glued", T.BooleanType()), ("_open", T.BooleanType()), ("ids", T.BinaryType()))
+    encoded = cut.repartition("_row", "_at").mapInPandas(run, T.StructType([*fields, *[T.StructField(n, k) for n, k in kinds]]))
+    parts = encoded.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "_glued", "_open", "text", "ids"))).alias("_parts"), F.first("_rest", ignorenulls=True).alias("_rest"))
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ids = []
-            for p in b["_parts"]:
-                if p[0]["_open"]:  # some overlap had no common boundary: the whole text in one piece
-                    text = p[0]["text"] + "".join(x["text"][overlap:] for x in p[1:])
-                    ids.append(np.asarray(encoder(path)[0].encode_ordinary(text), dtype="<u4").tobytes())
-                else:
-                    ids.append(b"".join(x["ids"] for x in p))
+            for parts in b["_parts"]:
+                out, held = [], ""
+                for p in parts:
+                    if p["_glued"] or p["_open"]:
+                        held += p["text"]
+                        if p["_open"]:
+                            continue
+                        out.append(encode_text(encoder(path)[0], held, chunk, overlap))
+                        held = ""
+                    else:
+                        out.append(p["ids"])
+                ids.append(b"".join(out))
             yield b[["_rest"]].assign(ids=ids)
 
     flat = parts.select("_rest", "_parts")
     return flat.mapInPandas(join, T.StructType([flat.schema["_rest"], T.StructField("ids", T.BinaryType())]))
 
 
-def encode(docs: DataFrame, path: str | None = None, chunk: int = 1 << 15, overlap: int = 1 << 10) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, chunk: int = 512, overlap: int = 64, section: int = 1 << 18) -> DataFrame:
     """docs (text and any more) with ids in place of text: little-endian unsigned 32-bit integers. ``path``: a file of
-    ranks. Short texts never move; only the chunks of long ones are shuffled, to meet their neighbours."""
+    ranks. Texts never move but for the sections of those that have several."""
     path = path or vocabulary_path()
+    small_batches(docs.sparkSession)
     docs = docs.drop("ids")
     others = [c for c in docs.columns if c != "text"]
-    long = F.coalesce(F.length("text"), F.lit(0)) > chunk
-    fields = [f for f in docs.schema.fields if f.name != "text"]
-    schema = T.StructType([*fields, T.StructField("ids", T.BinaryType())])
-    short = docs.where(~long).mapInPandas(_encode_rows(path), schema)
+    long = F.coalesce(F.length("text"), F.lit(0)) > section
+    schema = T.StructType([*[f for f in docs.schema.fields if f.name != "text"], T.StructField("ids", T.BinaryType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bpe = encoder(path)[0]
+        for b in batches:
+            yield b.drop(columns="text").assign(ids=[encode_text(bpe, t or "", chunk, overlap) for t in b["text"]])
+
+    short = docs.where(~long).mapInPandas(run, schema)
     rest = docs.where(long).select("text", F.struct(*(others or [F.lit(1).alias("_none")])).alias("_rest"))
-    stitched = _encode_long(rest, path, chunk, overlap)
+    stitched = _encode_sections(rest, path, chunk, overlap, section)
     return short.unionByName(stitched.select(*[F.col(f"_rest.{c}").alias(c) for c in others], "ids"))
 
 

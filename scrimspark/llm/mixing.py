@@ -1,24 +1,25 @@
 """Operator 10: mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
 Each source's words, in a seeded order, form streams (shards) that are cut into blocks of ``block_words``. The budget of
-blocks goes to the sources by the highest quotients target / (2k + 1), each source's quota to its shards by the
-quotients of the shards' sizes, and in each shard a seeded permutation picks as many blocks as its quota says. A quota
-above the shard's number of blocks takes the whole shard once and picks the rest again.
+blocks goes to the sources by the highest quotients target / (2k + 1), each source's quota to groups of shards and each
+group's to its shards by the quotients of their sizes. In each shard the blocks with the smallest keyed hashes are picked,
+as many as its quota says. A quota above the shard's number of blocks takes the whole shard once and picks the rest again.
 
 Nulls, ties, empty input: a null or empty text has size 0 and is never taken; a null source is a source of its own, the
-last; rows that repeat a doc_id are separate stretches of the stream; an empty table gives an empty result. Columns of
-the input that are named like an output column are replaced.
+last; rows that repeat a doc_id are separate stretches of the stream; a text of any length is one row, and its blocks a
+list of its length / ``block_words``; an empty table gives an empty result. Columns of the input that are named like an
+output column are replaced; other names can't clash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, keep, table, text_or_empty
 
-#: Multiplies block numbers modulo the number of blocks; prime, so it permutes any smaller number of blocks.
-STRIDE = 2147483647
+#: Shards that are apportioned together.
+SHARD_GROUP = 1024
 
 
 def sainte_lague(votes: DataFrame, group: list[str], votes_col: str, seats_col: str, order: list[str], out: str) -> DataFrame:
@@ -79,55 +80,57 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, c
     )
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: tuple[float, ...] = (5, 2, 1),
-    share: float = 1.5,
-    cap: float = 2.0,
-    block_words: int = 64,
-    shard_words: int = 1 << 18,
-    seed: str = "mix",
-) -> DataFrame:
-    """docs (doc_id, source, text and any more) with size, source_size, target, taken (words, repeats counted), copies
-    (times that the whole text is taken) and ranges (word ranges [first, end) that are taken once more).
+def words() -> Column:
+    return F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
+
+
+def _digest(seed: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
+
+
+OUTPUT = ("size", "source_size", "target", "taken", "copies", "ranges")
+
+
+def _mixed(light: DataFrame, rows: DataFrame, weights: tuple[float, ...], share: float, cap: float, block_words: int, shard_words: int, seed: str) -> DataFrame:
+    """rows (doc_id, source, size, _digest and any more that start with _mix) with the other columns of OUTPUT. light: the
+    same documents' source, size and _digest.
 
     A source of any size is cut into shards of about ``shard_words``, so no task holds a source. Only the tables of
     sources and of shards are kept between the passes; both are small and Spark joins them by their measured size.
     """
-    for c in ("size", "source_size", "target", "taken", "copies", "ranges"):
-        docs = docs.drop(c)
-    docs = docs.withColumn("size", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
-    sources = keep(source_targets(docs, weights, share, cap), "mix-sources")
+    sources = keep(source_targets(light, weights, share, cap), "mix-sources")
     blocks = sources.agg(F.floor(F.sum("target") / block_words + 0.5).cast("long").alias("_all"))
     quota = sainte_lague(sources.crossJoin(F.broadcast(blocks)).withColumn("_one", F.lit(1)), ["_one"], "target", "_all", ["rank"], "_quota")
     quota = keep(quota.withColumn("_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")).drop("_all", "_one"), "mix-quota")
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
-    docs = docs.withColumn("_digest", digest)
-
-    def placed(left: DataFrame, names: list[str]) -> DataFrame:
-        return (
-            left.join(quota.withColumnRenamed("source", "_source"), left["source"].eqNullSafe(F.col("_source")))
-            .withColumn("_shard", F.conv(F.substring("_digest", 1, 8), 16, 10).cast("long") % F.col("_shards"))
-            .select(*names, "source_size", "target", "rank", "_quota", "_shard")
-        )
-
-    shards = placed(docs.select("source", "size", "_digest"), ["size"]).groupBy("rank", "_shard", "_quota").agg(F.sum("size").alias("_words"))
-    shards = sainte_lague(shards, ["rank"], "_words", "_quota", ["_shard"], "_take")
-    shards = keep(
+
+    def placed(left: DataFrame) -> DataFrame:
+        there = quota.withColumnRenamed("source", "_source")
+        shard = F.conv(F.substring("_digest", 1, 8), 16, 10).cast("long") % F.col("_shards")
+        return left.join(there, left["source"].eqNullSafe(there["_source"])).withColumn("_shard", shard).drop("_source", "_shards")
+
+    group = F.floor(F.col("_shard") / SHARD_GROUP).alias("_group")
+    shards = placed(light).groupBy("rank", group, "_shard", "_quota").agg(F.sum("size").alias("_words"))
+    shards = keep(shards, "mix-shards")
+    groups = sainte_lague(shards.groupBy("rank", "_group", "_quota").agg(F.sum("_words").alias("_words")), ["rank"], "_words", "_quota", ["_group"], "_seats")
+    shards = sainte_lague(shards.drop("_quota").join(groups.select("rank", "_group", "_seats"), ["rank", "_group"]), ["rank", "_group"], "_words", "_seats", ["_shard"], "_take")
+
+    def key(b: Column) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(seed), "rank", "_shard", b))
+
+    keys = F.array_sort(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1), key))
+    shards = (
         shards.withColumn("_blocks", F.greatest(F.lit(1), F.ceil(F.col("_words") / block_words)).cast("long"))
         .withColumn("_take", F.least(F.col("_take"), (F.floor(F.lit(cap)) * F.col("_blocks")).cast("long")))
-        .withColumn("_shift", F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "rank", "_shard")), 1, 8), 16, 10).cast("long") % F.col("_blocks"))
-        .select(F.col("rank").alias("_r"), F.col("_shard").alias("_s"), "_blocks", "_shift", F.expr("_take div _blocks").alias("copies"), (F.col("_take") % F.col("_blocks")).alias("_more")),
-        "mix-shards",
+        .withColumn("copies", F.expr("_take div _blocks"))
+        .withColumn("_more", F.col("_take") % F.col("_blocks"))
+        .withColumn("_last", F.when(F.col("_more") > 0, F.element_at(keys, F.col("_more").cast("int"))))
+        .select(F.col("rank").alias("_r"), F.col("_shard").alias("_s"), "copies", "_last")
     )
+    shards = keep(shards, "mix-picks")
     stream = Window.partitionBy("rank", "_shard").orderBy("_digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = placed(docs, [*docs.columns])
-    rows = rows.withColumn("_start", F.coalesce(F.sum("size").over(stream), F.lit(0)))
+    rows = placed(rows).withColumn("_start", F.coalesce(F.sum("size").over(stream), F.lit(0)))
     rows = rows.join(shards, (rows["rank"] == shards["_r"]) & (rows["_shard"] == shards["_s"]))
-    chosen = F.filter(
-        F.sequence(F.expr(f"_start div {block_words}"), F.expr(f"(_start + size - 1) div {block_words}")),
-        lambda b: (b * F.lit(STRIDE) + F.col("_shift")) % F.col("_blocks") < F.col("_more"),
-    )
+    chosen = F.filter(F.sequence(F.expr(f"_start div {block_words}"), F.expr(f"(_start + size - 1) div {block_words}")), lambda b: key(b) <= F.col("_last"))
     ranges = F.transform(
         chosen,
         lambda b: F.struct(
@@ -136,17 +139,44 @@ def mix_sources(
         ),
     )
     empty = F.array().cast("array<struct<first:bigint,end:bigint>>")
-    rows = rows.withColumn("ranges", F.when((F.col("size") > 0) & (F.col("_more") > 0), ranges).otherwise(empty))
+    rows = rows.withColumn("ranges", F.when((F.col("size") > 0) & F.col("_last").isNotNull(), ranges).otherwise(empty))
     more = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["first"])
-    rows = rows.withColumn("taken", F.col("size") * F.col("copies") + more)
-    return rows.select(*[c for c in docs.columns if c not in ("_digest",)], "source_size", "target", "taken", "copies", "ranges")
+    return rows.withColumn("taken", F.col("size") * F.col("copies") + more)
+
+
+def mix_sources(
+    docs: DataFrame,
+    weights: tuple[float, ...] = (5, 2, 1),
+    share: float = 1.5,
+    cap: float = 2.0,
+    block_words: int = 64,
+    shard_words: int = 1 << 18,
+    seed: str = "mix",
+) -> DataFrame:
+    """docs (doc_id, source, text and any more) with size, source_size, target, taken (words, repeats counted), copies
+    (times that the whole text is taken) and ranges (word ranges [first, end) that are taken once more). Words are counted
+    in two passes: for the plan, and with the texts that it is applied to."""
+    docs = docs.drop(*OUTPUT)
+    light = keep(docs.select("source", words().alias("size"), _digest(seed).alias("_digest")), "mix-sizes")
+    rows = docs.select(F.struct(*docs.columns).alias("_mix_row"), "doc_id", "source", words().alias("size"), _digest(seed).alias("_digest"))
+    return _mixed(light, rows, weights, share, cap, block_words, shard_words, seed).select("_mix_row.*", *OUTPUT)
+
+
+def mix_report(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, block_words: int = 64, shard_words: int = 1 << 18, seed: str = "mix") -> DataFrame:
+    """As mix_sources(), with doc_id and source in place of the other columns: words are counted once."""
+    light = keep(docs.select("doc_id", "source", words().alias("size"), _digest(seed).alias("_digest")), "mix-sizes")
+    return _mixed(light.drop("doc_id"), light, weights, share, cap, block_words, shard_words, seed).select("doc_id", "source", *OUTPUT)
+
+
+#: A word and the white space after it.
+SPACED_WORD = WORD + r"[\x20\x09-\x0D]*"
 
 
 def mixed_documents(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The texts of the mix, from what mix_sources returns: each whole copy is a row, and the further ranges of a
-    document are one more row, their words joined by a space (the whole text as it is if they are all of it)."""
-    words = F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0))
-    part = F.array_join(F.flatten(F.transform("ranges", lambda r: F.slice(words, (r["first"] + 1).cast("int"), (r["end"] - r["first"]).cast("int")))), " ")
+    document are one more row, with the white space that the words have in the text."""
+    found = F.regexp_extract_all(text_or_empty(), F.lit(SPACED_WORD), F.lit(0))
+    part = F.array_join(F.flatten(F.transform("ranges", lambda r: F.slice(found, (r["first"] + 1).cast("int"), (r["end"] - r["first"]).cast("int")))), "")
     whole = mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     rest = mixed.where(F.size("ranges") > 0).withColumn("text", F.when(F.col("taken") == F.col("size") * (F.col("copies") + 1), F.col("text")).otherwise(part))
     rest = rest.withColumn("_copy", F.lit(0).cast("long"))
@@ -158,7 +188,7 @@ def mixed_documents(mixed: DataFrame, columns: list[str]) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_report(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def _apportion(name: str, rows: str, group: str, votes: str, seats: str, order: str, out: str) -> str:
@@ -185,14 +215,18 @@ seats AS (SELECT *, 1 AS one, (SELECT CAST(floor(sum(target) / 64 + 0.5) AS BIGI
 {_apportion("quota", "seats", "one", "target", "blocks_all", "rank", "quota")},
 cut AS (SELECT *, greatest(1, ceil(source_size / {1 << 18}))::BIGINT AS shards FROM quota),
 placed AS (SELECT d.*, source_size, target, rank, quota, ('0x' || substr(digest, 1, 8))::BIGINT % shards AS shard FROM docs d JOIN cut c ON d.source IS NOT DISTINCT FROM c.source),
-shard_words AS (SELECT rank, shard, quota, sum(size)::BIGINT AS words FROM placed GROUP BY ALL),
-{_apportion("shares", "shard_words", "rank", "words", "quota", "shard", "take0")},
+shard_words AS (SELECT rank, shard // {SHARD_GROUP} AS grp, rank || ':' || shard // {SHARD_GROUP} AS group_key, shard, quota, sum(size)::BIGINT AS words FROM placed GROUP BY ALL),
+group_words AS (SELECT rank, grp, group_key, quota, sum(words)::BIGINT AS words FROM shard_words GROUP BY ALL),
+{_apportion("groups_", "group_words", "rank", "words", "quota", "grp", "seats")},
+shard_seats AS (SELECT s.*, seats FROM shard_words s JOIN groups_ g USING (group_key)),
+{_apportion("shares", "shard_seats", "group_key", "words", "seats", "shard", "take0")},
 shard_plan AS (SELECT *, greatest(1, ceil(words / 64))::BIGINT AS blocks FROM shares),
-shard_take AS (SELECT *, least(take0, 2 * blocks) AS take, ('0x' || substr(md5('mix:' || rank || ':' || shard), 1, 8))::BIGINT % blocks AS shift FROM shard_plan),
+shard_take AS (SELECT *, least(take0, 2 * blocks) // blocks AS copies, least(take0, 2 * blocks) % blocks AS more,
+  CASE WHEN least(take0, 2 * blocks) % blocks > 0 THEN list_sort(list_transform(range(blocks), lambda b: md5('mix:' || rank || ':' || shard || ':' || b)))[least(take0, 2 * blocks) % blocks] END AS last_key FROM shard_plan),
 streams AS (SELECT p.*, coalesce(sum(size) OVER (PARTITION BY p.rank, p.shard ORDER BY digest, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM placed p)
 SELECT doc_id, size, source_size, target,
-  (size * (take // blocks) + CASE WHEN size > 0 THEN coalesce(list_sum(list_transform(
-    list_filter(range(start // 64, (start + size - 1) // 64 + 1), lambda b: (b * {STRIDE} + shift) % blocks < take % blocks),
+  (size * copies + CASE WHEN size > 0 AND last_key IS NOT NULL THEN coalesce(list_sum(list_transform(
+    list_filter(range(start // 64, (start + size - 1) // 64 + 1), lambda b: md5('mix:' || s.rank || ':' || s.shard || ':' || b) <= last_key),
     lambda b: least((b + 1) * 64 - start, size) - greatest(b * 64 - start, 0))), 0) ELSE 0 END)::BIGINT AS taken
 FROM streams s JOIN shard_take t ON s.rank = t.rank AND s.shard = t.shard
 """

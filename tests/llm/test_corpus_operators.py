@@ -300,6 +300,22 @@ def test_mixed_texts_have_the_words_taken(spark):
     assert got == {r.doc_id: r.taken for r in mixed.where("taken > 0").collect()}
 
 
+def test_parts_keep_line_breaks_and_clashing_names_pass(spark):
+    text = "\n".join(prose(7) for _ in range(80))
+    rows = spark.createDataFrame([(i, "s" if i < 9 else "t", text.replace(" ", f" {i}"), i) for i in range(10)], "doc_id long, source string, text string, rank long").withColumns({c: F.lit("x") for c in ("_shard", "_quota", "_start", "weight", "_mix")})
+    mixed = mixing.mix_sources(rows)
+    assert mixed.columns == [*rows.columns, *mixing.OUTPUT] and {r["rank"] for r in mixed.collect()} == set(range(10))
+    want = []
+    for r in mixed.collect():
+        spaced = re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", r.text)
+        part = "".join("".join(spaced[x.first : x.end]) for x in r.ranges)
+        want += [(r.doc_id, r.text)] * r.copies + [(r.doc_id, part)] * (part != "")
+    assert sorted(want) == sorted(tuple(r) for r in mixing.mixed_documents(mixed, ["doc_id", "text"]).collect())
+    assert any(t.count("\n") > 3 and t != text for _, t in want)
+    other = {r.doc_id: r.taken for r in mixing.mix_sources(rows, seed="other").collect()}
+    assert other != {r.doc_id: r.taken for r in mixed.collect()}
+
+
 def test_sainte_lague_equals_the_highest_quotients(spark):
     for seats in (0, 1, 7, 100, 1001):
         votes = [0.0, 1.0, 3.0, 3.0, 10.5, 250.0, 999.0]

@@ -64,13 +64,34 @@ def test_bpe_equals_the_library_and_decodes(spark, chunk, overlap):
     assert byte_bpe.encode(docs.limit(0)).count() == 0
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(st.sampled_from("ab \n\t'sé1!　"), min_size=10, max_size=200), st.integers(5, 60))
-def test_stitched_boundaries_are_those_of_the_whole(text, cut):
-    left = text[: min(len(text), cut + 20)]
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from("ab \n\t'sté1!.　日本。२\x85😀"), max_size=200), st.integers(3, 30), st.integers(1, 9))
+def test_stitches_are_boundaries_of_the_whole(text, more, overlap):
     whole = {m.end() for m in byte_bpe.splitter().finditer(text)}
-    assert set(byte_bpe.boundaries(left, 0, byte_bpe.settled(left))) <= whole
-    assert {e + cut for e in byte_bpe.boundaries(text[cut:], 1, len(text))} <= whole | {len(text)} or text[cut - 1 : cut].isspace() is not None
+    cuts = byte_bpe.stitches(text, 2 * overlap + more, overlap)
+    assert set(cuts) <= whole and cuts == sorted(set(cuts))
+    assert all(not byte_bpe.certain(text, e) or e in whole for e in range(1, len(text)))
+    bpe = byte_bpe.encoder(byte_bpe.vocabulary_path())[0]
+    assert byte_bpe.encode_text(bpe, text, 2 * overlap + more, overlap) == np.asarray(bpe.encode_ordinary(text), dtype="<u4").tobytes()
+
+
+def test_most_bytes_go_through_stitched_pieces(spark):
+    """Also in a script without spaces; a single word of any length stays in one piece."""
+    rows = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    stitched = sum(len(t) for t in rows if byte_bpe.stitches(t, 512, 64))
+    assert stitched >= 0.95 * sum(map(len, rows))
+    chinese = "他们在海边看见了很多船，然后回家吃饭。" * 200
+    cuts = byte_bpe.stitches(chinese, 512, 64)
+    assert len(cuts) == len(range(0, len(chinese) - 64, 448)) - 1
+    assert byte_bpe.stitches("x" * 5000, 512, 64) == []
+
+
+@pytest.mark.parametrize("section", [30, 1000])
+def test_sections_of_long_texts(spark, section):
+    bpe = byte_bpe.encoder(byte_bpe.vocabulary_path())[0]
+    texts = [*ODD, "x" * 4000, "word " * 300 + "y" * 3000 + " end." * 200, "。".join("日本語" * 9 for _ in range(60))]
+    for r in byte_bpe.encode(documents(spark, texts, lang="kept"), chunk=64, overlap=16, section=section).collect():
+        assert bytes(r.ids) == np.asarray(bpe.encode_ordinary(texts[r.doc_id] or ""), dtype="<u4").tobytes() and r.lang == "kept"
 
 
 def test_chat_round_trip(spark):
