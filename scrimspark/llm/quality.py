@@ -1,18 +1,21 @@
 """Operator 3: quality rules and robust multivariate outliers.
 
 Each text gives a vector of five transformed statistics. For each language and source, a minimum-covariance-determinant
-estimate (the mean and covariance of the h rows that lie closest together) says how clean texts of that group look; a
-text whose squared Mahalanobis distance from it is above a cut-off is rejected.
+estimate (the mean and covariance of the h rows whose covariance has the least determinant) says how clean texts of that
+group look; a text whose squared Mahalanobis distance from it is above a cut-off is rejected.
 
 The vectors are small integers (steps of a sixteenth of a floor for each statistic), so all sums are exact and reruns
-agree. A C-step is one grouped pass: rows are counted and summed by group and by bin of their distance, and the bins
-closest in, up to h rows, are the next subset. No task or driver holds a group; what is joined is a row for each group.
-The floors are added to the covariances as a ridge, as most texts have no symbol or repeated line at all.
+agree. Equal vectors are counted, so copies are one row. A C-step takes exactly the h rows that are closest: they are
+counted and summed by group and by bin of their distance, the bins closest in are taken whole, and of the bin in which h
+falls the rows are ranked, the last vector with a part of its copies. The starts take two steps each; the best goes on
+until its determinant stops falling. No task or driver holds a group: a group has some ten thousand bins at most, and one
+of them is ranked. The floors are added to the covariances as a ridge, as most texts have no symbol or repeated line.
 
 Nulls, ties, empty input: a null text has no words; a text without words fails the base rule; a null language or source
 is a value of its own; groups with fewer than ``min_group`` rows are pooled by language, then altogether, and if even
-that pool is small its texts are kept; repeated rows count each; an empty table gives an empty result. Input columns
-named like an output column are replaced.
+that pool is small its texts are kept (``pool`` says which of these it was); repeated rows count each; a text of any length
+is one row; an empty table gives an empty result. Input columns named like an output column are replaced; names that start
+with ``_q_`` are reserved.
 """
 
 from __future__ import annotations
@@ -36,7 +39,6 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FLOORS = (0.25, 0.05, 0.01, 0.10, 0.08)
 STEPS = 16
 P = len(FLOORS)
-LARGEST = 1 << 14
 
 
 def text_statistics(text: str) -> tuple[int, int, int, int, int, int]:
@@ -63,9 +65,11 @@ def text_statistics(text: str) -> tuple[int, int, int, int, int, int]:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """docs with BASE, base_failed and the internal `_lines`."""
-    docs = docs.drop(*BASE, "base_failed", "kept", "distance", "_lines")
-    names = [*BASE, "_lines"]
+    """docs with BASE, base_failed and the internal `_q_lines`."""
+    docs = docs.drop(*BASE, "base_failed", "kept", "distance", "pool")
+    if any(c.startswith("_q_") for c in docs.columns):
+        raise ValueError("column names that start with _q_ are reserved")
+    names = [*BASE, "_q_lines"]
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,7 +80,7 @@ def measured(docs: DataFrame) -> DataFrame:
     rows = docs.mapInPandas(run, schema)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     named = [F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(c).cast("string"))) for c in ("lang", "source")]
-    return rows.withColumn("base_failed", failed).withColumn("_lang", named[0]).withColumn("_source", named[1])
+    return rows.withColumn("base_failed", failed).withColumn("_q_lang", named[0]).withColumn("_q_source", named[1])
 
 
 def vector() -> list[Column]:
@@ -86,10 +90,10 @@ def vector() -> list[Column]:
         F.log(n),
         F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n),
         F.col("n_symbols") / F.greatest("word_chars", F.lit(1)),
-        F.col("n_dup_lines") / F.greatest("_lines", F.lit(1)),
+        F.col("n_dup_lines") / F.greatest("_q_lines", F.lit(1)),
         F.col("n_repeat_words") / n,
     )
-    return [F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.round(v / f * STEPS))).cast("long").alias(f"y{i}") for i, (v, f) in enumerate(zip(values, FLOORS, strict=True))]
+    return [F.round(v / f * STEPS).cast("long").alias(f"_q_y{i}") for i, (v, f) in enumerate(zip(values, FLOORS, strict=True))]
 
 
 def _gamma_share(a: float, x: float) -> float:
@@ -120,20 +124,23 @@ PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 SUM_NAMES = ["n", *[f"s{i}" for i in range(P)], *[f"c{i}{j}" for i, j in PAIRS]]
 
 
-def sums() -> list[Column]:
+Y = [f"_q_y{i}" for i in range(P)]
+
+
+def sums(weight: Column) -> list[Column]:
     """Count, sums and sums of products: exact, and enough for means and covariances."""
     return [
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(f"y{i}").alias(f"s{i}") for i in range(P)],
-        *[F.sum(F.col(f"y{i}") * F.col(f"y{j}")).alias(f"c{i}{j}") for i, j in PAIRS],
+        F.sum(weight).alias("n"),
+        *[F.sum(weight * F.col(Y[i])).alias(f"s{i}") for i in range(P)],
+        *[F.sum(weight * F.col(Y[i]) * F.col(Y[j])).alias(f"c{i}{j}") for i, j in PAIRS],
     ]
 
 
-ESTIMATE = "_group string, _start int, mean array<double>, inverse array<double>, det double"
+ESTIMATE = "_q_group string, _q_start int, _q_mean array<double>, _q_inverse array<double>, det double"
 
 
 def _estimates(summed: DataFrame, factor: float) -> DataFrame:
-    """(_group, _start, mean, inverse covariance, log determinant) of each row of sums()."""
+    """(group, start, mean, inverse covariance, log determinant) of each row of sums()."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -145,8 +152,8 @@ def _estimates(summed: DataFrame, factor: float) -> DataFrame:
                 for i, j in PAIRS:
                     cov[i, j] = cov[j, i] = r[f"c{i}{j}"] / n - mean[i] * mean[j]
                 cov = cov * factor + np.eye(P) * STEPS**2
-                rows.append((r["_group"], r["_start"], mean.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
-            yield pd.DataFrame(rows, columns=["_group", "_start", "mean", "inverse", "det"])
+                rows.append((r["_q_group"], r["_q_start"], mean.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
+            yield pd.DataFrame(rows, columns=["_q_group", "_q_start", "_q_mean", "_q_inverse", "det"])
 
     return summed.mapInPandas(run, ESTIMATE)
 
@@ -155,69 +162,112 @@ def distance() -> Column:
     total = F.lit(0.0)
     for i in range(P):
         for j in range(i, P):
-            term = F.col("inverse")[i * P + j] * (F.col(f"y{i}") - F.col("mean")[i]) * (F.col(f"y{j}") - F.col("mean")[j])
+            term = F.col("_q_inverse")[i * P + j] * (F.col(Y[i]) - F.col("_q_mean")[i]) * (F.col(Y[j]) - F.col("_q_mean")[j])
             total = total + (term if i == j else 2 * term)
     return total
 
 
 def grouped(stats: DataFrame, min_group: int) -> DataFrame:
-    """(_lang, _source, _group, _total): the pool that each language and source belongs to, and the pool's rows."""
-    sizes = stats.groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("_n"))
+    """(_q_lang, _q_source, _q_group, pool): the pool that each language and source belongs to, and of what kind it is."""
+    sizes = stats.groupBy("_q_lang", "_q_source").agg(F.count(F.lit(1)).alias("_n"))
     small = F.when(F.col("_n") < min_group, F.col("_n")).otherwise(0)
-    pooled = sizes.withColumn("_pool", F.sum(small).over(Window.partitionBy("_lang")))
-    group = F.when(F.col("_n") >= min_group, F.concat_ws("\x1f", "_lang", "_source")).when(F.col("_pool") >= min_group, F.concat_ws("\x1f", F.lit("lang"), "_lang")).otherwise(F.lit("all"))
-    rows = pooled.select("_lang", "_source", group.alias("_group"), "_n")
-    totals = rows.groupBy("_group").agg(F.sum("_n").alias("_total"))
-    return rows.join(totals, "_group").select("_lang", "_source", "_group", "_total")
-
-
-def fit(stats: DataFrame, share: float = 0.75, steps: int = 5, min_group: int = 100) -> tuple[DataFrame, DataFrame]:
-    """The groups and their estimates from all rows of measured() that have a word. Both tables are kept."""
-    groups = keep(grouped(stats, min_group), "quality-groups")
-    rows = stats.where("n_words > 0").join(groups, ["_lang", "_source"]).select("_group", *vector())
-    rows = keep(rows, "quality-vectors")
-
-    # first start: medians and quartiles of each statistic, exact from counts of each whole value; second: all rows
-    values = rows.select("_group", F.posexplode(F.array(*[f"y{i}" for i in range(P)])).alias("dim", "value"))
-    counts = values.groupBy("_group", "dim", "value").agg(F.count(F.lit(1)).alias("n"))
-    per = Window.partitionBy("_group", "dim")
+    pooled = sizes.withColumn("_pool", F.sum(small).over(Window.partitionBy("_q_lang")))
+    kind = F.when(F.col("_n") >= min_group, "source").when(F.col("_pool") >= min_group, "language").otherwise("all")
+    pooled = pooled.withColumn("pool", kind)
+    group = F.when(F.col("pool") == "source", F.concat_ws("\x1f", "_q_lang", "_q_source")).when(F.col("pool") == "language", F.concat_ws("\x1f", F.lit("lang"), "_q_lang")).otherwise(F.lit("all"))
+    rows = pooled.select("_q_lang", "_q_source", group.alias("_q_group"), "pool", "_n")
+    totals = rows.groupBy("_q_group").agg(F.sum("_n").alias("_total"))
+    few = F.when(F.col("_total") < min_group, "too small").otherwise(F.col("pool"))
+    return rows.join(totals, "_q_group").select("_q_lang", "_q_source", "_q_group", few.alias("pool"))
+
+
+#: Bins to a doubling of 1 + distance.
+BINS = 1024
+#: Seeded quarters of the vectors that are starts besides the quartiles and all rows.
+SEEDS = (1, 2)
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Estimates to begin with: medians and quartiles of each statistic (exact, from counts of each whole value), all rows,
+    and seeded quarters of the vectors."""
+    values = rows.select("_q_group", "_q_n", F.posexplode(F.array(*Y)).alias("dim", "value"))
+    counts = values.groupBy("_q_group", "dim", "value").agg(F.sum("_q_n").alias("n"))
+    per = Window.partitionBy("_q_group", "dim")
     counts = counts.withColumn("_upto", F.sum("n").over(per.orderBy("value"))).withColumn("_all", F.sum("n").over(per))
-    marks = counts.groupBy("_group", "dim").agg(*[F.min(F.when(F.col("_upto") >= q * F.col("_all"), F.col("value"))).alias(n) for n, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
+    marks = counts.groupBy("_q_group", "dim").agg(*[F.min(F.when(F.col("_upto") >= q * F.col("_all"), F.col("value"))).alias(n) for n, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
     listed = F.array_sort(F.collect_list(F.struct("dim", "q1", "q2", "q3")))
-    first = marks.groupBy("_group").agg(listed.alias("q")).select(
-        "_group",
-        F.lit(0).alias("_start"),
-        F.transform("q", lambda x: x["q2"].cast("double")).alias("mean"),
-        F.flatten(F.transform("q", lambda x: F.transform(F.sequence(F.lit(0), F.lit(P - 1)), lambda k: F.when(k == x["dim"], 1 / (F.pow((x["q3"] - x["q1"]) / 1.349, 2) + STEPS**2)).otherwise(0.0)))).alias("inverse"),
+    quartiles = marks.groupBy("_q_group").agg(listed.alias("q")).select(
+        "_q_group",
+        F.lit(0).alias("_q_start"),
+        F.transform("q", lambda x: x["q2"].cast("double")).alias("_q_mean"),
+        F.flatten(F.transform("q", lambda x: F.transform(F.sequence(F.lit(0), F.lit(P - 1)), lambda k: F.when(k == x["dim"], 1 / (F.pow((x["q3"] - x["q1"]) / 1.349, 2) + STEPS**2)).otherwise(0.0)))).alias("_q_inverse"),
         F.lit(0.0).alias("det"),
     )
-    whole = _estimates(rows.groupBy("_group").agg(*sums()).withColumn("_start", F.lit(1)), 1.0)
-    now = keep(first.unionByName(whole), "quality-start")
-    raw = consistency(share, P)
-    for _ in range(steps):
-        binned = rows.join(now, "_group").withColumn("_bin", F.floor(32 * F.log2(1 + distance())))
-        bins = binned.groupBy("_group", "_start", "_bin").agg(*sums())
-        per = Window.partitionBy("_group", "_start")
-        before = F.coalesce(F.sum("n").over(per.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        inner = bins.withColumn("_before", before).withColumn("_all", F.sum("n").over(per)).where(F.col("_before") < share * F.col("_all"))
-        after = keep(_estimates(inner.groupBy("_group", "_start").agg(*[F.sum(c).alias(c) for c in SUM_NAMES]), raw), "quality-step")
+    tags = F.array(F.lit(1), *[F.when(F.pmod(F.xxhash64(*Y, F.lit(x)), F.lit(4)) == 0, F.lit(1 + x)) for x in SEEDS])
+    tagged = rows.withColumn("_q_start", F.explode(F.array_compact(tags)))
+    return quartiles.unionByName(_estimates(tagged.groupBy("_q_group", "_q_start").agg(*sums(F.col("_q_n"))), 1.0))
+
+
+def _step(rows: DataFrame, now: DataFrame, share: float) -> DataFrame:
+    """The estimates of the h rows closest to each estimate of now, h being ``share`` of the group's rows, rounded up."""
+    far = rows.join(now.drop("det"), "_q_group").withColumn("_d", distance()).withColumn("_bin", F.floor(BINS * F.log2(1 + F.col("_d"))))
+    bins = far.groupBy("_q_group", "_q_start", "_bin").agg(*sums(F.col("_q_n")))
+    per = Window.partitionBy("_q_group", "_q_start")
+    before = F.coalesce(F.sum("n").over(per.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = bins.withColumn("_before", before).withColumn("_h", F.ceil(share * F.sum("n").over(per)))
+    left = F.col("_h") - F.col("_before")
+    inner = bins.where(F.col("n") <= left).select("_q_group", "_q_start", *SUM_NAMES)
+    edge = bins.where((left > 0) & (F.col("n") > left)).select("_q_group", "_q_start", "_bin", left.alias("_left"))
+    ranked = far.join(edge, ["_q_group", "_q_start", "_bin"])
+    upto = F.coalesce(F.sum("_q_n").over(per.orderBy("_d", *Y).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    part = ranked.withColumn("_w", F.least(F.col("_q_n"), F.col("_left") - upto)).where("_w > 0")
+    both = inner.unionByName(part.groupBy("_q_group", "_q_start").agg(*sums(F.col("_w"))))
+    return _estimates(both.groupBy("_q_group", "_q_start").agg(*[F.sum(c).alias(c) for c in SUM_NAMES]), consistency(share, P))
+
+
+def vectors_of(stats: DataFrame, groups: DataFrame) -> DataFrame:
+    """(_q_group, vector, _q_n) of the rows of measured() that have a word: the distinct vectors and how often they are."""
+    rows = stats.where("n_words > 0").join(groups, ["_q_lang", "_q_source"]).select("_q_group", *vector())
+    return rows.groupBy("_q_group", *Y).agg(F.count(F.lit(1)).alias("_q_n"))
+
+
+def least_determinant(rows: DataFrame, share: float = 0.75, most_steps: int = 30) -> DataFrame:
+    """The minimum-covariance-determinant estimate of each group of vectors_of(). The table is kept."""
+    now = keep(_starts(rows), "quality-start")
+    for _ in range(2):
+        after = keep(_step(rows, now, share), "quality-step")
         drop(now)
         now = after
-    # the start with the least determinant, then once more from the rows that it finds normal
-    best = now.groupBy("_group").agg(F.min_by(F.struct("_start", "mean", "inverse"), F.struct("det", "_start")).alias("b")).select("_group", "b.*")
-    near = rows.join(best, "_group").where(distance() <= chi2_quantile(0.975, P))
-    final = keep(_estimates(near.groupBy("_group", "_start").agg(*sums()), consistency(0.975, P)), "quality-estimates")
-    drop(now, rows)
+    best = now.groupBy("_q_group").agg(F.min_by(F.struct("_q_start", "_q_mean", "_q_inverse", "det"), F.struct("det", "_q_start")).alias("b"))
+    now = keep(best.select("_q_group", "b.*"), "quality-step")
+    for _ in range(most_steps):
+        after = keep(_step(rows, now, share), "quality-step")
+        fell = after.alias("x").join(now.alias("y"), "_q_group").where("x.det < y.det - 1e-9").limit(1).count()
+        drop(now)
+        now = after
+        if not fell:
+            break
+    return now
+
+
+def fit(stats: DataFrame, share: float = 0.75, min_group: int = 100) -> tuple[DataFrame, DataFrame]:
+    """The groups and their estimates from all rows of measured() that have a word. Both tables are kept."""
+    groups = keep(grouped(stats, min_group), "quality-groups")
+    rows = keep(vectors_of(stats, groups), "quality-vectors")
+    best = least_determinant(rows, share)
+    # once more, from the rows that the estimate finds normal
+    near = rows.join(best, "_q_group").where(distance() <= chi2_quantile(0.975, P))
+    final = keep(_estimates(near.groupBy("_q_group", "_q_start").agg(*sums(F.col("_q_n"))), consistency(0.975, P)), "quality-estimates")
+    drop(best, rows)
     return groups, final
 
 
-def judged(stats: DataFrame, groups: DataFrame, estimates: DataFrame, cutoff: float, min_pool: int) -> DataFrame:
-    """measured() rows with distance and kept. The two tables hold a row for each language and source."""
-    rows = stats.join(groups, ["_lang", "_source"], "left").join(estimates.select("_group", "mean", "inverse"), "_group", "left")
-    y = dict(zip([f"y{i}" for i in range(P)], vector(), strict=True))
-    rows = rows.withColumns(y).withColumn("distance", distance())
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance") <= cutoff, F.lit(True)) | (F.col("_total") < min_pool))
-    return rows.withColumn("kept", kept).drop("_lang", "_source", "_group", "_total", "_lines", "mean", "inverse", *y)
+def judged(stats: DataFrame, groups: DataFrame, estimates: DataFrame, cutoff: float) -> DataFrame:
+    """measured() rows with distance, pool and kept. The two tables hold a row for each language and source."""
+    rows = stats.join(groups, ["_q_lang", "_q_source"], "left").join(estimates.select("_q_group", "_q_mean", "_q_inverse"), "_q_group", "left")
+    rows = rows.withColumns(dict(zip(Y, vector(), strict=True))).withColumn("distance", distance())
+    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance") <= cutoff, F.lit(True)) | (F.col("pool") == "too small"))
+    return rows.withColumn("kept", kept).drop(*[c for c in rows.columns if c.startswith("_q_")])
 
 
 #: The share of normal texts of a clean group that the cut-off would still keep.
@@ -225,20 +275,20 @@ NORMAL_SHARE = 1 - 1e-7
 
 
 def quality(docs: DataFrame, min_group: int = 100, normal_share: float = NORMAL_SHARE) -> DataFrame:
-    """docs (doc_id, text, lang, source and any more) with BASE, base_failed, distance, kept."""
+    """docs (doc_id, text, lang, source and any more) with BASE, base_failed, pool, distance, kept."""
     light = keep(measured(docs.select("text", "lang", "source")).drop("text", "lang", "source"), "quality-statistics")
     groups, estimates = fit(light, min_group=min_group)
     drop(light)
-    return judged(measured(docs), groups, estimates, chi2_quantile(normal_share, P), min_group)
+    return judged(measured(docs), groups, estimates, chi2_quantile(normal_share, P))
 
 
 def quality_report(docs: DataFrame, min_group: int = 100, normal_share: float = NORMAL_SHARE) -> DataFrame:
     """As quality(), without the text: the statistics are computed once."""
     light = keep(measured(docs.select("doc_id", "text", "lang", "source")).drop("text"), "quality-statistics")
     groups, estimates = fit(light, min_group=min_group)
-    return judged(light, groups, estimates, chi2_quantile(normal_share, P), min_group)
+    return judged(light, groups, estimates, chi2_quantile(normal_share, P))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_report(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
-    return rows.select("doc_id", *BASE, "base_failed", "kept", "distance")
+    return rows.select("doc_id", *BASE, "base_failed", "kept", "distance", "pool")

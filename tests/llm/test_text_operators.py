@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -257,6 +258,35 @@ def test_quality_rejects_outliers_only(spark):
     assert quality.quality_report(docs.limit(0)).count() == 0
 
 
+def test_estimates_equal_a_search_of_all_subsets(spark):
+    """The h rows with the least determinant of all, on groups with copies and outliers."""
+    rng = np.random.default_rng(11)
+    rows, want = [], {}
+    for group in range(4):
+        y = rng.normal(0, 60, (13, 5)).round().astype(int)
+        y[:3] += rng.integers(200, 900, (3, 5))
+        y[4] = y[3]  # copies, one of which may be left out
+        rows += [(f"g{group}", *map(int, v)) for v in y]
+        h, factor = 10, quality.consistency(0.75, 5)
+        dets = []
+        for chosen in itertools.combinations(range(13), h):
+            part = y[list(chosen)].astype(float)
+            cov = np.cov(part.T, bias=True) * factor + np.eye(5) * quality.STEPS**2
+            dets.append(np.linalg.slogdet(cov)[1])
+        want[f"g{group}"] = min(dets)
+    df = spark.createDataFrame(rows, "_q_group string, " + ", ".join(f"{c} long" for c in quality.Y)).groupBy("_q_group", *quality.Y).agg(F.count(F.lit(1)).alias("_q_n"))
+    got = {r._q_group: r.det for r in quality.least_determinant(df.cache()).collect()}
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-6 for g in want)
+
+
+def test_quality_of_odd_columns_and_long_texts(spark):
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(8)] + ["long word " * 100_000, None]
+    rows = documents(spark, texts, lang="en", source="s", mean="m", inverse="i", y0="y", pool="clash", det="d")
+    got = quality.quality(rows, min_group=5).orderBy("doc_id").collect()
+    assert [r.pool for r in got] == ["source"] * 10 and {(r.mean, r.inverse, r.y0, r.det) for r in got} == {("m", "i", "y", "d")}
+    assert [r.kept for r in got] == [True] * 8 + [False] * 2 and got[8].n_repeat_words == 200_000
+
+
 def test_chi_square():
     assert abs(quality.chi2_quantile(0.95, 5) - 11.0705) < 1e-3 and abs(quality.chi2_quantile(0.5, 2) - 1.3863) < 1e-3
     assert quality.consistency(0.75, 5) > 1
