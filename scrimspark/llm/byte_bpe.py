@@ -41,18 +41,28 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def ranks_of(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> list[bytes]:
+    """Each id's bytes. Made once in each Python worker."""
+    ranks = ranks_of(path)
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token
+    return pieces
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """tiktoken's encoder for the ranks in path, and each id's bytes. Made once in each Python worker."""
+    """tiktoken's encoder for the ranks in path. Made once in each Python worker."""
     import public_tokenizers
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    pieces = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        pieces[rank] = token
-    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), pieces
+    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(path), special_tokens={})
 
 
 @lru_cache(maxsize=1)
@@ -125,7 +135,7 @@ def _encode_sections(docs: DataFrame, path: str, chunk: int, overlap: int, secti
     cut = cut.select("_row", "_at", (F.col("_at") == F.col("_last")).alias("_ends"), F.when(F.col("_at") == 0, F.col("_rest")).alias("_rest"), F.substr("text", F.col("_at") * section + 1, F.lit(section + wide)).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(path)[0]
+        bpe = encoder(path)
         for b in batches:
             glued, open_, ids, texts = [], [], [], []
             for at, ends, text in zip(b["_at"], b["_ends"], b["text"], strict=True):
@@ -154,7 +164,7 @@ def _encode_sections(docs: DataFrame, path: str, chunk: int, overlap: int, secti
                         held += p["text"]
                         if p["_open"]:
                             continue
-                        out.append(encode_text(encoder(path)[0], held, chunk, overlap))
+                        out.append(encode_text(encoder(path), held, chunk, overlap))
                         held = ""
                     else:
                         out.append(p["ids"])
@@ -176,7 +186,7 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = 512, overlap:
     schema = T.StructType([*[f for f in docs.schema.fields if f.name != "text"], T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(path)[0]
+        bpe = encoder(path)
         for b in batches:
             yield b.drop(columns="text").assign(ids=[encode_text(bpe, t or "", chunk, overlap) for t in b["text"]])
 
@@ -192,7 +202,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     fields = [f for f in encoded.drop("decoded").schema.fields if f.name != "ids"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = encoder(path)[1]
+        pieces = token_bytes(path)
         for b in batches:
             texts = [b"".join(map(pieces.__getitem__, np.frombuffer(x, dtype="<u4").tolist())) for x in b["ids"]]
             yield b.drop(columns="ids").assign(decoded=texts)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop, keep, table
+from .common import drop, keep, small_batches, table
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -66,6 +66,7 @@ def text_statistics(text: str) -> tuple[int, int, int, int, int, int]:
 
 def measured(docs: DataFrame) -> DataFrame:
     """docs with BASE, base_failed and the internal `_q_lines`."""
+    small_batches(docs.sparkSession)
     docs = docs.drop(*BASE, "base_failed", "kept", "distance", "pool")
     if any(c.startswith("_q_") for c in docs.columns):
         raise ValueError("column names that start with _q_ are reserved")

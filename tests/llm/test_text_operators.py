@@ -53,7 +53,7 @@ def test_proven_tokens_are_whole():
 
 @pytest.mark.parametrize(("chunk", "overlap"), [(1 << 15, 1 << 10), (256, 64), (40, 20)])
 def test_bpe_equals_the_library_and_decodes(spark, chunk, overlap):
-    bpe = byte_bpe.encoder(byte_bpe.vocabulary_path())[0]
+    bpe = byte_bpe.encoder(byte_bpe.vocabulary_path())
     docs = documents(spark, ODD, ids="clash", lang="kept")
     ids = byte_bpe.encode(docs, chunk=chunk, overlap=overlap)
     rows = byte_bpe.decode(ids.withColumn("copy", F.col("ids"))).collect()
@@ -72,7 +72,7 @@ def test_stitches_are_boundaries_of_the_whole(text, more, overlap):
     cuts = byte_bpe.stitches(text, 2 * overlap + more, overlap)
     assert set(cuts) <= whole and cuts == sorted(set(cuts))
     assert all(not byte_bpe.certain(text, e) or e in whole for e in range(1, len(text)))
-    bpe = byte_bpe.encoder(byte_bpe.vocabulary_path())[0]
+    bpe = byte_bpe.encoder(byte_bpe.vocabulary_path())
     assert byte_bpe.encode_text(bpe, text, 2 * overlap + more, overlap) == np.asarray(bpe.encode_ordinary(text), dtype="<u4").tobytes()
 
 
@@ -89,7 +89,7 @@ def test_most_bytes_go_through_stitched_pieces(spark):
 
 @pytest.mark.parametrize("section", [30, 1000])
 def test_sections_of_long_texts(spark, section):
-    bpe = byte_bpe.encoder(byte_bpe.vocabulary_path())[0]
+    bpe = byte_bpe.encoder(byte_bpe.vocabulary_path())
     texts = [*ODD, "x" * 4000, "word " * 300 + "y" * 3000 + " end." * 200, "。".join("日本語" * 9 for _ in range(60))]
     for r in byte_bpe.encode(documents(spark, texts, lang="kept"), chunk=64, overlap=16, section=section).collect():
         assert bytes(r.ids) == np.asarray(bpe.encode_ordinary(texts[r.doc_id] or ""), dtype="<u4").tobytes() and r.lang == "kept"
