@@ -272,27 +272,34 @@ def fitting_pairs(g: dict[str, np.ndarray], n: np.ndarray, maps: list[np.ndarray
 
 
 def candidates(rows: DataFrame, percent: int, block: int) -> DataFrame:
-    """(entry, node): the members of rows (entry, members, node, label, n, bits, uses, all_) that have a pair to compare
-    in this entry. uses and all_ are the entries that the set uses as the smaller one, and all that it has."""
+    """(entry, node, use): the members of rows (entry, members, node, label, n, bits, use[, uses, all_]) that have a pair to
+    compare in this entry. use says whether the set uses the entry as the smaller one of a pair; uses and all_ are the
+    entries that it uses and all that it has: with them, a pair is taken up in one entry only."""
+    once = "uses" in rows.columns
 
     def each(g: dict[str, np.ndarray]) -> list[tuple]:
-        entry, node = int(g["entry"][0]), g["node"].tolist()
+        entry, node, use = int(g["entry"][0]), g["node"].tolist(), g["use"].tolist()
         maps = [np.asarray(x, dtype=np.int64).view(U64) for x in g["bits"]]
         sets: dict[int, set] = {}
         found: set[int] = set()
         for i, js, _ in fitting_pairs(g, g["n"], maps, percent):
-            uses = set(g["uses"][i].tolist())
-            if entry not in uses:
+            if not use[i]:
                 continue
-            for j in js:
-                if j not in sets:
-                    sets[j] = set(g["all_"][j].tolist())
-                if min(uses & sets[j]) == entry:
-                    found |= {i, j}
-        return [(entry, node[i]) for i in sorted(found)]
+            if once:
+                uses, kept = set(g["uses"][i].tolist()), []
+                for j in js:
+                    if j not in sets:
+                        sets[j] = set(g["all_"][j].tolist())
+                    if min(uses & sets[j]) == entry:
+                        kept.append(j)
+                js = kept
+            if js:
+                found.add(i)
+                found.update(js)
+        return [(entry, node[i], use[i]) for i in sorted(found)]
 
     spread = in_block_pairs(rows, F.ceil(F.col("members") / block)).drop("members")
-    return in_groups(spread, ["entry", "low", "high"], each, "entry bigint, node bigint").distinct()
+    return in_groups(spread, ["entry", "low", "high"], each, "entry bigint, node bigint, use boolean").distinct()
 
 
 def forest(rows: DataFrame, texts: DataFrame, percent: int, width: int, block_shingles: int) -> DataFrame:
@@ -417,10 +424,17 @@ def labelled(docs: DataFrame, percent: int, width: int, block: int, block_shingl
     # of a set's entries, the most frequent ones that together are fewer than those a pair shares are left out
     costly = Window.partitionBy("node").orderBy(F.col("members").desc(), "entry").rowsBetween(Window.unboundedPreceding, 0)
     used = named.withColumn("_upto", F.sum("times").over(costly)).join(nodes.select("node", "need"), "node").where(F.col("_upto") >= F.col("need"))
-    used = used.select("node", "entry", F.lit(True).alias("uses"))
-    lists = named.join(used, ["node", "entry"], "left").groupBy("node").agg(F.collect_list("entry").alias("all_"), F.collect_list(F.when(F.col("uses"), F.col("entry"))).alias("uses"))
-    wide = nodes.select("node", "n", halved(F.col("bits")).alias("bits")).join(lists, "node")
-    some = keep(candidates(named.select("entry", "members", "node", "label").join(wide, "node"), percent, block), "join-candidates")
+    used = used.select("node", "entry", F.lit(True).alias("use"))
+    marked = named.join(used, ["node", "entry"], "left").withColumn("use", F.coalesce("use", F.lit(False))).select("entry", "members", "node", "label", "use")
+    wide = nodes.select("node", "n", halved(F.col("bits")).alias("bits"))
+    some = keep(candidates(marked.join(wide, "node"), percent, block), "join-candidates")
+    tidy(spark)
+    # most rows are gone; what is left can carry the lists of entries
+    lists = some.groupBy("node").agg(F.collect_list("entry").alias("all_"), F.collect_list(F.when(F.col("use"), F.col("entry"))).alias("uses"))
+    members = some.groupBy("entry").agg(F.count(F.lit(1)).alias("members"))
+    again = some.join(members, "entry").join(named.select("entry", "node", "label"), ["entry", "node"]).join(wide, "node").join(lists, "node")
+    many, some = some, keep(candidates(again, percent, block), "join-candidates")
+    drop(many)
     drop(index)
     tidy(spark)
     rows = some.join(named.select("entry", "node", "label"), ["entry", "node"]).join(nodes.select("node", "n"), "node")
