@@ -425,16 +425,16 @@ def labelled(docs: DataFrame, percent: int, width: int, block: int, block_shingl
     costly = Window.partitionBy("node").orderBy(F.col("members").desc(), "entry").rowsBetween(Window.unboundedPreceding, 0)
     used = named.withColumn("_upto", F.sum("times").over(costly)).join(nodes.select("node", "need"), "node").where(F.col("_upto") >= F.col("need"))
     used = used.select("node", "entry", F.lit(True).alias("use"))
-    marked = named.join(used, ["node", "entry"], "left").withColumn("use", F.coalesce("use", F.lit(False))).select("entry", "members", "node", "label", "use")
+    marked = named.join(used, ["node", "entry"], "left").select("entry", "members", "node", "label", F.coalesce("use", F.lit(False)).alias("use"))
     wide = nodes.select("node", "n", halved(F.col("bits")).alias("bits"))
     some = keep(candidates(marked.join(wide, "node"), percent, block), "join-candidates")
     tidy(spark)
     # most rows are gone; what is left can carry the lists of entries
     lists = some.groupBy("node").agg(F.collect_list("entry").alias("all_"), F.collect_list(F.when(F.col("use"), F.col("entry"))).alias("uses"))
     members = some.groupBy("entry").agg(F.count(F.lit(1)).alias("members"))
-    again = some.join(members, "entry").join(named.select("entry", "node", "label"), ["entry", "node"]).join(wide, "node").join(lists, "node")
-    many, some = some, keep(candidates(again, percent, block), "join-candidates")
-    drop(many)
+    described = some.join(members, "entry").join(named.select("entry", "node", "label"), ["entry", "node"]).join(wide, "node")
+    before, some = some, keep(candidates(described.join(lists, "node"), percent, block), "join-candidates")
+    drop(before)
     drop(index)
     tidy(spark)
     rows = some.join(named.select("entry", "node", "label"), ["entry", "node"]).join(nodes.select("node", "n"), "node")
@@ -449,10 +449,25 @@ def labelled(docs: DataFrame, percent: int, width: int, block: int, block_shingl
     return result
 
 
+def differing_bits(a: Column, b: Column) -> Column:
+    """Bits in which two bitmaps differ, the larger folded to the size of the smaller. Bands are next to each other, so one
+    fold is enough."""
+
+    def folded(x: Column, other: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(other), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(x)
+
+    return F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, n: t + n)
+
+
 def fitting(stars: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Stars (a, hub and any more) whose sizes allow a link."""
-    rows = stars.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("_na")), "a").join(nodes.select(F.col("node").alias("hub"), F.col("n").alias("_nb")), "hub")
-    return rows.where(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent).drop("_na", "_nb")
+    """Stars (a, hub and any more) whose sizes and bitmaps allow a link."""
+    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("bits").alias("_ba"))
+    two = nodes.select(F.col("node").alias("hub"), F.col("n").alias("_nb"), F.col("bits").alias("_bb"))
+    sizes = stars.join(one.drop("_ba"), "a").join(two.drop("_bb"), "hub").where(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent)
+    most = F.floor((100 - percent) * (F.col("_na") + F.col("_nb")) / (100 + percent))
+    rows = sizes.join(one.select("a", "_ba"), "a").join(two.select("hub", "_bb"), "hub").where(differing_bits(F.col("_ba"), F.col("_bb")) <= most)
+    return rows.drop("_na", "_nb", "_ba", "_bb")
 
 
 def similar_groups(docs: DataFrame, percent: int = 85, width: int = 4, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
