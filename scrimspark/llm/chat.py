@@ -177,6 +177,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        F.size(F.filter("loss_mask", lambda x: x)).cast("long").alias("loss_tokens"),
     )
+
+
+#: What escaping makes longer by one character, and what a turn's marks add.
+ORACLE = r"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+measured AS (SELECT *, len(regexp_extract_all(role, '[\[<]\\*(?:INST\]|/INST\]|/s>)')) + len(regexp_extract_all(text, '[\[<]\\*(?:INST\]|/INST\]|/s>)')) AS escapes FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  sum(17 + escapes + length(role) + length(text))::BIGINT AS formatted_chars
+FROM measured GROUP BY conv_id
+"""

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop, keep, mix64, small_batches, table, text_or_empty, tidy
+from .common import WORD, drop, keep, mix64, small_batches, table, text_or_empty, tidy
 from .components import components
 
 U64 = np.uint64
@@ -491,3 +491,17 @@ def first_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFra
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+#: All shared shingles of all pairs, and the closure of the links.
+ORACLE = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM docs WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT r.a, e.y FROM reach r JOIN edges e ON r.b = e.x)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id FROM docs d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""

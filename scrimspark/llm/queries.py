@@ -21,6 +21,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_chat_formatting": chat.ORACLE,
+    "op6_suffix_array_dedup": substring_dedup.ORACLE,
+    "op7_ngram_jaccard_join": ngram_join.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_secret_scans": secrets.ORACLE,
     "op10_mixing": mixing.ORACLE,

@@ -356,3 +356,21 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
     return rows.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Every window of 100 bytes, as hexadecimal digits, but the first of equal ones.
+ORACLE = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99, 500)) AS base FROM docs),
+parts AS (SELECT doc_id, base, substr(h, 2 * base + 1, 1198) AS part FROM starts),
+windows AS (SELECT doc_id, base, part, unnest(range(0, len(part) // 2 - 99)) AS j FROM parts),
+places AS (SELECT doc_id, base + j AS k, row_number() OVER (PARTITION BY md5(substr(part, 2 * j + 1, 200)) ORDER BY doc_id, base + j) AS place FROM windows),
+repeats AS (SELECT doc_id, k, k > lag(k, 1, -200) OVER (PARTITION BY doc_id ORDER BY k) + 100 AS fresh FROM places WHERE place > 1),
+numbered AS (SELECT doc_id, k, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY k) AS span FROM repeats),
+spans AS (SELECT doc_id, min(k) AS s, max(k) + 100 AS e FROM numbered GROUP BY doc_id, span),
+pieces AS (SELECT doc_id, s, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM spans),
+kept AS (SELECT p.doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) || substr(any_value(h), 2 * max(e) + 1) AS left_
+  FROM pieces p JOIN docs d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(left_, h))) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""

@@ -24,7 +24,8 @@ def texts(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for t in ("documents", "conversations"):
+        duck.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SMALL)
     columns = sorted(got.columns)
     rel = duck.sql(queries.ORACLE_SQL[name])
