@@ -3,16 +3,23 @@
 A tree builder reads the tags, opens and closes what HTML lets authors leave out, and hands each element's start and end to
 a renderer. Visibility rules leave out what a reader wouldn't see; everything else that is text is emitted: blocks on
 lines of their own, paragraphs and the like with an empty line around them, list items with bullets or numbers and
-indents, table cells in aligned columns, preformatted text as it is. Neither part recurses, so nesting may be any depth.
+indents, table cells in aligned columns (also where they span several or reach down over rows), preformatted text as it
+is. Neither part recurses, so nesting may be any depth. Hidden visibility can be undone by an element inside, no display
+can't.
 
-Nulls, ties, empty input: a null or empty page gives an empty text; broken markup never fails, it is read the way browsers
-recover from it; repeated rows give repeated rows; an empty table gives an empty result. Input columns named like an
-output column are replaced.
+Padding is bounded: lines wider than WIDEST don't widen their column, and a table that would be more than PADDED times as
+long as the text in it is emitted without alignment.
+
+Nulls, ties, empty input: a null or empty page gives an empty text; a very long page is one row and rendered whole; broken
+markup never fails, it is read the way browsers recover from it; repeated rows give repeated rows; an empty table gives an
+empty result. Input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -36,10 +43,10 @@ WORDS = re.compile("[^ \\t\\n\\r\\f]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head script style title template noscript iframe noembed noframes object audio video canvas svg math datalist".split())
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure fieldset hr xmp listing".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure fieldset hr xmp listing plaintext".split())
 BLOCK = SPACED | frozenset("html body div article section nav aside header footer main address form li dt dd tr td th caption thead tbody tfoot legend details summary figcaption center dialog hgroup search optgroup option".split())
 #: A start tag of these closes an open p.
-ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul dd dt".split())
+ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p plaintext pre search section summary table ul dd dt".split())
 #: name: (elements that its start closes, elements that stop the search for them)
 SIBLINGS = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -108,37 +115,75 @@ class Flow:
         return "".join(self.out)
 
 
+#: Longest line of a cell that its column is widened for.
+WIDEST = 160
+#: Most characters of an aligned table for each character of the text in it.
+PADDED = 16
+#: Most columns and rows that a cell may span (the standard's own limits).
+COLSPAN, ROWSPAN = 1000, 65534
+
+
 class Grid:
-    """A table's rows of cells."""
+    """A table's rows of cells (lines, first column, column after the last)."""
 
     def __init__(self):
-        self.rows: list[list[tuple[list[str], int]]] = []
-
-    def cell(self, text: str, span: int) -> None:
+        self.rows: list[list[tuple[list[str], int, int]]] = []
+        self.reaching: list[tuple[int, int, int]] = []  # columns from, to, of cells of earlier rows, and the last row
+        self.at = 0
+
+    def row(self) -> None:
+        self.rows.append([])
+        self.at, before, self.reaching = 0, self.reaching, []
+        for first, after, last in sorted(r for r in before if r[2] >= len(self.rows)):
+            if self.reaching and self.reaching[-1][1:] == (first, last):
+                first = self.reaching.pop()[0]
+            self.reaching.append((first, after, last))
+
+    def end_rows(self) -> None:
+        """A group of rows is over; cells don't reach into the next."""
+        self.reaching = []
+
+    def cell(self, text: str, span: int, down: int) -> None:
         if not self.rows:
-            self.rows.append([])
-        self.rows[-1].append((text.split("\n"), span))
+            self.row()
+        for first, after, _ in self.reaching:
+            if first <= self.at < after:
+                self.at = after
+        self.rows[-1].append((text.split("\n"), self.at, self.at + span))
+        if down != 1:
+            self.reaching.append((self.at, self.at + span, len(self.rows) - 1 + (down or ROWSPAN)))
+        self.at += span
 
     def lines(self) -> list[str]:
-        widths: list[int] = []
-        for row in self.rows:
-            at = 0
-            for cell, span in row:
-                widths.extend([0] * (at + span - len(widths)))
-                if span == 1:
-                    widths[at] = max(widths[at], max(map(len, cell)))
-                at += span
+        rows = [r for r in self.rows if any(x for c, _, _ in r for x in c)]
+        # columns that no cell begins at only widen the one before
+        begins = sorted({first for r in rows for _, first, _ in r})
+        rows = [[(c, bisect_left(begins, first), bisect_left(begins, after)) for c, first, after in r] for r in rows]
+        widths = [0] * len(begins)
+        for row in rows:
+            for cell, first, after in row:
+                if after == first + 1:
+                    widths[first] = max(widths[first], max((n for n in map(len, cell) if n <= WIDEST), default=0))
+        edges = [0]
+        for w in widths:
+            edges.append(edges[-1] + w + 2)
+        size = visible = 0
+        for row in rows:
+            last, first, _ = max((x for x in row if any(x[0])), key=lambda x: x[1])
+            size += max(len(c) for c, _, _ in row) * (edges[first] + max(map(len, last)))
+            visible += sum(len(x) - x.count(" ") for c, _, _ in row for x in c)
         out = []
-        for row in self.rows:
-            if not any(x for c, _ in row for x in c):
+        for row in rows:
+            if size > PADDED * visible:
+                cells = [[x for x in c if x] for c, _, _ in row if any(c)]
+                out += ["  ".join(c[0] for c in cells)] if all(len(c) == 1 for c in cells) else [x for c in cells for x in c]
                 continue
-            for i in range(max(len(c) for c, _ in row)):
-                line, at = [], 0
-                for cell, span in row:
-                    width = sum(widths[at : at + span]) + 2 * (span - 1)
-                    line.append((cell[i] if i < len(cell) else "").ljust(width))
-                    at += span
-                out.append("  ".join(line).rstrip())
+            for i in range(max(len(c) for c, _, _ in row)):
+                line = ""
+                for cell, first, _ in row:
+                    if i < len(cell) and cell[i]:
+                        line = (line + "  " * bool(line)).ljust(edges[first]) + cell[i]
+                out.append(line.rstrip())
         return out
 
 
@@ -202,17 +247,22 @@ def declared(style: str) -> Iterator[tuple[str, bool, bool]]:
     """(property, whether it hides, whether it is important) of the declarations that decide on visibility."""
     for name, value in re.findall(r"(?i)(?:^|;)\s*(display|visibility)\s*:\s*([^;]*)", style):
         words = re.findall(r"[\w-]+", value.lower())
-        if words:
+        if words and not (name.lower() == "visibility" and words[0] in ("inherit", "unset", "revert")):
             yield name.lower(), words[0] == "none" if name.lower() == "display" else words[0] in ("hidden", "collapse"), "important" in words[1:]
 
 
+def compound(selector: str) -> tuple[str, set[str], set[str]]:
+    """(tag, classes, ids) of a compound selector."""
+    return re.match(r"[\w-]*", selector)[0].lower(), set(re.findall(r"\.([\w-]+)", selector)), set(re.findall(r"#([\w-]+)", selector))
+
+
 class Sheet:
-    """What a page's style sheets hide: by plain tag, .class and #id selectors, unless a rule that comes later in the
+    """What a page's style sheets hide: by selectors of a tag, classes and ids, unless a rule that comes later in the
     cascade shows the element. Of a rule that shows, only the last compound is compared; in doubt, text is emitted."""
 
     def __init__(self, html: str):
         self.hidden: dict[str, list[tuple]] = {}
-        self.shown: list[tuple] = []
+        self.shown: dict[str, list[tuple]] = {"display": [], "visibility": []}
         order = 0
         for attrs, css in re.findall(r"(?is)<style([^>]*)>(.*?)</style", html):
             media = re.search(r"""(?i)\bmedia\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", attrs)
@@ -220,33 +270,42 @@ class Sheet:
                 order += 1
                 for prop, hide, important in declared(body):
                     for one in map(str.strip, re.sub(r"\([^()]*\)", "()", selectors).split(",")):
-                        if hide and (not known or not re.fullmatch(r"[.#]?[\w-]+", one)) or not hide and NOT_AT_REST.search(one):
+                        if hide and (not known or not re.fullmatch(r"[\w-]*(?:[.#][\w-]+)*", one) or not one) or not hide and NOT_AT_REST.search(one):
                             continue
                         rank = (important, (9,) if "()" in one or not known else (one.count("#"), len(re.findall(r"[.:\[]", one)), len(re.findall(r"(?:^|[\s>+~])[\w-]", one))), order)
                         if hide:
-                            self.hidden.setdefault(one if one[0] in ".#" else one.lower(), []).append((prop, rank))
-                            continue
-                        last = re.sub(r"\[[^\]]*\]|:[\w-]+(?:\(\))?", "", re.split(r"[\s>+~]+(?![^\[]*\])", one)[-1])
-                        tag = re.match(r"[\w-]*", last)[0].lower()
-                        self.shown.append((prop, rank, tag, set(re.findall(r"\.([\w-]+)", last)), set(re.findall(r"#([\w-]+)", last))))
-
-    def hides(self, name: str, values: dict) -> bool:
+                            tag, classes, ids = compound(one)
+                            key = "#" + min(ids) if ids else "." + min(classes) if classes else tag
+                            self.hidden.setdefault(key, []).append((prop, rank, tag, classes, ids))
+                        else:
+                            last = re.split(r"[\s>+~]+(?![^\[]*\])", one)[-1]
+                            self.shown[prop].append((prop, rank, *compound(re.sub(r"\[[^\]]*\]|:[\w-]+(?:\(\))?", "", last))))
+
+    def verdict(self, name: str, values: dict) -> dict[str, tuple[bool, bool]]:
+        """For display and visibility, where a rule decides: (whether it hides, whether it is important)."""
         classes, key = set(values.get("class", "").split()), values.get("id", "")
-        against = [x for s in (name, f"#{key}", *[f".{c}" for c in classes]) for x in self.hidden.get(s, ())]
-        if not against:
-            return False
-        inline = {p: important for p, hide, important in declared(unescape(values.get("style", ""))) if not hide}
-        for prop in ("display", "visibility"):
-            worst = max((r for p, r in against if p == prop), default=None)
-            if worst is None or prop in inline and inline[prop] >= worst[0]:
-                continue
-            if not any(p == prop and r > worst and tag in ("", name) and c <= classes and i <= {key} for p, r, tag, c, i in self.shown):
-                return True
-        return False
 
+        def matching(found) -> dict:
+            best: dict = {}
+            for prop, rank, tag, c, i in found:
+                if tag in ("", name) and c <= classes and i <= {key} and (prop not in best or rank > best[prop]):
+                    best[prop] = rank
+            return best
 
-def hides(style: str) -> bool:
-    return bool(re.search(r"(?i)(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", style))
+        against = matching(x for s in (name, f"#{key}", *[f".{c}" for c in classes]) for x in self.hidden.get(s, ()))
+        shown = matching(self.shown["visibility"])
+        if "display" in against or "style" in values:
+            shown |= matching(self.shown["display"])
+        return {p: (p not in shown or against[p] > shown[p], against[p][0]) if p in against else (False, shown[p][0]) for p in against | shown}
+
+
+def styled(name: str, values: dict, sheet: Sheet | None) -> dict[str, bool]:
+    """For display and visibility, where style decides: whether it hides."""
+    found = sheet.verdict(name, values) if sheet else {}
+    for prop, hide, important in declared(unescape(values.get("style", ""))):
+        if prop not in found or important >= found[prop][1]:
+            found[prop] = hide, important
+    return {p: hide for p, (hide, _) in found.items()}
 
 
 class Page:
@@ -254,9 +313,11 @@ class Page:
 
     def __init__(self, html: str):
         self.html, self.sheet = html, Sheet(html) if "<style" in html.lower() else None
-        self.stack: list[tuple[str, bool, object]] = []
+        self.stack: list[tuple[str, bool, bool, object]] = []  # name, hidden with all in it, invisible before, state
         self.flows, self.grids, self.lists = [Flow()], [], []
         self.unseen = self.pre = 0
+        self.invisible = False
+        self.open: Counter[str] = Counter()
         self.body = False
 
     def render(self) -> str:
@@ -284,6 +345,9 @@ class Page:
                 self.end(name)
             elif name:
                 self.start(name, m["attrs"])
+                if name == "plaintext":  # nothing ends it
+                    self.text(html[at:], raw=True)
+                    break
                 if name in RAW:
                     close = re.compile(f"(?i)</{name}(?=[\\s/>])").search(html, at)
                     stop = close.start() if close else len(html)
@@ -296,7 +360,7 @@ class Page:
         return self.flows[0].result()
 
     def text(self, text: str, raw: bool = False) -> None:
-        if self.unseen or not text:
+        if self.unseen or not text or self.invisible:
             return
         if not self.body and not self.stack_has("head", ()) and text.strip(SPACE):
             self.body = True
@@ -309,10 +373,12 @@ class Page:
             flow.text(text)
 
     def stack_has(self, name: str, walls) -> bool:
-        for open_name, _, _ in reversed(self.stack):
-            if open_name == name:
+        if not self.open[name]:
+            return False
+        for entry in reversed(self.stack):
+            if entry[0] == name:
                 return True
-            if open_name in walls:
+            if entry[0] in walls:
                 return False
         return False
 
@@ -330,7 +396,7 @@ class Page:
             self.end("p")
         if name in SIBLINGS:
             closes, walls = SIBLINGS[name]
-            for i in range(len(self.stack) - 1, -1, -1):
+            for i in range(len(self.stack) - 1 if any(self.open[c] for c in closes) else -1, -1, -1):
                 if self.stack[i][0] in closes:
                     while len(self.stack) > i:
                         self._pop()
@@ -345,18 +411,20 @@ class Page:
         if attrs.strip(" /\t\r\n\f"):
             for k, a, b, c in ATTR.findall(attrs):
                 values.setdefault(k.lower(), a or b or c)
-        hidden = name in UNSEEN or "hidden" in values or hides(unescape(values.get("style", ""))) or (name == "dialog" and "open" not in values)
-        if self.sheet and not hidden:
-            hidden = self.sheet.hides(name, values)
+        style = styled(name, values, self.sheet) if self.sheet or "style" in values else {}
+        hidden = name in UNSEEN or "hidden" in values or style.get("display", False) or (name == "dialog" and "open" not in values)
+        before, self.invisible = self.invisible, style.get("visibility", self.invisible)
         if name in VOID:
-            if not self.unseen and not hidden:
+            if not self.unseen and not hidden and not self.invisible:
                 self._void(name, values)
+            self.invisible = before
             return
         state = None
         if not hidden and not self.unseen:
             state = self._open(name, values)
         self.unseen += hidden
-        self.stack.append((name, hidden, state))
+        self.stack.append((name, hidden, before, state))
+        self.open[name] += 1
 
     def _close_head(self) -> None:
         if self.stack_has("head", ("body",)):
@@ -370,7 +438,7 @@ class Page:
             self.start("p", "")
         walls = () if name in WALLS or name in ("tr", "tbody", "thead", "tfoot", "html", "body") else WALLS
         walls = ("table",) if name in CELLS or name in ("tr", "tbody", "thead", "tfoot", "caption") else walls
-        for i in range(len(self.stack) - 1, -1, -1):
+        for i in range(len(self.stack) - 1 if self.open[name] else -1, -1, -1):
             if self.stack[i][0] == name:
                 while len(self.stack) > i:
                     self._pop()
@@ -394,12 +462,14 @@ class Page:
             self.grids.append(Grid())
             return ("table", len(self.flows))
         if name == "tr" and self.grids:
-            self.grids[-1].rows.append([])
+            self.grids[-1].row()
             return ("tr",)
+        if name in ("thead", "tbody", "tfoot") and self.grids:
+            self.grids[-1].end_rows()
         if name in CELLS and self.grids:
             self.flows.append(Flow())
-            span = values.get("colspan", "")
-            return ("cell", max(1, min(1000, int(span))) if span.isdigit() else 1)
+            span, down = (int(v[:9]) if re.fullmatch("[0-9]+", v := values.get(k, "").strip(SPACE)) else 1 for k in ("colspan", "rowspan"))
+            return ("cell", max(1, min(COLSPAN, span)), min(ROWSPAN, down))
         if name in ("ul", "ol", "menu"):
             flow.block(1 if self.lists else 2)
             start = values.get("start", "")
@@ -416,7 +486,7 @@ class Page:
             flow.block(2 if name == "blockquote" else 1)
             flow.indents.append("  ")
             return ("indent", 2 if name == "blockquote" else 1)
-        if name in ("pre", "textarea", "xmp", "listing"):
+        if name in ("pre", "textarea", "xmp", "listing", "plaintext"):
             if name != "textarea":
                 flow.block(2)
             self.pre += 1
@@ -428,14 +498,15 @@ class Page:
         return None
 
     def _pop(self) -> None:
-        name, hidden, state = self.stack.pop()
+        name, hidden, self.invisible, state = self.stack.pop()
         self.unseen -= hidden
+        self.open[name] -= 1
         if not state:
             return
         kind = state[0]
         if kind == "cell":
             text = self.flows.pop().result()
-            self.grids[-1].cell(text, state[1])
+            self.grids[-1].cell(text, *state[1:])
             return
         flow = self.flows[-1]
         if kind == "table":

@@ -158,6 +158,13 @@ def test_template_rejects_marks_that_overlap():
         ("<dl><dt>t<dd>d<dt>u<dd>e</dl>", "t\n  d\nu\n  e"),
         ("<p>x<table><tr><td>a<table><tr><td>b<td>c</table></table>", "x\n\na\n\nb  c"),
         ("</p></div>x</table>", "x"),
+        ("<table><tr><td rowspan=2>A<td>b1<tr><td>b2<tr><td>c<td>d</table>", "A  b1\n   b2\nc  d"),
+        ("<table><tr><td>a<td rowspan=3>b<td>c<tr><td>d<td>e<tr><td>f<td>g<tr><td>h<td>i<td>j</table>", "a  b  c\nd     e\nf     g\nh  i  j"),
+        ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td colspan=1000>a<td>b<tr><td colspan=1000>long<td>c</table>", "a     b\nlong  c"),
+        ("<p style=visibility:hidden>no <b style=visibility:visible>yes</b> no<p>also", "yes\n\nalso"),
+        ("<p style=display:none>no <b style=display:inline>no</b><p style='display:none;display:block'>yes", "yes"),
+        ("<p>a<plaintext><b>&amp;</plaintext>", "a\n\n<b>&amp;</plaintext>"),
     ],
 )
 def test_rendering(html, text):
@@ -176,7 +183,145 @@ def test_rendering_never_fails(html):
     html_text.render(html)
 
 
+def test_padding_is_bounded():
+    """One long cell, many lines beside many columns, and spans over many columns: the text stays in proportion to the page."""
+    for html in (
+        "<table><tr><td>" + "x" * 20_000 + "<td>y" + "<tr><td>a<td>b" * 500,
+        "<table><tr>" + "<td>x" * 500 + "<tr>" + "<td>" * 499 + "<td>" + "y<br>" * 1000,
+        "<table>" + "<tr><td colspan=1000>a<td>b" * 500,
+        "<table><tr>" + "<td rowspan=60000>a" * 500 + "<tr><td>b" * 500,
+        "<table><tr><td><p>a<p>b<td>c" * 200,
+    ):
+        text = html_text.render(html)
+        assert len(text) <= 20 * len(html) and text.count("a") + text.count("x") + text.count("y") == sum(html.replace("table", "").replace("colspan", "").replace("rowspan", "").count(c) for c in "axy")
+    rows = html_text.render("<table><tr><td>" + "x" * 500 + "<td>y" + "<tr><td>a<td>b<tr><td>longer<td>c" * 200).split("\n")
+    assert rows[0] == "x" * 500 + "  y" and rows[1:3] == ["a       b", "longer  c"]
+
+
+# A second renderer: trees are written as HTML, with and without the end tags that may be left out, and rendered by plain
+# recursion over the tree.
+WORD = st.sampled_from(["a", "bc", "def", "&lt;", "x y"])
+HIDDEN = st.sampled_from(["", "", "", "", ' hidden=""', ' style="display:none"', " style='visibility:hidden'", " style=visibility:visible"])
+INLINE = st.one_of(WORD, st.tuples(st.sampled_from(["b", "span"]), HIDDEN, st.lists(WORD, min_size=1, max_size=2)))
+CELL = st.tuples(st.integers(1, 3), st.integers(1, 3), st.lists(INLINE, min_size=1, max_size=2))
+LEAF = st.one_of(
+    st.tuples(st.just("p"), HIDDEN, st.lists(INLINE, min_size=1, max_size=3)),
+    st.tuples(st.just("table"), HIDDEN, st.lists(st.lists(CELL, min_size=1, max_size=4), min_size=1, max_size=4)),
+)
+TREE = st.recursive(
+    LEAF,
+    lambda inner: st.one_of(
+        st.tuples(st.sampled_from(["div", "section"]), HIDDEN, st.lists(inner, min_size=1, max_size=3)),
+        st.tuples(st.sampled_from(["ul", "ol"]), HIDDEN, st.lists(st.lists(st.one_of(inner, INLINE), min_size=1, max_size=2), min_size=1, max_size=3)),
+    ),
+    max_leaves=6,
+)
+
+
+def written(node, ends: bool) -> str:
+    if isinstance(node, str):
+        return f" {node} "
+    name, attrs, inside = node
+    if name == "table":
+        cells = ["".join(f"<td colspan={c} rowspan={r}>" + "".join(written(x, ends) for x in content) + "</td>" * ends for c, r, content in row) for row in inside]
+        return f"<table{attrs}>" + "".join(f"<tr>{row}" + "</tr>" * ends for row in cells) + "</table>"
+    if name in ("ul", "ol"):
+        return f"<{name}{attrs}>" + "".join("<li>" + "".join(written(x, ends or x[0] == "p") for x in item) + "</li>" * ends for item in inside) + f"</{name}>"
+    return f"<{name}{attrs}>" + "".join(written(x, ends) for x in inside) + (f"</{name}>" if ends or name != "p" else "")
+
+
+def plain_blocks(nodes, seen: bool, depth: int) -> list[tuple[int, int, list[str], bool]]:
+    """Blocks (breaks before, breaks after, lines, whether in a list of this flow) of a flow; neighbouring words are one."""
+    found, run = [], []
+
+    def flush():
+        if run:
+            found.append((0, 0, [" ".join(run)], False))
+            run.clear()
+
+    def inline(x, seen):
+        if isinstance(x, str):
+            run.extend([x.replace("&lt;", "<")] if seen else [])
+        elif not ("hidden=" in x[1] or "none" in x[1]):
+            for y in x[2]:
+                inline(y, "visible" in x[1] or seen and "hidden" not in x[1])
+
+    for node in nodes:
+        if isinstance(node, str) or node[0] in ("b", "span"):
+            inline(node, seen)
+            continue
+        name, attrs, inside = node
+        if "hidden=" in attrs or "none" in attrs:
+            continue
+        flush()
+        here = "visible" in attrs or seen and "hidden" not in attrs
+        if name == "table":
+            found.append((2, 2, plain_table(inside, here), False))
+        elif name in ("ul", "ol"):
+            items = []
+            for n, item in enumerate(inside, 1):
+                mark = f"{n}. " if name == "ol" else "- "
+                items.append((1, 0, [], True))
+                for before, after, lines, listed in plain_blocks(item, here, depth + 1):
+                    marks = [" " * len(mark) if listed or i else mark for i in range(len(lines))]
+                    mark = " " * len(mark) if lines else mark
+                    items.append((before, after, [m + x for m, x in zip(marks, lines, strict=True)], True))
+                items.append((0, 1, [], True))
+            gap = 1 if depth else 2
+            found += [(gap, 0, [], True), *items, (0, gap, [], True)]
+        else:
+            gap = 2 if name == "p" else 1
+            found += [(gap, 0, [], False), *plain_blocks(inside, here, depth), (0, gap, [], False)]
+    flush()
+    return found
+
+
+def plain_lines(blocks) -> list[str]:
+    lines, gap = [], 0
+    for before, after, own, _ in blocks:
+        gap = max(gap, before)
+        if own:
+            if lines and gap == 0:
+                lines[-1] += " " + own[0]
+                own = own[1:]
+            lines += ([""] * (gap - 1) if lines else []) + own
+            gap = 0
+        gap = max(gap, after)
+    return lines
+
+
+def plain_table(rows, seen: bool) -> list[str]:
+    taken, placed = set(), []
+    for y, row in enumerate(rows):
+        x = 0
+        for across, down, content in row:
+            while (y, x) in taken:
+                x += 1
+            taken |= {(y + j, x + i) for j in range(down) for i in range(across)}
+            placed.append((y, x, across, " ".join(plain_lines(plain_blocks(content, seen, 0)))))
+            x += across
+    full = {y for y, *_, text in placed if text}
+    begins = sorted({x for y, x, *_ in placed if y in full})
+    where = {x: i for i, x in enumerate(begins)}
+    wide = [max([len(t) for y, x, a, t in placed if y in full and x == b and not any(x < c < x + a for c in begins)], default=0) for b in begins]
+    lines = []
+    for y in sorted(full):
+        line = ""
+        for _, x, _, text in (p for p in placed if p[0] == y and p[3]):
+            line = (line + "  " if line else "").ljust(sum(wide[: where[x]]) + 2 * where[x]) + text
+        lines.append(line)
+    return lines
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(TREE, min_size=1, max_size=3), st.booleans())
+def test_rendering_equals_plain_recursion(nodes, ends):
+    html = "<html><body>" + "".join(written(n, ends) for n in nodes)
+    assert html_text.render(html) == "\n".join(plain_lines(plain_blocks(nodes, True, 0)))
+
+
 def test_extract_keeps_rows(spark):
+    assert html_text.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
     pages = spark.createDataFrame([(1, "u", None, "old"), (1, "u", "<p>x", "old")], "page_id long, url string, html string, text string")
     assert sorted(tuple(r) for r in html_text.extract(pages).collect()) == [(1, "u", ""), (1, "u", "x")]
 
@@ -311,6 +456,12 @@ def test_digest_query(spark):
         (".x{display:none !important} .x.y{display:block}", "<p class='x y'>no<p>yes", "yes"),
         (".x{display:none}", "<p class=x style='display:block'>yes", "yes"),
         ("a{content:'}'} .x{display:none}", "<p class=x>no<p>yes", "yes"),
+        ("p.x{display:none}", "<p class=x>no<div class=x>yes", "yes"),
+        (".x.y{display:none}", "<p class='y z x'>no<p class=x>yes", "yes"),
+        ("p#i.x{display:none}", "<p class=x id=i>no<p class=x id=j>yes", "yes"),
+        (".x{visibility:hidden} .y{visibility:visible}", "<div class=x>no<b class=y>yes</b></div>", "yes"),
+        (".x{visibility:hidden} .y{visibility:inherit}", "<div class=x>no<b class=y>no</b></div>yes", "yes"),
+        (".x{display:block !important}", "<p class=x style='display:none'>yes", "yes"),
     ],
 )
 def test_style_sheets(css, html, text):
