@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import byte_bpe, chat, exact_dedup, html_text, mixing, ngram_join, quality, secrets, substring_dedup, token_counts
+from . import byte_bpe, centroids, chat, exact_dedup, html_text, line_dedup, mixing, ngram_join, prefix_trie, quality, secrets, substring_dedup, token_counts
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_html_extraction": html_text.query,
     "op9_secret_scans": secrets.query,
     "op10_mixing": mixing.query,
+    "op11_prefix_trie": prefix_trie.query,
+    "op12_line_dedup": line_dedup.query,
+    "op13_centroid_clustering": centroids.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,4 +30,7 @@ ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_secret_scans": secrets.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
+    "op13_centroid_clustering": centroids.ORACLE,
 }
