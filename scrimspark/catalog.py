@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from datetime import date, datetime
@@ -22,7 +23,7 @@ from .plans.adapters import view, with_views
 from .schemas import PAYLOAD, TABLES
 from .sources import frames as S
 from .sources.scratch import scratch
-from .streaming.load import current_tables, publish, start_match_load
+from .streaming.load import bad_payloads, create_tables, current_tables, start_match_load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -111,6 +112,13 @@ def r9_veto_report_all_teams(v, spark, d):
     return R.veto_report_all_teams(*[v(n) for n in MATCH_VIEWS], FROM, TO)
 
 
+@query(*MATCH_VIEWS, sql=REPORT + "SELECT * FROM report")
+def r9_veto_report_bucketed(v, spark, d):
+    """The same from tables that are stored in buckets of match_id: no join of matches, maps and vetoes deals them out."""
+    there = S.write_bucketed({n: v(n) for n in ("matches", "match_maps", "match_veto")}, scratch(spark, "bucketed"))
+    return R.veto_report_all_teams(there["matches"], there["match_maps"], there["match_veto"], v("maps"), FROM, TO)
+
+
 @query(*MATCH_VIEWS, sql=REPORT.replace(str(FROM), "1997-02-28").replace(str(TO), "1997-05-31") + "SELECT * FROM report")
 def r10_default_window(v, spark, d):
     return R.veto_report_all_teams(*[v(n) for n in MATCH_VIEWS], *R.default_window(None, TO, date(1997, 5, 31)))
@@ -228,9 +236,10 @@ SCORES = ", ".join(f"team{n}_{s}score" for n in (1, 2) for s in ("", "t_", "ct_"
 SET = ", ".join(f"CASE WHEN team1_score IS NOT NULL THEN {c} END AS {c}" for c in SCORES.split(", "))
 
 
-@query("match_maps", sql=f"SELECT match_map_id, match_id, map_id, {SET} FROM match_maps WHERE map_id <= 5")
+@query("match_maps", sql=f"SELECT match_map_id, match_id, map_id, {SET} FROM match_maps")
 def w8_set_map_results(v, spark, d):
-    return W.set_map_results(old(v)["match_maps"], payloads(spark, d))
+    empty = {c: F.lit(None).cast("int") for c in SCORES.split(", ")}
+    return W.set_map_results(v("match_maps").withColumns(empty), payloads(spark, d))
 
 
 @query("tournaments", "part", sql="""
@@ -281,11 +290,15 @@ def w13_resolve_parquet_files(v, spark, d):
 
 
 @query("rankings", "teams", sql="""
-WITH latest AS (SELECT team_name AS name, points, rank, vrs_points, vrs_rank, team_id FROM rankings JOIN teams USING (team_id) WHERE ranking_date = (SELECT max(ranking_date) FROM rankings))
-SELECT name, points, rank, vrs_points, vrs_rank FROM latest""")
+WITH named AS (SELECT team_name AS name, points, rank, vrs_points, vrs_rank, ranking_date, row_number() OVER (PARTITION BY team_name ORDER BY ranking_date DESC) AS back FROM rankings JOIN teams USING (team_id)),
+twice AS (SELECT name, max_by(vrs_points, ranking_date) AS vrs_points, max_by(vrs_rank, ranking_date) AS vrs_rank FROM named WHERE vrs_rank <= 12 GROUP BY name)
+SELECT n.name, points, rank, t.vrs_points, t.vrs_rank FROM named n JOIN twice t ON t.name = n.name WHERE back = 1 AND rank > 2""")
 def w14_combine_rankings(v, spark, d):
-    latest = v("rankings").join(v("rankings").agg(F.max("ranking_date").alias("ranking_date")), "ranking_date").join(v("teams"), "team_id").withColumnRenamed("team_name", "name")
-    return W.combine_rankings(latest, latest.select("name", F.col("vrs_points").alias("points"), F.col("vrs_rank").alias("rank")))
+    """The latest list without its two best, and all lists of the other kind, in which names repeat or are missing."""
+    named = v("rankings").join(v("teams"), "team_id").withColumnRenamed("team_name", "name")
+    latest = named.groupBy("name").agg(F.max_by(F.struct("points", "rank"), "ranking_date").alias("l")).select("name", "l.*").where("rank > 2")
+    other = named.where("vrs_rank <= 12").select("name", F.col("vrs_points").alias("points"), F.col("vrs_rank").alias("rank"), F.col("ranking_date").alias("seq"))
+    return W.combine_rankings(latest, other)
 
 
 @query("rankings", sql="""
@@ -317,7 +330,10 @@ new_match_veto AS (SELECT * FROM match_veto),
 new_match_maps AS (SELECT m.*, s.* EXCLUDE (match_map_id, match_id, map_id) FROM maps_all m LEFT JOIN (SELECT * FROM match_maps WHERE team1_score IS NOT NULL) s ON s.match_id = m.match_id AND s.map_id = m.map_id),
 new_players AS (SELECT player_id, alias, steamid FROM players_known UNION ALL SELECT (SELECT max(player_id) FROM players_known) + row_number() OVER (ORDER BY alias), alias, NULL FROM aliases),
 new_match_players AS (SELECT * FROM line_ups UNION ALL (SELECT DISTINCT match_id, team_id, player_id FROM flat JOIN teams USING (team_name) JOIN new_players USING (alias) EXCEPT SELECT * FROM line_ups)),
-new_player_stats AS (SELECT match_map_id, player_id, side_id, kills, deaths, adr::DECIMAL(5,2) AS adr, swing_pct::DECIMAL(5,2) AS swing_pct, rating::DECIMAL(5,2) AS rating, rating_version FROM flat JOIN new_players USING (alias) JOIN maps_all USING (match_id, map_id))
+lines_known AS (SELECT match_map_id, player_id FROM match_maps JOIN match_players USING (match_id) WHERE map_id <= 2 AND match_id % 4 = 0 AND player_id % 2 = 0),
+new_player_stats AS (SELECT match_map_id, player_id, 1 AS side_id, 0 AS kills, 0 AS deaths, NULL::DECIMAL(5,2) AS adr, NULL::DECIMAL(5,2) AS swing_pct, NULL::DECIMAL(5,2) AS rating, 'old' AS rating_version FROM lines_known UNION ALL
+  SELECT match_map_id, player_id, side_id, kills, deaths, adr::DECIMAL(5,2) AS adr, swing_pct::DECIMAL(5,2) AS swing_pct, rating::DECIMAL(5,2) AS rating, rating_version FROM flat JOIN new_players USING (alias) JOIN maps_all m USING (match_id, map_id)
+  WHERE NOT EXISTS (SELECT 1 FROM lines_known k WHERE k.match_map_id = m.match_map_id AND k.player_id = new_players.player_id))
 {ROWS_OF}"""
 LOADED_VIEWS = (*FLAT_VIEWS, "matches", "match_veto")
 
@@ -331,7 +347,7 @@ def contents(tables: dict[str, DataFrame]) -> DataFrame:
 def warehouse(v: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
     """The old tables with ids that fit the new rows of players."""
     tables = old(v)
-    return tables | {"player_stats": tables["player_stats"].where("match_map_id < 0"), "match_players": tables["match_players"].where("player_id % 2 = 0").select("match_id", "team_id", "player_id")}
+    return tables | {"player_stats": tables["player_stats"].where("player_id % 2 = 0"), "match_players": tables["match_players"].where("player_id % 2 = 0").select("match_id", "team_id", "player_id")}
 
 
 @query(*LOADED_VIEWS, sql=LOADED)
@@ -388,7 +404,8 @@ def t5_world_state(v, spark, d):
 
 @query("ticks", "player_hurt", sql=f"WITH {WORLD} SELECT h.seq, h.match_id, w.total_rounds_played, ct_team_name, t_team_name, ct_team_clan_name, t_team_clan_name FROM player_hurt h LEFT JOIN world w USING (match_id, map_name, tick)")
 def t6_enrich_world(v, spark, d):
-    return T.enrich_world(v("player_hurt"), T.world_state(v("ticks"), ["total_rounds_played"])).select("seq", "match_id", "total_rounds_played", "ct_team_name", "t_team_name", "ct_team_clan_name", "t_team_clan_name")
+    world = T.world_state(T.needed_state(v("ticks"), v("player_hurt")), ["total_rounds_played"])
+    return T.enrich_world(v("player_hurt"), world).select("seq", "match_id", "total_rounds_played", "ct_team_name", "t_team_name", "ct_team_clan_name", "t_team_clan_name")
 
 
 STATE = "state AS (SELECT match_id, map_name, tick, steamid, arg_min(health, seq) AS health, arg_min(team_name, seq) AS team_name FROM ticks GROUP BY match_id, map_name, tick, steamid)"
@@ -411,11 +428,8 @@ def t8_tag_and_union_events(v, spark, d):
 @query("player_hurt", "player_death", sql="SELECT 'kills' AS view, seq FROM player_death UNION ALL SELECT 'damages', seq FROM player_hurt")
 def t9_event_views(v, spark, d):
     frame = S.tag_and_union_events({n: v(n).drop("event_type") for n in ("player_hurt", "player_death")})
-    out = None
-    for name in T.EVENT_VIEWS:
-        part = T.event_view(frame, name).select(F.lit(name).alias("view"), "seq")
-        out = part if out is None else out.unionByName(part)
-    return out
+    parts = [df.select(F.lit(name).alias("view"), "seq") for name, df in T.event_views(frame).items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 KD = """kd AS (SELECT match_id, map_name, player, sum(k)::BIGINT AS kills, sum(dd)::BIGINT AS deaths FROM (SELECT match_id, map_name, attacker_name AS player, 1 AS k, 0 AS dd FROM player_death WHERE attacker_name IS NOT NULL
@@ -459,11 +473,14 @@ def t14_scoreboard(v, spark, d):
     return T.scoreboard(v("player_death"), v("player_hurt"), v("ticks"), roster(v).drop("player_id"))
 
 
-@query("player_hurt", sql="""SELECT match_id, map_name, attacker_steamid AS steamid, CASE WHEN attacker_steamid::INT % 2 = 0 THEN 'CT' ELSE 'T' END AS side, sum(dmg_health) / 12.0::DOUBLE AS adr FROM player_hurt WHERE attacker_steamid <> user_steamid GROUP BY ALL""")
+@query("ticks", "player_hurt", sql="""
+WITH rounds AS (SELECT match_id, map_name, CASE team_name WHEN 'CT' THEN 'CT' ELSE 'T' END AS side, max(total_rounds_played) AS rounds FROM ticks GROUP BY ALL),
+sums AS (SELECT match_id, map_name, attacker_steamid AS steamid, CASE WHEN attacker_steamid::INT % 2 = 0 THEN 'CT' ELSE 'T' END AS side, sum(dmg_health) AS damage FROM player_hurt WHERE attacker_steamid <> user_steamid GROUP BY ALL)
+SELECT match_id, map_name, steamid, side, damage / greatest(rounds, 1)::DOUBLE AS adr FROM sums JOIN rounds USING (match_id, map_name, side)""")
 def t15_adr_by_side(v, spark, d):
     side = lambda c: F.when(F.col(c).cast("int") % 2 == 0, "CT").otherwise("T")
     damage = v("player_hurt").withColumns({"attacker_side": side("attacker_steamid"), "user_side": side("user_steamid"), "effective_damage": F.col("dmg_health")})
-    rounds = v("ticks").select("match_id", "map_name").distinct().withColumn("side", F.explode(F.array(F.lit("CT"), F.lit("T")))).withColumn("rounds", F.lit(12))
+    rounds = v("ticks").groupBy("match_id", "map_name", F.when(F.col("team_name") == "CT", "CT").otherwise("T").alias("side")).agg(F.max("total_rounds_played").alias("rounds"))
     return T.adr_by_side(damage, rounds)
 
 
@@ -589,18 +606,57 @@ def h0_page_titles(v, spark, d):
 @query("ticks", sql="SELECT seq, map_name, tick FROM ticks WHERE map_name IN ('map1', 'map2')")
 def s1_read_frames(v, spark, d):
     path = scratch(spark, "frames")
-    S.write_frames(v("ticks"), path, salt=4)
+    S.write_frames(v("ticks"), path, rows_per_file=2000)
     return S.read_frames(spark, path, [1], ["map1", "map2"], ["seq", "map_name", "tick"])
 
 
-@query("teams", "maps", sql="SELECT 'teams' AS name, count(*) AS n, max(team_name) AS last FROM teams UNION ALL SELECT 'maps', count(*), max(map_name) FROM maps")
+#: Which of the tables the adapter views fill, from which view, and what of a row is compared.
+STORED = {
+    "teams": ("teams", ("team_id", "team_name")),
+    "maps": ("maps", ("map_id", "map_name")),
+    "players": ("players", ("player_id", "alias", "steamid")),
+    "matches": ("matches", ("match_id", "event_id", "team1_id", "team2_id", "match_date", "page_url", "demo_link")),
+    "match_maps": ("match_maps", ("match_map_id", "match_id", "map_id", "team1_score", "team2_ct_score")),
+    "match_veto": ("match_veto", ("match_id", "step", "team_id", "action_id", "map_id")),
+    "match_players": ("match_players", ("match_id", "team_id", "player_id")),
+    "events": ("tournaments", ("event_id", "event_name", "prize_pool", "start_date", "page_url", "download_event")),
+    "event_teams": ("event_teams", ("event_id", "team_id")),
+    "rankings": ("rankings", ("team_id", "points", "rank", "vrs_points", "vrs_rank", "ranking_date")),
+}
+
+
+def shown(columns: tuple[str, ...], dates: str, as_text: str) -> list[str]:
+    return [f"coalesce({dates.format(c) if c.endswith('_date') else f'CAST({c} AS {as_text})'}, '-')" for c in columns]
+
+
+WHOLE_TABLES = "\nUNION ALL ".join(f"SELECT '{t}' AS name, concat_ws('|', {', '.join(shown(columns, "strftime({}, '%Y-%m-%d')", "VARCHAR"))}) AS content FROM {there}" for t, (there, columns) in STORED.items())
+STORED_VIEWS = tuple(dict.fromkeys(there for there, _ in STORED.values()))
+
+
+def stored_tables(v: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    return {t: v(there).select(*[F.col(f.name).cast(f.dataType) if f.name in v(there).columns else F.lit(None).cast(f.dataType).alias(f.name) for f in TABLES[t]]) for t, (there, _) in STORED.items()}
+
+
+def whole_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    parts = [tables[t].select(F.lit(t).alias("name"), F.concat_ws("|", *map(F.expr, shown(columns, "date_format({}, 'yyyy-MM-dd')", "STRING"))).alias("content")) for t, (_, columns) in STORED.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(*STORED_VIEWS, sql=WHOLE_TABLES)
 def s2_load_tables(v, spark, d):
     root = scratch(spark, "tables")
-    for name in ("teams", "maps"):
-        v(name).select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name]]).write.parquet(f"{root}/{name}")
-    tables = S.load_tables(spark, root, ("teams", "maps"))
-    parts = [tables[n].agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n"), F.max(c).alias("last")) for n, c in (("teams", "team_name"), ("maps", "map_name"))]
-    return parts[0].unionByName(parts[1])
+    for name, df in stored_tables(v).items():
+        df.write.parquet(f"{root}/{name}")
+    return whole_rows(S.load_tables(spark, root, STORED))
+
+
+@query(*STORED_VIEWS, sql=WHOLE_TABLES)
+def s2_load_tables_jdbc(v, spark, d):
+    """Through a database: the one of spark.scrimspark.jdbc.url, which executors reach, else one in this process's memory."""
+    url = spark.conf.get("spark.scrimspark.jdbc.url", None) or f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    for name, df in stored_tables(v).items():
+        df.write.format("jdbc").options(url=url, dbtable=name).mode("overwrite").save()
+    return whole_rows(S.load_tables_jdbc(spark, url, STORED, rows_per_task=50_000))
 
 
 @query("matches", sql="SELECT match_id, 'note ' || match_id AS notes, demo_link AS demo FROM matches")
@@ -631,9 +687,7 @@ def s5_union_frames(v, spark, d):
 def s6_incremental_match_load(v, spark, d):
     """Two runs over the same folder: the second finds nothing new."""
     root, inbox, marks = scratch(spark, "warehouse"), scratch(spark, "inbox"), scratch(spark, "marks")
-    tables = warehouse(v)
-    whole = {n: W.appended(spark.createDataFrame([], TABLES[n]), df) for n, df in tables.items()}
-    publish(spark, root, whole)
+    create_tables(spark, root, warehouse(v), buckets=8)
     SP.payload_json(spark, d).write.text(inbox)
     for _ in range(2):
         start_match_load(spark, inbox, root, marks).awaitTermination()
@@ -641,3 +695,24 @@ def s6_incremental_match_load(v, spark, d):
 
 
 ORACLE_SQL["s6_incremental_match_load"] = ORACLE_SQL["w16_load_match_payload"]
+
+
+@query("matches", "match_maps", "match_veto", sql="""
+WITH kinds AS (SELECT m.match_id, CASE m.match_id % 8 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'wrong type' WHEN 2 THEN 'missing id' WHEN 3 THEN CASE WHEN n > 0 THEN 'unknown map' END END AS reason
+  FROM matches m LEFT JOIN (SELECT match_id, count(*) AS n FROM match_veto GROUP BY match_id) x ON x.match_id = m.match_id)
+SELECT 'lines' AS what, coalesce(reason, 'good') AS reason, count(*) AS n, count(*) AS observed FROM kinds GROUP BY reason
+UNION ALL SELECT 'loaded', 'good', count(*), count(*) FROM kinds WHERE reason IS NULL""")
+def s3_quarantine(v, spark, d):
+    """Half of the payloads are broken in four ways; what is written beside the good ones, and what is loaded of all."""
+    inbox, root, marks = scratch(spark, "inbox"), scratch(spark, "warehouse"), scratch(spark, "marks")
+    line, kind = F.col("value"), F.get_json_object("value", "$.matchID").cast("long") % 8
+    broken = F.when(kind == 0, F.substring(line, 1, 40)).when(kind == 1, F.replace(line, F.lit('"matchID":'), F.lit('"matchID":"x","old":')))
+    broken = broken.when(kind == 2, F.replace(line, F.lit('"matchID":'), F.lit('"number":'))).when(kind == 3, F.regexp_replace(line, '"mapID":[0-9]+', '"mapID":99')).otherwise(line)
+    SP.payload_json(spark, d).select(broken.alias("value")).write.text(inbox)
+    good, bad, counts = S.split_payloads(S.read_payloads(spark, inbox), scratch(spark, "payloads"))
+    create_tables(spark, root, warehouse(v), buckets=8)
+    start_match_load(spark, inbox, root, marks).awaitTermination()
+    observed = F.element_at(F.create_map(*[F.lit(x) for n, c in counts.items() for x in (n, c)]), F.col("reason")).cast("long").alias("observed")
+    lines = bad.unionByName(good.select(F.lit("").alias("raw"), F.lit("good").alias("reason"))).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    loaded = current_tables(spark, root)["matches"].where("match_notes IS NOT NULL").agg(F.count(F.lit(1)).alias("n")).select(F.lit("loaded").alias("what"), F.lit("good").alias("reason"), "n", (F.lit(sum(counts.values())) - bad_payloads(spark, root).count()).cast("long").alias("observed"))
+    return lines.select(F.lit("lines").alias("what"), "reason", "n", observed).unionByName(loaded)

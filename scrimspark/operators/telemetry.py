@@ -92,35 +92,64 @@ def enrich_world(events: DataFrame, world: DataFrame) -> DataFrame:
     return events.join(side, on, "left").drop(*[f"_{c}" for c in (*KEY, "tick")])
 
 
+def lookup_tick(tick_offset: int = -1) -> Column:
+    """The tick at which an event's players are looked up: its own for inferno events, never before 0."""
+    return F.when(F.col("tick").isNull() | F.col("event_type").isin(*SAME_TICK_EVENTS), F.col("tick")).otherwise(F.greatest(F.col("tick") + tick_offset, F.lit(0)))
+
+
+def needed_state(state: DataFrame, events: DataFrame, *ticks: Column) -> DataFrame:
+    """The rows of state at the given ticks of events (by default at the events' own): the tick table is by far the largest,
+    so it is cut down to these before anything groups it. Ticks are distinct rows of a key; Spark broadcasts them where
+    they are few."""
+    wanted = None
+    for t in ticks or (F.col("tick"),):
+        part = events.select(*KEY, t.alias("tick"))
+        wanted = part if wanted is None else wanted.unionByName(part)
+    return state.join(wanted.distinct(), [*KEY, "tick"], "left_semi")
+
+
 def enrich_players(events: DataFrame, state: DataFrame, roles: list[str] | None = None, tick_offset: int = -1, props: list[str] | None = None) -> DataFrame:
     """Events with each role's state, prefixed by the role, one tick before (inferno events: at the tick). Roles are
-    the columns <role>_steamid. Columns that are there are never overwritten. State is first made unique by (tick,
-    steamid), the lowest ``seq`` if there is one; null ids find nothing and would gather in one task, so they get a key
-    of their own row."""
+    the columns <role>_steamid. Columns that are there are never overwritten. Of state rows that repeat a (tick, steamid)
+    the one with the lowest ``seq``, if there is one, counts.
+
+    One lookup serves all roles, as an event looks at one tick: state is cut down to the ticks that are needed and grouped
+    by tick, some ten players each; events are dealt by tick once, and each role takes its player's entry. An id that is
+    null takes none, so such rows don't gather anywhere."""
     roles = roles or [c.removesuffix("_steamid") for c in events.columns if c.endswith("_steamid")]
     props = [c for c in (props or PLAYER_PROPS) if c in state.columns]
-    order = "seq" if "seq" in state.columns else "steamid"
-    once = state.groupBy(*KEY, "tick", "steamid").agg(F.min_by(F.struct(*props), order).alias("_s"))
-    looked = F.when(F.col("event_type").isin(*SAME_TICK_EVENTS), F.col("tick")).otherwise(F.greatest(F.col("tick") + tick_offset, F.lit(0)))
-    rows = events.withColumn("_at", looked)
-    for role in roles:
-        new = [c for c in props if f"{role}_{c}" not in events.columns]
-        side = once.select(*KEY, F.col("tick").alias("_at"), F.col("steamid").alias("_id"), *[F.col(f"_s.{c}").alias(f"{role}_{c}") for c in new])
-        missing = F.concat(F.lit("missing "), F.xxhash64(*[F.col(c) for c in events.columns if c.endswith(("tick", "steamid", "seq"))]).cast("string"))
-        rows = rows.withColumn("_id", F.coalesce(F.col(f"{role}_steamid").cast("string"), missing))
-        rows = rows.join(side, [*KEY, "_at", "_id"], "left").drop("_id")
-    return rows.select(*events.columns, *[c for c in rows.columns if c not in events.columns and c != "_at"])
+    entry = F.struct(F.col("steamid").cast("string").alias("id"), F.col("seq" if "seq" in state.columns else "tick").alias("seq"), F.struct(*props).alias("s"))
+    needed = needed_state(state.where(F.col("steamid").isNotNull()), events, lookup_tick(tick_offset))
+    there = needed.groupBy(*[F.col(c).alias(f"_{c}") for c in (*KEY, "tick")]).agg(F.array_sort(F.collect_list(entry)).alias("_players"))
+    found = events.withColumn("_at", lookup_tick(tick_offset)).join(there, [F.col(c) == F.col(f"_{c}") for c in KEY] + [F.col("_at") == F.col("_tick")], "left")
+
+    def of(role: str) -> Column:
+        mine = F.filter("_players", lambda p: p["id"] == F.col(f"{role}_steamid").cast("string"))
+        return F.get(mine, F.lit(0))["s"]
+
+    found = found.select(*events.columns, *[of(role).alias(f"_of_{role}") for role in roles])
+    return found.select(*events.columns, *[F.col(f"_of_{role}.{c}").alias(f"{role}_{c}") for role in roles for c in props if f"{role}_{c}" not in events.columns])
 
 
 def event_view(frame: DataFrame, name: str, drop: tuple[str, ...] | None = None) -> DataFrame:
-    """The events of one view, without the columns that it never fills. Those are found in a pass over the view, which
-    gives one row; ``drop`` names them and saves the pass."""
-    rows = frame.where(F.col("event_type").isin(*EVENT_VIEWS[name]))
+    """The events of one view, without the columns that it never fills, or without those of ``drop``."""
     if drop is None:
-        filled = rows.agg(*[F.bool_or(F.col(c).isNotNull()).alias(c) for c in rows.columns if c not in (*KEY, "event_type")]).first()
-        # a view without rows has nulls here and keeps its columns
-        drop = tuple(c for c, some in filled.asDict().items() if some is False)
-    return rows.drop(*drop)
+        return event_views(frame, (name,))[name]
+    return frame.where(F.col("event_type").isin(*EVENT_VIEWS[name])).drop(*drop)
+
+
+def event_views(frame: DataFrame, names: tuple[str, ...] = tuple(EVENT_VIEWS)) -> dict[str, DataFrame]:
+    """All views of a frame, each without the columns that it never fills; a view without rows keeps its columns. One
+    pass over the frame, a row for each event type, finds those of all views."""
+    columns = [c for c in frame.columns if c not in (*KEY, "event_type")]
+    kinds = [k for n in names for k in EVENT_VIEWS[n]]
+    filled = frame.where(F.col("event_type").isin(*kinds)).groupBy("event_type").agg(F.array(*[F.bool_or(F.col(c).isNotNull()) for c in columns]).alias("some")).collect()
+    out = {}
+    for name in names:
+        seen = [r.some for r in filled if r.event_type in EVENT_VIEWS[name]]
+        empty = [c for c, *some in zip(columns, *seen, strict=True) if some and not any(some)]
+        out[name] = event_view(frame, name, tuple(empty))
+    return out
 
 
 def kills_deaths(deaths: DataFrame, attacker: str = "attacker_name", victim: str = "player_name") -> DataFrame:

@@ -12,13 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lookups import PICK, RECORDED_MAP_IDS, REMAINING, lookup
+from ..sources.scratch import written
 from .numbering import numbered
 
 
-def with_ids(new: DataFrame, old: DataFrame, id_col: str, order: list[str]) -> DataFrame:
-    """New rows numbered on from old's largest id. The numbering sorts the new rows only, in ranges."""
-    top = old.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
+def with_ids(new: DataFrame, old: DataFrame, id_col: str, order: list[str], largest: int | None = None) -> DataFrame:
+    """New rows numbered on from old's largest id, or from ``largest`` where old is only a part of its table. The numbering
+    sorts the new rows only, in ranges."""
     kind = old.schema[id_col].dataType
+    if largest is not None:
+        return numbered(new, "_number", order).withColumn(id_col, (F.col("_number") + largest).cast(kind)).drop("_number")
+    top = old.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top"))
     return numbered(new, "_number", order).crossJoin(F.broadcast(top)).withColumn(id_col, (F.col("_top") + F.col("_number")).cast(kind)).drop("_top", "_number")
 
 
@@ -27,10 +31,10 @@ def appended(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new.select(*[F.col(f.name).cast(f.dataType) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in old.schema]))
 
 
-def ensure_names(old: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
+def ensure_names(old: DataFrame, names: DataFrame, id_col: str, name_col: str, largest: int | None = None) -> DataFrame:
     """old with a row for each name of names (one column) that it lacks; names compare exactly, null is no name."""
     new = names.toDF(name_col).where(F.col(name_col).isNotNull()).distinct().join(old, name_col, "left_anti")
-    return appended(old, with_ids(new, old, id_col, [name_col]))
+    return appended(old, with_ids(new, old, id_col, [name_col], largest))
 
 
 def flatten_player_stats(payloads: DataFrame) -> DataFrame:
@@ -53,9 +57,9 @@ def flatten_player_stats(payloads: DataFrame) -> DataFrame:
     )
 
 
-def ensure_players(players: DataFrame, flat: DataFrame) -> DataFrame:
+def ensure_players(players: DataFrame, flat: DataFrame, largest: int | None = None) -> DataFrame:
     """Players with a row for each alias that is new."""
-    return ensure_names(players, flat.select("alias"), "player_id", "alias")
+    return ensure_names(players, flat.select("alias"), "player_id", "alias", largest)
 
 
 def insert_match_players(match_players: DataFrame, flat: DataFrame, teams: DataFrame, players: DataFrame) -> DataFrame:
@@ -65,7 +69,7 @@ def insert_match_players(match_players: DataFrame, flat: DataFrame, teams: DataF
     return appended(match_players, new.join(match_players, ["match_id", "team_id", "player_id"], "left_anti"))
 
 
-def insert_player_stats(player_stats: DataFrame, flat: DataFrame, teams: DataFrame, players: DataFrame, match_maps: DataFrame) -> DataFrame:
+def insert_player_stats(player_stats: DataFrame, flat: DataFrame, teams: DataFrame, players: DataFrame, match_maps: DataFrame, largest: int | None = None) -> DataFrame:
     """player_stats with the lines whose (map of match, player, side) is not there yet. Lines that repeat within a
     payload are all kept."""
     found = (
@@ -75,7 +79,7 @@ def insert_player_stats(player_stats: DataFrame, flat: DataFrame, teams: DataFra
     )
     new = found.join(player_stats, ["match_map_id", "player_id", "side_id"], "left_anti")
     if "stat_id" in player_stats.columns:
-        new = with_ids(new, player_stats, "stat_id", ["match_map_id", "player_id", "side_id", "kills", "deaths", "adr"])
+        new = with_ids(new, player_stats, "stat_id", ["match_map_id", "player_id", "side_id", "kills", "deaths", "adr"], largest)
     return appended(player_stats, new)
 
 
@@ -84,20 +88,20 @@ def veto_rows(payloads: DataFrame) -> DataFrame:
     return rows.select("match_id", F.col("v.stepNumber").alias("step"), F.col("v.teamName").alias("team_name"), F.col("v.vetoActionID").alias("action_id"), F.col("v.mapID").alias("map_id"))
 
 
-def replace_match_vetoes(veto: DataFrame, payloads: DataFrame, teams: DataFrame) -> DataFrame:
+def replace_match_vetoes(veto: DataFrame, payloads: DataFrame, teams: DataFrame, largest: int | None = None) -> DataFrame:
     """Veto with the rows of the payloads' matches replaced; a name that is no team (left over) gives null."""
     matches = payloads.select(F.col("matchID").alias("match_id")).distinct()
     new = veto_rows(payloads).join(teams, "team_name", "left")
     if "veto_id" in veto.columns:
-        new = with_ids(new, veto, "veto_id", ["match_id", "step"])
+        new = with_ids(new, veto, "veto_id", ["match_id", "step"], largest)
     return appended(veto.join(matches, "match_id", "left_anti"), new)
 
 
-def insert_played_maps(match_maps: DataFrame, payloads: DataFrame) -> DataFrame:
+def insert_played_maps(match_maps: DataFrame, payloads: DataFrame, largest: int | None = None) -> DataFrame:
     """match_maps with a row for each picked or left-over map that is new."""
     new = veto_rows(payloads).where(F.col("action_id").isin(PICK, REMAINING)).select("match_id", "map_id").distinct()
     new = new.join(match_maps, ["match_id", "map_id"], "left_anti")
-    return appended(match_maps, with_ids(new, match_maps, "match_map_id", ["match_id", "map_id"]))
+    return appended(match_maps, with_ids(new, match_maps, "match_map_id", ["match_id", "map_id"], largest))
 
 
 def update_match_page(matches: DataFrame, payloads: DataFrame) -> DataFrame:
@@ -198,15 +202,18 @@ def ranking_date_spine(spark: SparkSession, start: date = date(2023, 10, 16), en
     return dates.select("date", F.dayofmonth("date").alias("day"), F.lower(F.date_format("date", "MMMM")).alias("month"), F.year("date").alias("year"), (F.col("date") >= F.lit(secondary_from)).alias("secondary"))
 
 
-def load_match_payload(tables: dict[str, DataFrame], payloads: DataFrame) -> dict[str, DataFrame]:
-    """All tables after the payloads: page, vetoes and maps, results, players and their lines, in this order. Nothing
-    is written here; a caller that stages and swaps the tables loads all or nothing."""
+def load_match_payload(tables: dict[str, DataFrame], payloads: DataFrame, largest: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """All tables after the payloads: page, vetoes and maps, results, players and their lines, in this order. The
+    tables aren't written here; a caller that stages and swaps them loads all or nothing. Payloads and their lines are
+    written once, as six tables read them. largest: the tables' largest numbers, where only parts of them are given."""
+    top = (largest or {}).get if largest is not None else lambda name, _: None
+    payloads = written(payloads, "payloads")
+    flat = written(flatten_player_stats(payloads), "stat-lines")
     out = dict(tables)
     out["matches"] = update_match_page(tables["matches"], payloads)
-    out["match_veto"] = replace_match_vetoes(tables["match_veto"], payloads, tables["teams"])
-    out["match_maps"] = set_map_results(insert_played_maps(tables["match_maps"], payloads), payloads)
-    flat = flatten_player_stats(payloads)
-    out["players"] = ensure_players(tables["players"], flat)
+    out["match_veto"] = replace_match_vetoes(tables["match_veto"], payloads, tables["teams"], top("match_veto", 0))
+    out["match_maps"] = set_map_results(insert_played_maps(tables["match_maps"], payloads, top("match_maps", 0)), payloads)
+    out["players"] = ensure_players(tables["players"], flat, top("players", 0))
     out["match_players"] = insert_match_players(tables["match_players"], flat, tables["teams"], out["players"])
-    out["player_stats"] = insert_player_stats(tables["player_stats"], flat, tables["teams"], out["players"], out["match_maps"])
+    out["player_stats"] = insert_player_stats(tables["player_stats"], flat, tables["teams"], out["players"], out["match_maps"], top("player_stats", 0))
     return out

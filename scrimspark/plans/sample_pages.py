@@ -78,7 +78,11 @@ def match_pages(spark: SparkSession, d: str) -> DataFrame:
     tab = F.concat(F.lit('<div class="stats-menu-link"><div class="dynamic-map-name-full" id="m'), s("map_id"), F.lit('">'), "map_name", F.lit("</div></div>"))
     by_map = played.groupBy("match_id").agg(joined(F.struct("map_id", holder.alias("html"))).alias("holders"), joined(F.struct("map_id", tab.alias("html"))).alias("tabs"))
     veto = view(spark, d, "match_veto").join(maps, "map_id").join(teams, "team_id", "left")
-    line = F.concat(F.lit("<div>"), s("step"), F.when(F.col("action_id") == 3, F.concat(F.lit(". "), text("map_name"), F.lit(" was left over"))).when(F.col("action_id") == 1, F.concat(F.lit(". "), text("team_name"), F.lit(" picked "), text("map_name"))).otherwise(F.concat(F.lit(". "), text("team_name"), F.lit(" removed "), text("map_name"))), F.lit("</div>"))
+    # in the spellings that pages have
+    spelled = lambda *of: F.element_at(F.array(*map(F.lit, of)), (F.col("match_id") % len(of) + 1).cast("int"))
+    over = spelled(" was left over", " was left over(decider)", " Left-Over (decider)", " WAS  LEFTOVER", " left over")
+    said = F.when(F.col("action_id") == 3, F.concat("map_name", over)).when(F.col("action_id") == 1, F.concat("team_name", spelled(" picked ", "  PICKED ", " Picked  "), F.upper("map_name"))).otherwise(F.concat("team_name", F.lit(" removed "), "map_name"))
+    line = F.concat(F.lit("<div>"), s("step"), spelled(". ", ".", ".\n "), said, F.lit("</div>"))
     by_veto = veto.groupBy("match_id").agg(joined(F.struct("step", "map_id", "action_id", F.coalesce("team_id", F.lit(-1)).alias("t"), line.alias("html"))).alias("vetoes"))
     players = view(spark, d, "match_players").join(view(spark, d, "players"), "player_id").join(teams, "team_id")
     row = F.concat(F.lit('<tr><td class="players"><span class="player-nick">'), text("alias"), F.lit('</span></td><td class="kd">'), s("team1_t_score"), F.lit(" - "), s("team2_t_score"), F.lit('</td><td class="adr">'), s("team1_ct_score"), F.lit('.5</td><td class="roundSwing">+1.25%</td><td class="rating">1.'), s("team2_ct_score"), F.lit("</td></tr>"))
@@ -91,7 +95,7 @@ def match_pages(spark: SparkSession, d: str) -> DataFrame:
     demo = F.when(F.col("demo_link").isNotNull(), F.concat(F.lit('<div class="vod-popup"><div class="vod-text-box"><a href="/download/demo/'), s("match_id"), F.lit('">demo</a></div></div>'))).otherwise("")
     html = F.concat(
         F.lit('<html><body><div class="date" data-unix="'), ms, F.lit('">x</div><div class="veto-box"><div class="padding preformatted-text">Best of 3</div></div><div class="veto-box"><div class="padding">'), "vetoes",
-        F.lit("<div>9. Someone banned Nuke</div></div></div>"), "holders", demo, F.lit('<div class="lineups">'), "lineups", F.lit("</div>"), "tabs", "tables", F.lit("</body></html>"),
+        F.lit("<div>9. Someone banned Nuke</div><div>9 Someone picked Nuke</div><div>9. Moon was left over</div><div>Nuke was left over</div><div> </div></div></div>"), "holders", demo, F.lit('<div class="lineups">'), "lineups", F.lit("</div>"), "tabs", "tables", F.lit("</body></html>"),
     )
     # parsing is what costs, so the pages are spread over more tasks than their bytes ask for
     return rows.select(F.col("match_id").alias("page_id"), "match_id", html.alias("html")).repartition(32, "page_id")

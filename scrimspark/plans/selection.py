@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.as_of import as_of
+
 
 @dataclass(frozen=True)
 class NameRule:
@@ -39,13 +41,12 @@ def high_value_events(events: DataFrame, event_teams: DataFrame, name_rules: tup
 
 
 def latest_rank(events: DataFrame, event_teams: DataFrame, rankings: DataFrame) -> DataFrame:
-    """(event_id, team_id, rank): each attending team's rank in its latest snapshot up to the event's start. The history
-    of a team is joined by its id and reduced by a maximum, partly before the exchange."""
-    pairs = event_teams.join(events.select("event_id", "start_date"), "event_id").where("start_date IS NOT NULL")
-    dated = pairs.join(rankings.select("team_id", "rank", "ranking_date"), "team_id").where(F.col("ranking_date") <= F.col("start_date"))
-    # of snapshots with one date the better rank counts
-    order = F.struct(F.col("ranking_date"), -F.coalesce(F.col("rank"), F.lit(2147483647)))
-    return dated.groupBy("event_id", "team_id").agg(F.max_by("rank", order).alias("rank"))
+    """(event_id, team_id, rank): each attending team's rank in its latest snapshot up to the event's start; of snapshots
+    with one date the better rank counts. A team without a snapshot by then is left out."""
+    pairs = event_teams.join(events.select("event_id", "start_date"), "event_id").where("start_date IS NOT NULL").select("event_id", "team_id", "start_date")
+    worst_first = -F.coalesce(F.col("rank"), F.lit(2147483647))
+    found = as_of(pairs, rankings.select("team_id", F.col("ranking_date").cast("timestamp").alias("ranking_date"), "rank"), "team_id", "start_date", "ranking_date", [worst_first])
+    return found.where("ranking_date IS NOT NULL").select("event_id", "team_id", "rank")
 
 
 def mark_events_for_download(events: DataFrame, event_teams: DataFrame, rankings: DataFrame, max_rank: int = 10) -> DataFrame:

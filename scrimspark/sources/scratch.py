@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: What the scopes of a thread have made.
+_open = threading.local()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -14,4 +20,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/scrimspark/{name}-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/scrimspark/{name}-{uuid.uuid4().hex}"
+    if getattr(_open, "scopes", None):
+        _open.scopes[-1].append(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written once and read back: what several plans read is worked out once, and survives a lost executor."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, what was made in it: nothing returned from it may still read that."""
+    _open.scopes = [*getattr(_open, "scopes", []), []]
+    try:
+        yield
+    finally:
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, _open.scopes.pop()):
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

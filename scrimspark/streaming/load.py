@@ -1,70 +1,82 @@
-"""The recurring load: picks up new payload files and loads each once."""
+"""The recurring load: picks up new payload files, loads each match once, and touches only the buckets that it changes."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.warehouse import load_match_payload
+from ..operators.warehouse import flatten_player_stats, load_match_payload
 from ..schemas import PAYLOAD, TABLES
+from ..sources.frames import parse_payloads, split_payloads
+from ..sources.scratch import scratch_scope, written
+from ..sources.store import Conflict, Layout, Store, Version, bucket_of
 
-
-def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The tables' current versions, as the newest pointer below root has them."""
-    return {name: spark.read.schema(TABLES[name]).parquet(f"{root}/{folder}") for name, folder in current_folders(spark, root)[1].items()}
-
-
-POINTER = "version long, name string, folder string"
+#: How the tables are dealt to buckets: those of matches by match, players by alias, the others are small.
+KEYS = dict.fromkeys(("matches", "match_maps", "match_veto", "match_players", "player_stats"), "match_id") | {"players": "alias"}
+NUMBERS = {"matches": "match_id", "match_maps": "match_map_id", "match_veto": "veto_id", "player_stats": "stat_id", "players": "player_id", "teams": "team_id"}
+LAYOUTS = {name: Layout(schema, KEYS.get(name), NUMBERS.get(name)) for name, schema in TABLES.items()}
 
 
-def current_folders(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
-    """The newest version's number and, for each table, its folder."""
-    pointers = spark.read.schema(POINTER).parquet(f"{root}/current")
-    rows = pointers.join(pointers.agg(F.max("version").alias("version")), "version").collect()
-    return rows[0].version, {r.name: r.folder for r in rows}
+def match_store(spark: SparkSession, root: str) -> Store:
+    return Store(spark, root, LAYOUTS)
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], number: int = 0, unchanged: dict[str, str] | None = None) -> None:
-    """Writes the tables into new folders and then adds a pointer, one small file, to them and to the unchanged ones. Older
-    pointers stay, so readers see all of the new versions or all of those before."""
-    version = f"v-{uuid.uuid4().hex}"
-    for name, df in tables.items():
-        df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name]]).write.parquet(f"{root}/{version}/{name}")
-    folders = (unchanged or {}) | {name: f"{version}/{name}" for name in tables}
-    spark.createDataFrame([(number, n, f) for n, f in sorted(folders.items())], POINTER).coalesce(1).write.mode("append").parquet(f"{root}/current")
+def create_tables(spark: SparkSession, root: str, tables: dict[str, DataFrame], buckets: int = 64) -> Version:
+    """The first version. Stored lines of players carry their match: it is looked up where the table doesn't have it."""
+    stats = tables.get("player_stats")
+    if stats is not None and "match_id" not in stats.columns:
+        tables = tables | {"player_stats": stats.join(tables["match_maps"].select("match_map_id", "match_id"), "match_map_id", "left")}
+    return match_store(spark, root).replace(tables, buckets)
 
 
-def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
-    """Deletes the folders that none of the ``keep`` newest pointers names. Readers of older versions have to be done."""
-    pointers = spark.read.schema(POINTER).parquet(f"{root}/current")
-    newest = pointers.select("version").distinct().orderBy(F.desc("version")).limit(keep)
-    named = {r.folder for r in pointers.join(newest, "version").select("folder").distinct().collect()}
-    top = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    for version in (s.getPath() for s in files.listStatus(top) if s.getPath().getName().startswith("v-")):
-        for table in (s.getPath() for s in files.listStatus(version)):
-            if f"{version.getName()}/{table.getName()}" not in named:
-                files.delete(table, True)
+def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the newest version."""
+    return match_store(spark, root).tables()
+
+
+def load_into(store: Store, version: Version, payloads: DataFrame) -> Version:
+    """The version after the payloads (one for each match), written but not committed. Only the buckets of the payloads'
+    matches and aliases are read and written again, and numbers go on from those that the version knows."""
+    matches = payloads.select(bucket_of(F.col("matchID"), version.buckets).alias("b"))
+    aliases = flatten_player_stats(payloads).select(bucket_of(F.col("alias"), version.buckets).alias("b"))
+    of_match, of_alias = ({r.b for r in rows.distinct().collect()} for rows in (matches, aliases))
+    touched = {n: of_alias if key == "alias" else of_match for n, key in KEYS.items()}
+    tables = {n: store.table(version, n, touched[n], stored=True) for n in KEYS} | {"teams": store.table(version, "teams")}
+    loaded = load_match_payload(tables, payloads, version.largest)
+    return store.write(version, {n: loaded[n] for n in KEYS}, touched)
+
+
+def load_payloads(spark: SparkSession, root: str, payloads: DataFrame, tries: int = 5) -> Version:
+    """Loads payloads into the newest version, and again into a newer one where another writer came first. Of payloads
+    for one match the last page by date counts. What the tables hold already is skipped, so a load may be repeated."""
+    store = match_store(spark, root)
+    with scratch_scope(spark):
+        last = payloads.groupBy("matchID").agg(F.max_by(F.struct(*PAYLOAD.fieldNames()), F.coalesce("matchDate", F.lit(""))).alias("p")).select("p.*")
+        last = written(last, "last-payloads")
+        for left in reversed(range(tries)):
+            try:
+                return store.commit(load_into(store, store.read_version(), last))
+            except Conflict:
+                if not left:
+                    raise
+    raise AssertionError
 
 
 def start_match_load(spark: SparkSession, in_dir: str, tables_dir: str, checkpoint: str) -> StreamingQuery:
-    """Loads all payload files of in_dir that the checkpoint doesn't know, and stops. The operators skip what the
-    tables hold already, so a batch that is run again after a failure adds nothing twice."""
+    """Loads all payload files of in_dir that the checkpoint doesn't know, and stops. Lines that can't be loaded are in
+    tables_dir/payloads/batch-<number>/kind=bad, with the reason. A batch that is run again after a failure writes there
+    again and adds nothing twice."""
 
     def load(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        payloads = batch.where("matchID IS NOT NULL")
-        # of payloads for one match in a batch the last page by date counts
-        last = payloads.groupBy("matchID").agg(F.max_by(F.struct(*PAYLOAD.fieldNames()), F.coalesce("matchDate", F.lit(""))).alias("p")).select("p.*")
-        last = last.persist()  # every table reads it
-        version, folders = current_folders(session, tables_dir)
-        tables = current_tables(session, tables_dir)
-        loaded = load_match_payload(tables, last)
-        publish(session, tables_dir, {n: df for n, df in loaded.items() if df is not tables[n]}, version + 1, folders)
-        last.unpersist()
-
-    stream = spark.readStream.schema(PAYLOAD).json(in_dir)
-    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        good, _, counts = split_payloads(parse_payloads(batch), f"{tables_dir}/payloads/batch-{number}")
+        if counts["good"]:
+            load_payloads(session, tables_dir, good)
+
+    return spark.readStream.text(in_dir).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def bad_payloads(spark: SparkSession, tables_dir: str) -> DataFrame:
+    """(raw, reason) of the lines that no batch could load."""
+    return spark.read.schema("raw string, reason string, kind string").option("basePath", f"{tables_dir}/payloads").parquet(f"{tables_dir}/payloads/batch-*").where("kind = 'bad'").select("raw", "reason")

@@ -1,6 +1,11 @@
 from __future__ import annotations
 
+import random
+
+from pyspark.sql import functions as F
+
 from scrimspark.functions.dom import parse
+from scrimspark.functions.lookups import MAPS as MAP_NAMES
 from scrimspark.operators import pages as P
 from scrimspark.plans import sample_pages as SP
 from scrimspark.plans.adapters import view
@@ -71,24 +76,58 @@ def test_listing_pages_hold_a_bounded_number_of_records(spark):
         assert max(sizes) <= 25 and sum(sizes) == whole.count()
 
 
-def test_veto_lines_equal_the_patterns_of_the_pages():
+def read_vetoes(spark, lines):
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, line string").select("i", P.veto_of(F.col("line")).alias("v")).collect()
+    return [tuple(r.v) if r.v else None for r in sorted(rows)]
+
+
+def test_veto_lines(spark):
     known = [
         ("1. Team B picked Dust 2", (1, "Team B", 1, 8)),
         ("2. A Removed nuke", (2, "A", 2, 3)),
         ("7. Mirage was left over", (7, "", 3, 1)),
+        ("7. Nuke was left over(decider)", (7, "", 3, 3)),
         ("7.Dust 2 left-over (decider)", (7, "", 3, 8)),
         ("7. Train LEFTOVER", (7, "", 3, 9)),
+        ("7. Train left\u00a0over", (7, "", 3, 9)),
+        ("3. pick picked Train", (3, "pick", 1, 9)),
         ("3. A banned Train", None),
         ("3. A pick Train", None),
+        ("3. A picked Train (2nd)", None),
         ("x. A picked Train", None),
         ("3 A picked Train", None),
         ("3. picked Train", None),
         ("3. A picked", None),
         ("4. was left over", None),
+        ("4. Moon was left over", None),
+        ("4. left over picked Train", (4, "left over", 1, 9)),
+        ("99999999999. A picked Train", None),
         ("4.", None),
         ("", None),
+        (None, None),
     ]
-    assert [P.veto_line(line) for line, _ in known] == [v for _, v in known]
+    assert read_vetoes(spark, [line for line, _ in known]) == [v for _, v in known]
+
+
+def test_lines_of_the_grammar_are_read_back(spark):
+    """Lines made from steps, teams, maps and all spellings tell what they were made from."""
+    r = random.Random(7)
+    teams = ["A", "Team B", "picker", "9 lives", "left", "Ünïted", "a.b", "the (decider)"]
+    lines, want = [], []
+    for step in range(1, 1500):
+        number, name = r.choice(list(MAP_NAMES.items()))
+        name = "".join(r.choice((c.lower(), c.upper())) for c in (name.replace("Dust2", r.choice(("Dust2", "Dust 2")))))
+        gap = lambda least=1: " " * r.randint(least, 3) if r.random() < 0.9 else "\t" * max(least, 1)
+        if r.random() < 0.5:
+            over = r.choice(("left over", "leftover", "left-over", "left -over", "Left Over", "LEFT-OVER"))
+            lines.append(f"{gap(0)}{step}.{gap(0)}{name}{gap()}{r.choice(('was' + gap(), 'WAS ', ''))}{over}{r.choice(('', '(decider)', gap() + '(Decider)'))}{gap(0)}")
+            want.append((step, "", 3, number))
+        else:
+            team, verb = r.choice(teams), r.choice(("picked", "removed", "banned", "ban", "pick", "Picked", "REMOVED"))
+            lines.append(f"{step}.{gap(0)}{team}{gap()}{verb}{gap()}{name}{gap(0)}")
+            action = {"picked": 1, "removed": 2}.get(verb.lower())
+            want.append((step, team, action, number) if action else None)
+    assert read_vetoes(spark, lines) == want
 
 
 def test_malformed_events_and_event_teams(spark):

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from scrimspark.operators import warehouse as W
 from scrimspark.operators.numbering import numbered
 from scrimspark.schemas import PAYLOAD, TABLES
-from scrimspark.streaming.load import current_tables, drop_old_versions, publish, start_match_load
+from scrimspark.sources import frames as S
+from scrimspark.sources.store import Conflict
+from scrimspark.streaming.load import bad_payloads, create_tables, current_tables, load_into, load_payloads, match_store, start_match_load
 
 
 def line(map_id, side=1, kills=10):
@@ -29,14 +31,17 @@ def payload(**more):
 
 @pytest.fixture
 def tables(spark):
-    empty = {n: spark.createDataFrame([], s) for n, s in TABLES.items()}
+    empty = {n: spark.createDataFrame([], TABLES[n]) for n in TOUCHED}
     empty["teams"] = spark.createDataFrame([(1, "A"), (2, "B")], TABLES["teams"])
     empty["matches"] = spark.createDataFrame([(1, 9, 1, 2, 3, None, "u", None, None), (2, 9, 1, 2, 3, None, "u", None, None)], TABLES["matches"])
     return empty
 
 
+TOUCHED = ("matches", "match_maps", "match_veto", "match_players", "players", "player_stats", "teams")
+
+
 def counts(tables):
-    return {n: df.count() for n, df in tables.items()}
+    return {n: tables[n].count() for n in TOUCHED}
 
 
 def test_load_and_load_again(spark, tables):
@@ -113,7 +118,7 @@ def test_unknown_map_is_an_error(spark):
 def test_stream_loads_once(spark, tables, tmp_path):
     root, inbox = str(tmp_path / "w"), tmp_path / "in"
     inbox.mkdir()
-    publish(spark, root, tables)
+    create_tables(spark, root, tables)
     spark.createDataFrame([payload()], PAYLOAD).write.mode("append").json(str(inbox))
     for _ in range(2):
         start_match_load(spark, str(inbox), root, str(tmp_path / "marks")).awaitTermination()
@@ -136,13 +141,119 @@ def test_numbering_in_ranges(spark):
     assert numbered(rows.limit(0), "n", ["o"]).count() == 0
 
 
-def test_readers_see_the_newest_whole_version_and_old_ones_go(spark, tmp_path):
-    root = str(tmp_path / "tables")
-    for number in range(3):
-        publish(spark, root, {"teams": spark.createDataFrame([(number, "a")], TABLES["teams"])}, number)
-    # a version whose pointer was never written doesn't count
-    spark.createDataFrame([(9, "b")], TABLES["teams"]).write.parquet(f"{root}/v-broken/teams")
-    assert [r.team_id for r in current_tables(spark, root)["teams"].collect()] == [2]
-    drop_old_versions(spark, root, keep=1)
-    assert [r.team_id for r in current_tables(spark, root)["teams"].collect()] == [2]
-    assert len(list((tmp_path / "tables").glob("v-*/teams"))) == 1
+def store_of(spark, tables, root, matches=60, buckets=24):
+    """A store with many matches, of which each has a veto, a map, a line-up and a line."""
+    ids = spark.range(1, matches + 1).select(F.col("id").cast("int").alias("match_id"))
+    fill = lambda name, **columns: ids.select(*[(columns[f.name] if f.name in columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES[name]])
+    m = F.col("match_id")
+    whole = tables | {
+        "matches": fill("matches", match_id=m, page_url=F.lit("u")),
+        "match_maps": fill("match_maps", match_map_id=m * 10, match_id=m, map_id=F.lit(7)),
+        "match_veto": fill("match_veto", veto_id=m, match_id=m, step=F.lit(1), action_id=F.lit(1), map_id=F.lit(7)),
+        "match_players": fill("match_players", match_id=m, team_id=F.lit(1), player_id=F.lit(1)),
+        "players": spark.createDataFrame([(i, f"p{i}", None, None) for i in range(1, 100)], TABLES["players"]),
+        "player_stats": fill("player_stats", stat_id=m, match_map_id=m * 10, player_id=F.lit(1), side_id=F.lit(1), kills=F.lit(0), deaths=F.lit(0)),
+    }
+    create_tables(spark, root, whole, buckets)
+    return match_store(spark, root)
+
+
+def rows_of(tables):
+    return {n: sorted(repr(tuple(r)) for r in tables[n].select(sorted(tables[n].columns)).collect()) for n in TOUCHED}
+
+
+def test_a_batch_writes_its_buckets_only(spark, tables, tmp_path):
+    store = store_of(spark, tables, str(tmp_path / "w"))
+    before = store.read_version()
+    whole = store.tables(before)
+    batch = spark.createDataFrame([payload(matchID=i) for i in range(5, 15)], PAYLOAD)
+    after = load_payloads(spark, store.root, batch)
+    assert after.number == before.number + 1
+    for name in ("matches", "match_maps", "match_veto", "match_players", "player_stats", "players"):
+        changed = {b for b, f in after.folders[name].items() if f != before.folders[name].get(b)}
+        assert 0 < len(changed) <= 10
+        assert set(before.folders[name]) <= set(after.folders[name])
+    # the same as loading into whole tables, numbers too
+    want = W.load_match_payload(whole, batch)
+    assert rows_of(store.tables()) == rows_of(want)
+    # readers of the version before still have it
+    assert store.table(before, "match_veto").count() == 60
+    # again: nothing is added
+    load_payloads(spark, store.root, batch)
+    n = counts(store.tables())
+    assert n == counts(want)
+    store.drop_old_versions(keep=1)
+    assert counts(store.tables()) == n and len(store.version_numbers()) == 1
+    assert not any("numbered" in str(p) for p in tmp_path.rglob("*"))
+
+
+def test_a_killed_batch_leaves_the_old_version(spark, tables, tmp_path):
+    store = store_of(spark, tables, str(tmp_path / "w"), 20, 4)
+    before = rows_of(store.tables())
+    load_into(store, store.read_version(), spark.createDataFrame([payload()], PAYLOAD))  # never committed
+    assert rows_of(store.tables()) == before
+    folders = len(list((tmp_path / "w" / "data").iterdir()))
+    store.drop_old_versions()
+    assert rows_of(store.tables()) == before and len(list((tmp_path / "w" / "data").iterdir())) == folders - 1
+
+
+def test_of_two_loads_one_wins_and_one_retries(spark, tables, tmp_path, monkeypatch):
+    store = store_of(spark, tables, str(tmp_path / "w"), 20, 4)
+    base = store.read_version()
+    first, second = (spark.createDataFrame([payload(matchID=i)], PAYLOAD) for i in (1, 2))
+    a, b = load_into(store, base, first), load_into(store, base, second)
+    store.commit(a)
+    with pytest.raises(Conflict):
+        store.commit(b)
+    assert store.read_version().number == base.number + 1
+
+    other = spark.createDataFrame([payload(matchID=3)], PAYLOAD)
+    plain = type(store).write
+    overtaken = []
+
+    def slow(self, version, *args):
+        out = plain(self, version, *args)
+        if not overtaken:  # someone else commits between our reading and our commit
+            overtaken.append(1)
+            self.commit(load_into(self, version, other))
+        return out
+
+    monkeypatch.setattr(type(store), "write", slow)
+    load_payloads(spark, store.root, second)
+    notes = {r.match_id: r.match_notes for r in store.tables()["matches"].collect()}
+    assert [notes[i] for i in (1, 2, 3, 4)] == ["notes", "notes", "notes", None]
+    ids = [r.stat_id for r in store.tables()["player_stats"].collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_a_match_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    """Its bucket is dealt out by size; every row is there."""
+    store = match_store(spark, str(tmp_path / "w"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        big = spark.range(200_000).selectExpr("id AS veto_id", "CAST(CASE WHEN id % 10 = 0 THEN id ELSE 1 END AS INT) AS match_id", "1 AS step", "1 AS team_id", "1 AS action_id", "1 AS map_id")
+        version = store.replace({"match_veto": big}, 8)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = max(len(list((tmp_path / "w" / f).glob("part-*"))) for f in version.folders["match_veto"].values())
+    assert files > 2 and store.tables()["match_veto"].count() == 200_000 and version.largest["match_veto"] == 199_999
+
+
+BAD = {
+    '{"matchID": 5, ': S.NOT_JSON, "": S.NOT_JSON, "3": S.WRONG_TYPE, '{"matchID": "x"}': S.WRONG_TYPE, '{"matchID": 1, "players": {}}': S.WRONG_TYPE, "{}": S.NO_ID, '{"matchID": null, "results": [{"mapID": 99}]}': S.NO_ID,
+    '{"matchID": 1, "results": [{"mapID": 12}]}': S.NO_MAP, '{"matchID": 1, "matchVeto": [{"mapID": 1}, {"stepNumber": 2}]}': S.NO_MAP, '{"matchID": 1, "players": [{"stats": [{"mapID": 0}]}]}': S.NO_MAP,
+}
+GOOD = ['{"matchID": 7}', '{"matchID": 8, "matchVeto": null, "players": [{"alias": "x", "stats": null}], "more": 1}', '{"matchID": 9, "results": [{"mapID": 11}]}']
+
+
+def test_bad_lines_are_put_aside_with_their_reason(spark, tables, tmp_path):
+    lines = spark.createDataFrame([(x,) for x in [*BAD, *GOOD]], "value string")
+    good, bad, counts = S.split_payloads(S.parse_payloads(lines), str(tmp_path / "split"))
+    assert {r.raw: r.reason for r in bad.collect()} == BAD
+    assert sorted(r.matchID for r in good.collect()) == [7, 8, 9]
+    assert counts == {"good": 3, S.NOT_JSON: 2, S.WRONG_TYPE: 3, S.NO_ID: 2, S.NO_MAP: 3}
+    root = str(tmp_path / "w")
+    create_tables(spark, root, tables)
+    lines.where("value <> ''").write.text(str(tmp_path / "in"))
+    start_match_load(spark, str(tmp_path / "in"), root, str(tmp_path / "marks")).awaitTermination()
+    assert {r.raw: r.reason for r in bad_payloads(spark, root).collect()} == {k: v for k, v in BAD.items() if k}
