@@ -73,7 +73,8 @@ class Flow:
 
     def __init__(self):
         self.out: list[str] = []
-        self.breaks, self.space, self.indents, self.marker = 0, False, [], ""
+        self.breaks, self.space, self.indents = 0, False, []
+        self.markers: list[tuple[int, str]] = []  # of items that have no line yet, with the place of their indent
 
     def block(self, breaks: int) -> None:
         self.breaks, self.space = max(self.breaks, breaks), False
@@ -82,11 +83,11 @@ class Flow:
         if self.breaks or not self.out:
             if self.out:
                 self.out.append("\n" * self.breaks)
-            indent = "".join(self.indents)
-            if self.marker:
-                indent = indent[: len(indent) - len(self.marker)] + self.marker
-            self.out.append(indent)
-            self.breaks, self.space, self.marker = 0, False, ""
+            indents = list(self.indents)
+            for at, marker in self.markers:
+                indents[at] = marker
+            self.out.append("".join(indents))
+            self.breaks, self.space, self.markers = 0, False, []
         elif self.space:
             self.out.append(" ")
             self.space = False
@@ -478,9 +479,10 @@ class Page:
         if name == "li":
             flow.block(1)
             ordered = self.lists[-1] if self.lists else [False, 1]
-            flow.marker = f"{ordered[1]}. " if ordered[0] else "- "
+            marker = f"{ordered[1]}. " if ordered[0] else "- "
             ordered[1] += 1
-            flow.indents.append(" " * len(flow.marker))
+            flow.markers.append((len(flow.indents), marker))
+            flow.indents.append(" " * len(marker))
             return ("item",)
         if name in ("blockquote", "dd"):
             flow.block(2 if name == "blockquote" else 1)
@@ -518,7 +520,8 @@ class Page:
             flow.block(1 if self.lists else 2)
         elif kind == "item":
             flow.indents.pop()
-            flow.marker = ""
+            if flow.markers and flow.markers[-1][0] == len(flow.indents):
+                flow.markers.pop()
             flow.block(1)
         elif kind == "indent":
             flow.indents.pop()

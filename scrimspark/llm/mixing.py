@@ -6,7 +6,8 @@ group's to its shards by the quotients of their sizes. In each shard the blocks
 as many as its quota says. A quota above the shard's number of blocks takes the whole shard once and picks the rest again.
 
 Nulls, ties, empty input: a null or empty text has size 0 and is never taken; a null source is a source of its own, the
-last; rows that repeat a doc_id are separate stretches of the stream; a text of any length is one row, and its blocks a
+last; a null doc_id is like any other, and rows that repeat a doc_id are separate stretches of the stream, ordered by their
+digests of doc_id and text and then by the rest of the row, so reruns agree; a text of any length is one row, and its blocks a
 list of its length / ``block_words``; an empty table gives an empty result. Columns of the input that are named like an
 output column are replaced; other names can't clash.
 """
@@ -85,14 +86,20 @@ def words() -> Column:
 
 
 def _digest(seed: str) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
+    """Of doc_id and text, so that rows that share a doc_id, or have none, are dealt out like others."""
+    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(text_or_empty(), 256)))
+
+
+def _tie(docs: DataFrame) -> Column:
+    """Puts rows of one doc_id and text in an order by their other columns; rows equal in all of them are interchangeable."""
+    return F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in kind else F.col(c) for c, kind in docs.dtypes])
 
 
 OUTPUT = ("size", "source_size", "target", "taken", "copies", "ranges")
 
 
 def _mixed(light: DataFrame, rows: DataFrame, weights: tuple[float, ...], share: float, cap: float, block_words: int, shard_words: int, seed: str) -> DataFrame:
-    """rows (doc_id, source, size, _digest and any more that start with _mix) with the other columns of OUTPUT. light: the
+    """rows (doc_id, source, size, _digest, _mix_tie and any more that start with _mix) with the other columns of OUTPUT. light: the
     same documents' source, size and _digest.
 
     A source of any size is cut into shards of about ``shard_words``, so no task holds a source. Only the tables of
@@ -127,7 +134,7 @@ def _mixed(light: DataFrame, rows: DataFrame, weights: tuple[float, ...], share:
         .select(F.col("rank").alias("_r"), F.col("_shard").alias("_s"), "copies", "_last")
     )
     shards = keep(shards, "mix-picks")
-    stream = Window.partitionBy("rank", "_shard").orderBy("_digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    stream = Window.partitionBy("rank", "_shard").orderBy("_digest", "_mix_tie").rowsBetween(Window.unboundedPreceding, -1)
     rows = placed(rows).withColumn("_start", F.coalesce(F.sum("size").over(stream), F.lit(0)))
     rows = rows.join(shards, (rows["rank"] == shards["_r"]) & (rows["_shard"] == shards["_s"]))
     chosen = F.filter(F.sequence(F.expr(f"_start div {block_words}"), F.expr(f"(_start + size - 1) div {block_words}")), lambda b: key(b) <= F.col("_last"))
@@ -158,14 +165,14 @@ def mix_sources(
     in two passes: for the plan, and with the texts that it is applied to."""
     docs = docs.drop(*OUTPUT)
     light = keep(docs.select("source", words().alias("size"), _digest(seed).alias("_digest")), "mix-sizes")
-    rows = docs.select(F.struct(*docs.columns).alias("_mix_row"), "doc_id", "source", words().alias("size"), _digest(seed).alias("_digest"))
+    rows = docs.select(F.struct(*docs.columns).alias("_mix_row"), "doc_id", "source", words().alias("size"), _digest(seed).alias("_digest"), _tie(docs).alias("_mix_tie"))
     return _mixed(light, rows, weights, share, cap, block_words, shard_words, seed).select("_mix_row.*", *OUTPUT)
 
 
 def mix_report(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, block_words: int = 64, shard_words: int = 1 << 18, seed: str = "mix") -> DataFrame:
     """As mix_sources(), with doc_id and source in place of the other columns: words are counted once."""
-    light = keep(docs.select("doc_id", "source", words().alias("size"), _digest(seed).alias("_digest")), "mix-sizes")
-    return _mixed(light.drop("doc_id"), light, weights, share, cap, block_words, shard_words, seed).select("doc_id", "source", *OUTPUT)
+    light = keep(docs.select("doc_id", "source", words().alias("size"), _digest(seed).alias("_digest"), F.lit(0).cast("long").alias("_mix_tie")), "mix-sizes")
+    return _mixed(light.drop("doc_id", "_mix_tie"), light, weights, share, cap, block_words, shard_words, seed).select("doc_id", "source", *OUTPUT)
 
 
 #: A word and the white space after it.
@@ -204,7 +211,7 @@ def _apportion(name: str, rows: str, group: str, votes: str, seats: str, order:
 
 
 ORACLE = f"""
-WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size, md5('mix:' || doc_id) AS digest FROM documents),
+WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size, md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || sha256(coalesce(text, ''))) AS digest FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS rank FROM totals),
 weighed AS (SELECT *, CASE rank % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM ranked),
@@ -223,7 +230,7 @@ shard_seats AS (SELECT s.*, seats FROM shard_words s JOIN groups_ g USING (group
 shard_plan AS (SELECT *, greatest(1, ceil(words / 64))::BIGINT AS blocks FROM shares),
 shard_take AS (SELECT *, least(take0, 2 * blocks) // blocks AS copies, least(take0, 2 * blocks) % blocks AS more,
   CASE WHEN least(take0, 2 * blocks) % blocks > 0 THEN list_sort(list_transform(range(blocks), lambda b: md5('mix:' || rank || ':' || shard || ':' || b)))[least(take0, 2 * blocks) % blocks] END AS last_key FROM shard_plan),
-streams AS (SELECT p.*, coalesce(sum(size) OVER (PARTITION BY p.rank, p.shard ORDER BY digest, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM placed p)
+streams AS (SELECT p.*, coalesce(sum(size) OVER (PARTITION BY p.rank, p.shard ORDER BY digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM placed p)
 SELECT doc_id, size, source_size, target,
   (size * copies + CASE WHEN size > 0 AND last_key IS NOT NULL THEN coalesce(list_sum(list_transform(
     list_filter(range(start // 64, (start + size - 1) // 64 + 1), lambda b: md5('mix:' || s.rank || ':' || s.shard || ':' || b) <= last_key),

@@ -168,14 +168,17 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     indexed = tuple(r for r in rules if frozenset() not in queries[r.kind])
     trigrams = sorted(set().union(*[c for r in indexed for c in queries[r.kind]]))
     # written, so that Spark knows how few there are and picks the join by their size
-    hits = keep(candidates(postings(docs, trigrams), indexed), "secret-candidates").withColumnRenamed("doc_id", "_id")
-    rows = docs.drop("found").join(hits, docs["doc_id"].eqNullSafe(hits["_id"]), "left").withColumn("_text", text_or_empty())
+    hits = keep(candidates(postings(docs, trigrams), indexed), "secret-candidates").select(F.col("doc_id").alias("_id"), "kinds")
+    docs = docs.drop("found")
+    # the caller's columns are one, so no name of theirs meets one of ours
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"))
+    rows = rows.join(hits, rows["_doc"].eqNullSafe(hits["_id"]), "left").withColumn("_text", F.coalesce(F.col("_row.text"), F.lit("")))
     none = F.array().cast("array<struct<start:bigint,order:bigint,end:bigint>>")
     found = []
     for order, rule in enumerate(rules):
         likely = F.array_contains(F.coalesce("kinds", F.array().cast("array<string>")), F.lit(rule.kind)) if rule in indexed else F.col("_text").rlike(rule.pattern)
         found.append(F.when(likely, _spans(F.col("_text"), rule, order)).otherwise(none))
-    return rows.withColumn("found", F.array_sort(F.concat(*found))).drop("_id", "kinds", "_text")
+    return rows.select("_row.*", F.array_sort(F.concat(*found)).alias("found"))
 
 
 def spans_text(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -193,8 +196,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secre
         before = F.when(x["start"] >= a["at"], F.concat(a["out"], F.substr(text_or_empty(), (a["at"] + 1).cast("int"), (x["start"] - a["at"]).cast("int")), F.lit(mark))).otherwise(a["out"])
         return F.struct(F.greatest(a["at"], x["end"]).alias("at"), before.alias("out"))
 
-    done = F.aggregate("found", start, step)
-    return rows.withColumn("_done", done).withColumn("text", F.when(F.size("found") > 0, F.concat(F.col("_done.out"), F.substr(text_or_empty(), (F.col("_done.at") + 1).cast("int")))).otherwise(F.col("text"))).drop("_done")
+    done = F.aggregate("found", start, step, lambda a: F.concat(a["out"], F.substr(text_or_empty(), (a["at"] + 1).cast("int"))))
+    return rows.withColumn("text", F.when(F.size("found") > 0, done).otherwise(F.col("text")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

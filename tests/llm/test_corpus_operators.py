@@ -323,3 +323,17 @@ def test_sainte_lague_equals_the_highest_quotients(spark):
         got = [r.n for r in mixing.sainte_lague(df, ["g"], "v", "seats", ["k"], "n").orderBy("k").collect()]
         quotients = sorted(((-v / (2 * j + 1), i) for i, v in enumerate(votes) if v for j in range(seats)))[:seats]
         assert got == [sum(q[1] == i for q in quotients) for i in range(len(votes))]
+
+
+def test_mix_agrees_between_reruns(spark):
+    """Null and repeated doc_ids, equal sizes: in any partitioning the same texts are taken, and no shard gets them all."""
+    rows = [(None if i % 3 else 7, f"w{i} " * 90, "a" if i % 2 else None, i % 5) for i in range(60)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long")
+    got = []
+    for n in (1, 3, 8):
+        shuffled = docs.orderBy(F.xxhash64("text", F.lit(n))).repartition(n)
+        out = mixing.mix_sources(shuffled, block_words=8, shard_words=500)
+        got.append(sorted(repr(tuple(r)) for r in out.select("doc_id", "text", "extra", "taken", "copies", "ranges").collect()))
+    assert got[0] == got[1] == got[2] and len(got[0]) == 120
+    shards = docs.select(F.conv(F.substring(mixing._digest("mix"), 1, 8), 16, 10).cast("long") % 8).distinct().count()
+    assert shards == 8

@@ -8,7 +8,7 @@ import re
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -164,6 +164,8 @@ def test_template_rejects_marks_that_overlap():
         ("<table><tr><td colspan=1000>a<td>b<tr><td colspan=1000>long<td>c</table>", "a     b\nlong  c"),
         ("<p style=visibility:hidden>no <b style=visibility:visible>yes</b> no<p>also", "yes\n\nalso"),
         ("<p style=display:none>no <b style=display:inline>no</b><p style='display:none;display:block'>yes", "yes"),
+        ("<ul><li><ul><li></li></ul>x</li></ul>", "- x"),
+        ("<ul><li><ol><li>a<li>b</ol>c<li>d</ul>", "- 1. a\n  2. b\n  c\n- d"),
         ("<p>a<plaintext><b>&amp;</plaintext>", "a\n\n<b>&amp;</plaintext>"),
     ],
 )
@@ -230,13 +232,14 @@ def written(node, ends: bool) -> str:
     return f"<{name}{attrs}>" + "".join(written(x, ends) for x in inside) + (f"</{name}>" if ends or name != "p" else "")
 
 
-def plain_blocks(nodes, seen: bool, depth: int) -> list[tuple[int, int, list[str], bool]]:
-    """Blocks (breaks before, breaks after, lines, whether in a list of this flow) of a flow; neighbouring words are one."""
+def plain_blocks(nodes, seen: bool, depth: int) -> list[tuple[int, int, list[str]]]:
+    """Blocks (breaks before, breaks after, lines) of a flow; neighbouring words are one. The first line of an item has its
+    marker, before that of an inner item if it begins with one."""
     found, run = [], []
 
     def flush():
         if run:
-            found.append((0, 0, [" ".join(run)], False))
+            found.append((0, 0, [" ".join(run)]))
             run.clear()
 
     def inline(x, seen):
@@ -256,29 +259,28 @@ def plain_blocks(nodes, seen: bool, depth: int) -> list[tuple[int, int, list[str
         flush()
         here = "visible" in attrs or seen and "hidden" not in attrs
         if name == "table":
-            found.append((2, 2, plain_table(inside, here), False))
+            found.append((2, 2, plain_table(inside, here)))
         elif name in ("ul", "ol"):
             items = []
             for n, item in enumerate(inside, 1):
                 mark = f"{n}. " if name == "ol" else "- "
-                items.append((1, 0, [], True))
-                for before, after, lines, listed in plain_blocks(item, here, depth + 1):
-                    marks = [" " * len(mark) if listed or i else mark for i in range(len(lines))]
+                items.append((1, 0, []))
+                for before, after, lines in plain_blocks(item, here, depth + 1):
+                    items.append((before, after, [(" " * len(mark) if i else mark) + x for i, x in enumerate(lines)]))
                     mark = " " * len(mark) if lines else mark
-                    items.append((before, after, [m + x for m, x in zip(marks, lines, strict=True)], True))
-                items.append((0, 1, [], True))
+                items.append((0, 1, []))
             gap = 1 if depth else 2
-            found += [(gap, 0, [], True), *items, (0, gap, [], True)]
+            found += [(gap, 0, []), *items, (0, gap, [])]
         else:
             gap = 2 if name == "p" else 1
-            found += [(gap, 0, [], False), *plain_blocks(inside, here, depth), (0, gap, [], False)]
+            found += [(gap, 0, []), *plain_blocks(inside, here, depth), (0, gap, [])]
     flush()
     return found
 
 
 def plain_lines(blocks) -> list[str]:
     lines, gap = [], 0
-    for before, after, own, _ in blocks:
+    for before, after, own in blocks:
         gap = max(gap, before)
         if own:
             if lines and gap == 0:
@@ -313,8 +315,12 @@ def plain_table(rows, seen: bool) -> list[str]:
     return lines
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=1000, deadline=None)
 @given(st.lists(TREE, min_size=1, max_size=3), st.booleans())
+@example([("p", "", ["a"]), ("ul", " style='visibility:hidden'", [[("ul", "", [[("p", "", ["a"])]]), ("p", " style=visibility:visible", ["a"])]])], False)
+@example([("ul", "", [[("ul", "", [[("p", ' hidden=""', ["a"])]]), "x"]])], True)
+@example([("ul", "", [[("ol", "", [["a"], ["bc"]])]])], True)
+@example([("ul", "", [[("ul", ' hidden=""', [["a"]]), "x"], ["a"]])], False)
 def test_rendering_equals_plain_recursion(nodes, ends):
     html = "<html><body>" + "".join(written(n, ends) for n in nodes)
     assert html_text.render(html) == "\n".join(plain_lines(plain_blocks(nodes, True, 0)))
@@ -354,6 +360,15 @@ def test_secrets_equal_brute_force(spark):
     assert secrets.scan(docs.limit(0)).count() == 0
 
 
+def test_scan_with_clashing_names(spark):
+    """Columns of the caller named like the operator's own, and a very long text."""
+    text = "x " * 200_000 + "password: hunter22"
+    docs = spark.createDataFrame([(1, text, "k", 5, 6, "row"), (None, None, "k", 5, 6, "row")], "doc_id long, text string, kinds string, _id int, _doc int, _row string")
+    rows = secrets.scan(docs)
+    assert rows.columns == [*docs.columns, "found"]
+    assert {r.doc_id: [tuple(x)[::2] for x in r.found] for r in rows.collect()} == {1: [(400_000, 400_018)], None: []}
+
+
 def test_redaction(spark):
     rows = {r.doc_id: r.text for r in secrets.redact(documents(spark, SECRETS[:3])).collect()}
     assert rows[0] == "[secret]' PassWd:abc [secret] api_key: x secret\t=y" and "deadbeef" not in rows[2]
