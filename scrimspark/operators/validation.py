@@ -102,12 +102,15 @@ def frames_equal(left: DataFrame, right: DataFrame, abs_tol: float = 5.0) -> Dat
     single = keys.where(alone).withColumn("side", F.when(F.col("_n_right") == 0, "left").when(F.col("_n_left") == 0, "right").when(off, "both")).where("side IS NOT NULL").select("side", "_exact", "left", "right")
     # written, so that the join below may deal out a key with many rows
     several = written(keys.where(~alone).select("_key"), "frames-keys")
+    show = lambda df: df.select("side", *[F.col("_exact")[i].alias(c) for i, c in enumerate(exact)], *[F.col(s)[i].alias(f"{s}_{c}") for i, c in enumerate(loose) for s in ("left", "right")])
+    if several.isEmpty():
+        return show(single)
     over = _without_partner(_pieces(rows.join(several, "_key").withColumn("_piece", F.col("_key")), len(loose), abs_tol), len(loose), abs_tol)
     over = written(over, "frames-over")
     a, b = (numbered(over.where(F.col("_left") == (s == "left")).select("_key", "_exact", F.col("_values").alias(s)), "_n", [s], ["_key"]) for s in ("left", "right"))
     which = F.when(F.col("right").isNull(), "left").when(F.col("left").isNull(), "right").otherwise("both")
     over = a.join(b.withColumnRenamed("_exact", "_there"), ["_key", "_n"], "full_outer").select(which.alias("side"), F.coalesce("_exact", "_there").alias("_exact"), "left", "right")
-    return single.unionByName(over).select("side", *[F.col("_exact")[i].alias(c) for i, c in enumerate(exact)], *[F.col(s)[i].alias(f"{s}_{c}") for i, c in enumerate(loose) for s in ("left", "right")])
+    return show(single.unionByName(over))
 
 
 def _near(a: Column, b: Column, abs_tol: float) -> Column:
