@@ -7,7 +7,7 @@ from collections.abc import Callable
 from functools import reduce
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.columns import clean_steamid, frame_file_name
@@ -419,6 +419,16 @@ def t7_enrich_players(v, spark, d):
     return out.select("seq", "attacker_health", "attacker_team_name", "user_health", "user_team_name")
 
 
+@query("ticks", "player_hurt", sql=f"""WITH {WORLD}, {STATE} SELECT h.seq, w.total_rounds_played, ct_team_name, t_team_clan_name, a.health AS attacker_health, u.health AS user_health, u.team_name AS user_team_name FROM player_hurt h
+LEFT JOIN world w ON w.match_id = h.match_id AND w.map_name = h.map_name AND w.tick = h.tick
+LEFT JOIN state a ON a.match_id = h.match_id AND a.map_name = h.map_name AND a.tick = h.tick - 1 AND a.steamid = h.attacker_steamid
+LEFT JOIN state u ON u.match_id = h.match_id AND u.map_name = h.map_name AND u.tick = h.tick - 1 AND u.steamid = h.user_steamid""")
+def t7_enrich_events(v, spark, d):
+    """World and players' state at once."""
+    out = T.enrich_events(v("player_hurt"), v("ticks"), ["attacker", "user"], world_props=["total_rounds_played"], props=["health", "team_name"])
+    return out.select("seq", "total_rounds_played", "ct_team_name", "t_team_clan_name", "attacker_health", "user_health", "user_team_name")
+
+
 @query("player_hurt", "player_death", sql="SELECT event_type, seq, tick, dmg_health, attacker_name FROM player_hurt UNION ALL SELECT event_type, seq, tick, NULL, attacker_name FROM player_death")
 def t8_tag_and_union_events(v, spark, d):
     frames = {n: v(n).drop("event_type") for n in ("player_hurt", "player_death")}
@@ -587,12 +597,32 @@ def h7_extract_player_stats(v, spark, d):
     return P.extract_player_stats(SP.match_pages(spark, d))
 
 
+VETO_TEXT = "(SELECT string_agg(concat_ws(':', step, coalesce(team_name, ''), action_id, map_id), ',' ORDER BY step, coalesce(team_name, ''), action_id, map_id) FROM match_veto x LEFT JOIN teams USING (team_id) WHERE x.match_id = m.match_id)"
+RESULT_TEXT = f"(SELECT string_agg(concat_ws(':', map_id, {SCORES}), ',' ORDER BY map_id) FROM match_maps x WHERE x.match_id = m.match_id AND team1_score IS NOT NULL)"
+PLAYER_TEXT = """(SELECT string_agg(concat_ws(':', alias, team_name, map_id, 1, team1_t_score, team2_t_score, (team1_ct_score + 0.5)::DECIMAL(8,2), 1.25, RATING::DECIMAL(8,2), '3.0'), ',' ORDER BY alias, map_id)
+  FROM match_maps x JOIN match_players USING (match_id) JOIN players USING (player_id) JOIN teams USING (team_id) WHERE x.match_id = m.match_id)"""
+
+
+def payload_texts(payloads: DataFrame) -> dict[str, Column]:
+    """What a payload's nested parts hold, as text."""
+
+    def text(parts: Column, *columns: str) -> Column:
+        shown = lambda p: F.concat_ws(":", *[F.coalesce((p[c].cast("decimal(8,2)") if c in ("ADR", "swingPct", "rating") else p[c]).cast("string"), F.lit("-")) for c in columns])
+        return F.nullif(F.array_join(F.transform(parts, shown), ","), F.lit(""))
+
+    lines = F.flatten(F.transform("players", lambda p: F.transform(p["stats"], lambda x: F.struct(p["alias"].alias("alias"), p["team"].alias("team"), x["mapID"].alias("mapID"), *[x[c].alias(c) for c in ("sideID", "kills", "deaths", "ADR", "swingPct", "rating", "ratingVersion")]))))
+    return {
+        "vetoes": text(F.array_sort("matchVeto"), "stepNumber", "teamName", "vetoActionID", "mapID"),
+        "results": text(F.array_sort("results"), "mapID", *[f"team{n}{s}Score" for n in (1, 2) for s in ("", "T", "CT")]),
+        "lines": text(F.array_sort(lines), "alias", "team", "mapID", "sideID", "kills", "deaths", "ADR", "swingPct", "rating", "ratingVersion"),
+    }
+
+
 @query(*PAGE_VIEWS, sql=f"""WITH {PAGED} SELECT match_id, 'Best of 3' AS notes, CASE WHEN demo_link IS NOT NULL THEN 'https://stats.example/download/demo/' || match_id END AS demo, epoch(match_date)::BIGINT AS seconds,
-(SELECT count(*) FROM match_veto x WHERE x.match_id = m.match_id) AS vetoes, (SELECT count(team1_score) FROM match_maps x WHERE x.match_id = m.match_id) AS results, (SELECT count(*) FROM match_players x JOIN players USING (player_id) WHERE x.match_id = m.match_id) AS players FROM matches m WHERE match_id IN (SELECT match_id FROM paged)""")
+{VETO_TEXT} AS vetoes, {RESULT_TEXT} AS results, {PLAYER_TEXT.replace("RATING", "('1.' || team2_ct_score)")} AS lines FROM matches m WHERE match_id IN (SELECT match_id FROM paged)""")
 def h8_extract_match_page(v, spark, d):
     out = P.extract_match_page(SP.match_pages(spark, d))
-    size = lambda c: F.size(c).cast("long")
-    return out.select(F.col("matchID").cast("long").alias("match_id"), F.col("matchNotes").alias("notes"), F.col("demoLink").alias("demo"), F.unix_seconds(F.to_timestamp("matchDate")).alias("seconds"), size("matchVeto").alias("vetoes"), size("results").alias("results"), size("players").alias("players"))
+    return out.select(F.col("matchID").cast("long").alias("match_id"), F.col("matchNotes").alias("notes"), F.col("demoLink").alias("demo"), F.unix_seconds(F.to_timestamp("matchDate")).alias("seconds"), *[c.alias(n) for n, c in payload_texts(out).items()])
 
 
 @query(sql="SELECT page_id, replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, len(regexp_extract_all(regexp_extract(html, '(?s)<nav>.*?</nav>'), '<a '))::INT AS links FROM pages")
@@ -659,11 +689,13 @@ def s2_load_tables_jdbc(v, spark, d):
     return whole_rows(S.load_tables_jdbc(spark, url, STORED, rows_per_task=50_000))
 
 
-@query("matches", sql="SELECT match_id, 'note ' || match_id AS notes, demo_link AS demo FROM matches")
+@query("matches", "match_maps", "match_veto", "match_players", "players", "teams", sql=f"""SELECT match_id, CASE WHEN match_id % 10 = 0 THEN '' ELSE strftime(match_date, '%Y-%m-%dT%H:%M:%S') END AS day, 'note ' || match_id AS notes, demo_link AS demo,
+{VETO_TEXT} AS vetoes, {RESULT_TEXT} AS results, {PLAYER_TEXT.replace("RATING", "(team2_ct_score / 4)")} AS lines FROM matches m""")
 def s3_read_payloads(v, spark, d):
     path = scratch(spark, "payloads")
     SP.payload_json(spark, d).union(spark.createDataFrame([("not json",)], "value string")).write.text(path)
-    return S.read_payloads(spark, path).where("matchID IS NOT NULL").select(F.col("matchID").cast("long").alias("match_id"), F.col("matchNotes").alias("notes"), F.col("demoLink").alias("demo"))
+    good = S.read_payloads(spark, path).where("reason IS NULL")
+    return good.select(F.col("matchID").cast("long").alias("match_id"), F.col("matchDate").alias("day"), F.col("matchNotes").alias("notes"), F.col("demoLink").alias("demo"), *[c.alias(n) for n, c in payload_texts(good).items()])
 
 
 @query("ticks", sql="SELECT map_name, count(*) AS n, max(seq) AS last FROM ticks GROUP BY map_name")

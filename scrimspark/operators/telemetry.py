@@ -131,6 +131,13 @@ def enrich_players(events: DataFrame, state: DataFrame, roles: list[str] | None
     return found.select(*events.columns, *[F.col(f"_of_{role}.{c}").alias(f"{role}_{c}") for role in roles for c in props if f"{role}_{c}" not in events.columns])
 
 
+def enrich_events(events: DataFrame, ticks: DataFrame, roles: list[str] | None = None, tick_offset: int = -1, world_props: list[str] | None = None, props: list[str] | None = None) -> DataFrame:
+    """T5 to T7 in one: events with the world's state at their tick and each role's a tick before. Of the tick table only
+    the ticks that either needs are grouped."""
+    needed = needed_state(ticks, events, F.col("tick"), lookup_tick(tick_offset))
+    return enrich_players(enrich_world(events, world_state(needed, world_props)), needed, roles, tick_offset, props)
+
+
 def event_view(frame: DataFrame, name: str, drop: tuple[str, ...] | None = None) -> DataFrame:
     """The events of one view, without the columns that it never fills, or without those of ``drop``."""
     if drop is None:
