@@ -4,6 +4,10 @@ Each text gives a vector of five transformed statistics. For each language and s
 estimate (the mean and covariance of the h rows whose covariance has the least determinant) says how clean texts of that
 group look; a text whose squared Mahalanobis distance from it is above a cut-off is rejected.
 
+Every group has its own estimate, whatever its size, and so have each language and all texts. An estimate of n rows is
+mixed with that of the level above, with the weights n / (n + k) and k / (n + k): a source's with its language's, a
+language's with that of all, and the latter with a wide one that is given. ``own_weight`` says how much is the source's own.
+
 The vectors are small integers (steps of a sixteenth of a floor for each statistic), so all sums are exact and reruns
 agree. Equal vectors are counted, so copies are one row. A C-step takes exactly the h rows that are closest: they are
 counted and summed by group and by bin of their distance, the bins closest in are taken whole, and of the bin in which h
@@ -12,10 +16,8 @@ until its determinant stops falling. No task or driver holds a group: a group ha
 of them is ranked. The floors are added to the covariances as a ridge, as most texts have no symbol or repeated line.
 
 Nulls, ties, empty input: a null text has no words; a text without words fails the base rule; a null language or source
-is a value of its own; groups with fewer than ``min_group`` rows are pooled by language, then altogether, and if even
-that pool is small its texts are kept (``pool`` says which of these it was); repeated rows count each; a text of any length
-is one row; an empty table gives an empty result. Input columns named like an output column are replaced; names that start
-with ``_q_`` are reserved.
+is a value of its own; repeated rows count each; a text of any length is one row; an empty table gives an empty result.
+Input columns named like an output column are replaced; other names can't clash.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,24 +67,23 @@ def text_statistics(text: str) -> tuple[int, int, int, int, int, int]:
     return len(words), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated, len(lines)
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """docs with BASE, base_failed and the internal `_q_lines`."""
+NAMES = (*BASE, "_q_lines")
+OUTPUT = (*BASE, "base_failed", "distance", "own_weight", "kept")
+
+
+def measured(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """BASE, base_failed and the internal columns of docs; the carried columns as one, `_q_row`."""
     small_batches(docs.sparkSession)
-    docs = docs.drop(*BASE, "base_failed", "kept", "distance", "pool")
-    if any(c.startswith("_q_") for c in docs.columns):
-        raise ValueError("column names that start with _q_ are reserved")
-    names = [*BASE, "_q_lines"]
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = np.array([text_statistics(t or "") for t in b["text"]], dtype=np.int64).reshape(len(b), len(names))
-            yield b.assign(**{n: found[:, i] for i, n in enumerate(names)})
+    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in NAMES) + ">")
+    def statistics(texts: pa.Array) -> pa.Array:
+        found = np.array([text_statistics(t or "") for t in texts.to_pylist()], dtype=np.int64).reshape(len(texts), len(NAMES))
+        return pa.StructArray.from_arrays([pa.array(found[:, i]) for i in range(len(NAMES))], names=list(NAMES))
 
-    rows = docs.mapInPandas(run, schema)
+    named = [F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(c).cast("string"))).alias(f"_q_{c}") for c in ("lang", "source")]
+    rows = docs.select(F.struct(*carried, F.lit(0).alias("_q")).alias("_q_row"), *named, statistics("text").alias("_q_s")).select("_q_row", "_q_lang", "_q_source", "_q_s.*")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    named = [F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(c).cast("string"))) for c in ("lang", "source")]
-    return rows.withColumn("base_failed", failed).withColumn("_q_lang", named[0]).withColumn("_q_source", named[1])
+    return rows.withColumn("base_failed", failed)
 
 
 def vector() -> list[Column]:
@@ -168,18 +170,11 @@ def distance() -> Column:
     return total
 
 
-def grouped(stats: DataFrame, min_group: int) -> DataFrame:
-    """(_q_lang, _q_source, _q_group, pool): the pool that each language and source belongs to, and of what kind it is."""
-    sizes = stats.groupBy("_q_lang", "_q_source").agg(F.count(F.lit(1)).alias("_n"))
-    small = F.when(F.col("_n") < min_group, F.col("_n")).otherwise(0)
-    pooled = sizes.withColumn("_pool", F.sum(small).over(Window.partitionBy("_q_lang")))
-    kind = F.when(F.col("_n") >= min_group, "source").when(F.col("_pool") >= min_group, "language").otherwise("all")
-    pooled = pooled.withColumn("pool", kind)
-    group = F.when(F.col("pool") == "source", F.concat_ws("\x1f", "_q_lang", "_q_source")).when(F.col("pool") == "language", F.concat_ws("\x1f", F.lit("lang"), "_q_lang")).otherwise(F.lit("all"))
-    rows = pooled.select("_q_lang", "_q_source", group.alias("_q_group"), "pool", "_n")
-    totals = rows.groupBy("_q_group").agg(F.sum("_n").alias("_total"))
-    few = F.when(F.col("_total") < min_group, "too small").otherwise(F.col("pool"))
-    return rows.join(totals, "_q_group").select("_q_lang", "_q_source", "_q_group", few.alias("pool"))
+ALL = "all"
+
+
+def level(name: str, *columns: str) -> Column:
+    return F.concat_ws("\x1f", F.lit(name), *columns)
 
 
 #: Bins to a doubling of 1 + distance.
@@ -226,14 +221,17 @@ def _step(rows: DataFrame, now: DataFrame, share: float) -> DataFrame:
     return _estimates(both.groupBy("_q_group", "_q_start").agg(*[F.sum(c).alias(c) for c in SUM_NAMES]), consistency(share, P))
 
 
-def vectors_of(stats: DataFrame, groups: DataFrame) -> DataFrame:
-    """(_q_group, vector, _q_n) of the rows of measured() that have a word: the distinct vectors and how often they are."""
-    rows = stats.where("n_words > 0").join(groups, ["_q_lang", "_q_source"]).select("_q_group", *vector())
-    return rows.groupBy("_q_group", *Y).agg(F.count(F.lit(1)).alias("_q_n"))
+def vectors_of(stats: DataFrame) -> DataFrame:
+    """(_q_group, vector, _q_n) of the rows of measured() that have a word: the distinct vectors, and how often they are, of
+    each language and source, of each language, and of all. Rows are counted before they are told to the upper levels."""
+    rows = stats.where("n_words > 0").select("_q_lang", "_q_source", *vector()).groupBy("_q_lang", "_q_source", *Y).agg(F.count(F.lit(1)).alias("_q_n"))
+    groups = F.array(F.lit(ALL), level("lang", "_q_lang"), level("source", "_q_lang", "_q_source"))
+    return rows.select(F.explode(groups).alias("_q_group"), *Y, "_q_n").groupBy("_q_group", *Y).agg(F.sum("_q_n").alias("_q_n"))
 
 
-def least_determinant(rows: DataFrame, share: float = 0.75, most_steps: int = 30) -> DataFrame:
-    """The minimum-covariance-determinant estimate of each group of vectors_of(). The table is kept."""
+def least_determinant(rows: DataFrame, share: float = 0.75) -> DataFrame:
+    """The minimum-covariance-determinant estimate of each group of vectors_of(). A step never raises a determinant, so the
+    steps end. The table is kept."""
     now = keep(_starts(rows), "quality-start")
     for _ in range(2):
         after = keep(_step(rows, now, share), "quality-step")
@@ -241,55 +239,87 @@ def least_determinant(rows: DataFrame, share: float = 0.75, most_steps: int = 30
         now = after
     best = now.groupBy("_q_group").agg(F.min_by(F.struct("_q_start", "_q_mean", "_q_inverse", "det"), F.struct("det", "_q_start")).alias("b"))
     now = keep(best.select("_q_group", "b.*"), "quality-step")
-    for _ in range(most_steps):
+    while True:
         after = keep(_step(rows, now, share), "quality-step")
         fell = after.alias("x").join(now.alias("y"), "_q_group").where("x.det < y.det - 1e-9").limit(1).count()
         drop(now)
         now = after
         if not fell:
-            break
-    return now
+            return now
 
 
-def fit(stats: DataFrame, share: float = 0.75, min_group: int = 100) -> tuple[DataFrame, DataFrame]:
-    """The groups and their estimates from all rows of measured() that have a word. Both tables are kept."""
-    groups = keep(grouped(stats, min_group), "quality-groups")
-    rows = keep(vectors_of(stats, groups), "quality-vectors")
+#: Rows at which an estimate weighs as much as the one above it.
+FEW = 100
+#: The standard deviations, in floors, of the estimate above that of all texts.
+WIDE = 10.0
+LEVELS = "_q_lang string, _q_source string, _q_mean array<double>, _q_inverse array<double>, own_weight double"
+
+
+def mixed(n: float, mean: np.ndarray, cov: np.ndarray, above: tuple[np.ndarray, np.ndarray], few: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of a mixture of an estimate of n rows and the one above, their distance included."""
+    w = n / (n + few)
+    apart = mean - above[0]
+    return w * mean + (1 - w) * above[0], w * cov + (1 - w) * above[1] + w * (1 - w) * np.outer(apart, apart)
+
+
+def fit(stats: DataFrame, share: float = 0.75, few: float = FEW) -> DataFrame:
+    """(_q_lang, _q_source, _q_mean, _q_inverse, own_weight) from all rows of measured() that have a word. The table, a row
+    for each language and source, is kept."""
+    rows = keep(vectors_of(stats), "quality-vectors")
     best = least_determinant(rows, share)
     # once more, from the rows that the estimate finds normal
     near = rows.join(best, "_q_group").where(distance() <= chi2_quantile(0.975, P))
-    final = keep(_estimates(near.groupBy("_q_group", "_q_start").agg(*sums(F.col("_q_n"))), consistency(0.975, P)), "quality-estimates")
-    drop(best, rows)
-    return groups, final
-
-
-def judged(stats: DataFrame, groups: DataFrame, estimates: DataFrame, cutoff: float) -> DataFrame:
-    """measured() rows with distance, pool and kept. The two tables hold a row for each language and source."""
-    rows = stats.join(groups, ["_q_lang", "_q_source"], "left").join(estimates.select("_q_group", "_q_mean", "_q_inverse"), "_q_group", "left")
+    final = keep(_estimates(near.groupBy("_q_group", "_q_start").agg(*sums(F.col("_q_n"))), consistency(0.975, P)), "quality-final")
+    sizes = rows.groupBy("_q_group").agg(F.sum("_q_n").alias("n"))
+    levels = keep(final.join(sizes, "_q_group").select("_q_group", F.struct("n", "_q_mean", "_q_inverse").alias("e")), "quality-levels")
+    named = stats.where("n_words > 0").select("_q_lang", "_q_source").distinct()
+    for name, key in (("all", F.lit(ALL)), ("lang", level("lang", "_q_lang")), ("source", level("source", "_q_lang", "_q_source"))):
+        named = named.withColumn("_key", key).join(levels.select(F.col("_q_group").alias("_key"), F.col("e").alias(name)), "_key").drop("_key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                now = np.array(r["all"]["_q_mean"]), np.eye(P) * (STEPS * WIDE) ** 2
+                for name in ("all", "lang", "source"):
+                    e = r[name]
+                    now = mixed(e["n"], np.array(e["_q_mean"]), np.linalg.inv(np.array(e["_q_inverse"]).reshape(P, P)), now, few)
+                out.append({"_q_lang": r["_q_lang"], "_q_source": r["_q_source"], "_q_mean": now[0].tolist(), "_q_inverse": np.linalg.inv(now[1]).ravel().tolist(), "own_weight": r["source"]["n"] / (r["source"]["n"] + few)})
+            numbers = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("_q_lang", pa.string()), ("_q_source", pa.string()), ("_q_mean", numbers), ("_q_inverse", numbers), ("own_weight", pa.float64())]))
+
+    out = keep(named.mapInArrow(run, LEVELS), "quality-estimates")
+    drop(best, rows, final, levels)
+    return out
+
+
+def judged(stats: DataFrame, estimates: DataFrame, cutoff: float) -> DataFrame:
+    """The carried columns and OUTPUT. A text whose group has no estimate has no words, so it failed."""
+    rows = stats.join(estimates, ["_q_lang", "_q_source"], "left")
     rows = rows.withColumns(dict(zip(Y, vector(), strict=True))).withColumn("distance", distance())
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance") <= cutoff, F.lit(True)) | (F.col("pool") == "too small"))
-    return rows.withColumn("kept", kept).drop(*[c for c in rows.columns if c.startswith("_q_")])
+    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
+    names = [f.name for f in stats.schema["_q_row"].dataType if f.name != "_q"]
+    return rows.withColumn("kept", kept).select(*[F.col("_q_row")[n].alias(n) for n in names], *OUTPUT)
 
 
 #: The share of normal texts of a clean group that the cut-off would still keep.
 NORMAL_SHARE = 1 - 1e-7
 
 
-def quality(docs: DataFrame, min_group: int = 100, normal_share: float = NORMAL_SHARE) -> DataFrame:
-    """docs (doc_id, text, lang, source and any more) with BASE, base_failed, pool, distance, kept."""
-    light = keep(measured(docs.select("text", "lang", "source")).drop("text", "lang", "source"), "quality-statistics")
-    groups, estimates = fit(light, min_group=min_group)
+def quality(docs: DataFrame, few: float = FEW, normal_share: float = NORMAL_SHARE) -> DataFrame:
+    """docs (doc_id, text, lang, source and any more) with OUTPUT."""
+    light = keep(measured(docs, []), "quality-statistics")
+    estimates = fit(light, few=few)
     drop(light)
-    return judged(measured(docs), groups, estimates, chi2_quantile(normal_share, P))
+    return judged(measured(docs, [c for c in docs.columns if c not in OUTPUT]), estimates, chi2_quantile(normal_share, P))
 
 
-def quality_report(docs: DataFrame, min_group: int = 100, normal_share: float = NORMAL_SHARE) -> DataFrame:
-    """As quality(), without the text: the statistics are computed once."""
-    light = keep(measured(docs.select("doc_id", "text", "lang", "source")).drop("text"), "quality-statistics")
-    groups, estimates = fit(light, min_group=min_group)
-    return judged(light, groups, estimates, chi2_quantile(normal_share, P))
+def quality_report(docs: DataFrame, few: float = FEW, normal_share: float = NORMAL_SHARE) -> DataFrame:
+    """doc_id, lang, source and OUTPUT, without the text: the statistics are computed once."""
+    light = keep(measured(docs, ["doc_id", "lang", "source"]), "quality-statistics")
+    return judged(light, fit(light, few=few), chi2_quantile(normal_share, P))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_report(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
-    return rows.select("doc_id", *BASE, "base_failed", "kept", "distance", "pool")
+    return rows.select("doc_id", *OUTPUT)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import re
 
 import numpy as np
@@ -410,10 +411,10 @@ def test_quality_rejects_outliers_only(spark):
     junk = [" ".join(w + "###" for w in text(150).split()) for _ in range(20)] + ["\n".join([text(12)] * 10 + [text(60)]) for _ in range(3)]
     short, empty = [text(10)] * 5, ["", None]
     docs = documents(spark, clean + junk + short + empty, lang="en", source="s").withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))
-    rows = {r.doc_id: r for r in quality.quality(docs.withColumn("kept", F.lit("clash")), min_group=50).collect()}
+    rows = {r.doc_id: r for r in quality.quality(docs.withColumn("kept", F.lit("clash"))).collect()}
     assert len(rows) == 330 and all(rows[i].kept for i in range(300))
     assert not any(rows[i].kept for i in range(300, 330))
-    again = {r.doc_id: (r.kept, r.distance) for r in quality.quality_report(docs.repartition(7), min_group=50).collect()}
+    again = {r.doc_id: (r.kept, r.distance) for r in quality.quality_report(docs.repartition(7)).collect()}
     assert again == {i: (r.kept, r.distance) for i, r in rows.items()}  # reruns agree to the last bit
     assert quality.quality_report(docs.limit(0)).count() == 0
 
@@ -442,8 +443,9 @@ def test_estimates_equal_a_search_of_all_subsets(spark):
 def test_quality_of_odd_columns_and_long_texts(spark):
     texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(8)] + ["long word " * 100_000, None]
     rows = documents(spark, texts, lang="en", source="s", mean="m", inverse="i", y0="y", pool="clash", det="d")
-    got = quality.quality(rows, min_group=5).orderBy("doc_id").collect()
-    assert [r.pool for r in got] == ["source"] * 10 and {(r.mean, r.inverse, r.y0, r.det) for r in got} == {("m", "i", "y", "d")}
+    rows = rows.withColumns({"_q_row": F.lit("row"), "_q_lang": F.lit("l"), "own_weight": F.lit("clash")})
+    got = quality.quality(rows).orderBy("doc_id").collect()
+    assert {(r.mean, r.inverse, r.y0, r.det, r.pool, r._q_row, r._q_lang) for r in got} == {("m", "i", "y", "d", "clash", "row", "l")}
     assert [r.kept for r in got] == [True] * 8 + [False] * 2 and got[8].n_repeat_words == 200_000
 
 
@@ -488,9 +490,57 @@ def test_style_of_another_medium_and_short_comments():
     assert html_text.render("a<!-->b<!--->c<!-- no -->d") == "abcd"
 
 
-def test_texts_of_a_small_last_pool_are_kept(spark):
-    """A few estimates' worth of other languages don't reject a clean text; a table of 20 or more rows is judged."""
+
+
+def test_every_group_has_its_own_estimate(spark):
+    """Few texts of other languages don't reject a clean text, and junk goes in a table of any size."""
     texts = [" ".join(f"w{i}{k}" for k in range(60)) for i in range(20)] + [" ".join("#" * 40 + str(k) for k in range(60))]
     rows = spark.createDataFrame([(i, t, "abc"[i % 3], "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
-    assert all(r.kept for r in quality.quality_report(rows, min_group=100).collect())
-    assert [r.doc_id for r in quality.quality_report(rows, min_group=20).collect() if not r.kept] == [20]
+    got = quality.quality_report(rows).collect()
+    assert [r.doc_id for r in got if not r.kept] == [20] and {round(r.own_weight, 9) for r in got} == {round(7 / 107, 9)}
+    assert quality.quality_report(rows.where("doc_id = 3")).head().kept
+
+
+def plain_estimate(y, h):
+    """Mean and covariance by a search of all subsets, and once more from the rows that it finds normal."""
+    ridge, best = np.eye(5) * quality.STEPS**2, None
+    for chosen in itertools.combinations(range(len(y)), h):
+        part = y[list(chosen)]
+        cov = np.cov(part.T, bias=True) * quality.consistency(0.75, 5) + ridge
+        det = np.linalg.slogdet(cov)[1]
+        if best is None or det < best[0] - 1e-9:
+            best = det, part.mean(axis=0), cov
+    far = np.einsum("ni,ij,nj->n", y - best[1], np.linalg.inv(best[2]), y - best[1])
+    near = y[far <= quality.chi2_quantile(0.975, 5)]
+    return near.mean(axis=0), np.cov(near.T, bias=True) * quality.consistency(0.975, 5) + ridge
+
+
+def test_verdicts_equal_the_rule_by_brute_force(spark):
+    """Distances and verdicts of the whole rule: searched estimates on three levels, mixed by their sizes."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), rng.integers(3, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words, int(n))) for n in rng.integers(60, 260, 16)]
+    texts[5] = " ".join(w + "#$" for w in texts[5].split())
+    texts[10] = "\n".join([texts[10]] + [" ".join(words[:20])] * 6)
+    keys = [("en" if i < 9 else None, "web" if i % 2 else "book") for i in range(16)]
+    rows = spark.createDataFrame([(i, t, *k) for i, (t, k) in enumerate(zip(texts, keys))], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality_report(rows, few=4).collect()}
+
+    def steps(t):
+        n_words, chars, symbols, dup, repeat, lines = quality.text_statistics(t)
+        values = math.log(n_words), math.log(chars / n_words), symbols / chars, dup / lines, repeat / n_words
+        return [math.floor(v / f * quality.STEPS + 0.5) for v, f in zip(values, quality.FLOORS)]
+
+    y = np.array([steps(t) for t in texts], dtype=float)
+    for i, key in enumerate(keys):
+        now = np.zeros(5), np.eye(5) * (quality.STEPS * quality.WIDE) ** 2
+        for n, part in enumerate(([True] * 16, [k[0] == key[0] for k in keys], [k == key for k in keys])):
+            mine = y[np.array(part)]
+            mean, cov = plain_estimate(mine, math.ceil(0.75 * len(mine)))
+            above = (mean, now[1]) if not n else now
+            w, apart = len(mine) / (len(mine) + 4), mean - above[0]
+            now = w * mean + (1 - w) * above[0], w * cov + (1 - w) * above[1] + w * (1 - w) * np.outer(apart, apart)
+        far = (y[i] - now[0]) @ np.linalg.inv(now[1]) @ (y[i] - now[0])
+        assert abs(got[i].distance - far) < 1e-6 * max(1, far), i
+        assert got[i].kept == (not got[i].base_failed and far <= quality.chi2_quantile(quality.NORMAL_SHARE, 5))
+    assert {i for i, r in got.items() if not r.kept} == {5}
