@@ -75,11 +75,12 @@ def exact_groups(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
 def drop_copies(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
     rows = exact_groups(docs, hash_bits).where("kept")
-    sums = docs.withColumn("_sha", F.sha2(text_or_empty(), 256))
-    match = sums["doc_id"].eqNullSafe(rows["doc_id"]) & (sums["_sha"] == rows["text_sha256"])
+    # the caller's columns are one, so no name of theirs meets ours
+    sums = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), F.sha2(text_or_empty(), 256).alias("_sha"))
+    match = sums["_doc"].eqNullSafe(rows["doc_id"]) & (sums["_sha"] == rows["text_sha256"])
     stay = sums.join(rows.select("doc_id", "text_sha256"), match, "left_semi")
     # rows that repeat both doc_id and text are one document; they are few, so the window's keys are single rows
-    return stay.dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    return stay.dropDuplicates(["_doc", "_sha"]).select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

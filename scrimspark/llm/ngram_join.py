@@ -485,8 +485,9 @@ def first_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFra
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("first")
     stay = rows.where("label IS NOT NULL").groupBy("label").agg(first).select("first._key")
     stay = stay.unionByName(rows.where("label IS NULL").select("_key")).withColumnRenamed("_key", "_ngram_key")
-    kept = docs.withColumn("_ngram_key", row_key()).join(stay, "_ngram_key", "left_semi")
-    return kept.dropDuplicates(["_ngram_key"]).select(*docs.columns)
+    # the caller's columns are one, so no name of theirs meets ours
+    kept = docs.select(F.struct(*docs.columns).alias("_row"), row_key().alias("_ngram_key")).join(stay, "_ngram_key", "left_semi")
+    return kept.dropDuplicates(["_ngram_key"]).select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

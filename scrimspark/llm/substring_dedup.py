@@ -322,9 +322,12 @@ def named(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, length: int = 100, many: int = MANY) -> DataFrame:
     """docs (doc_id, text and any more) with n_bytes, removed (array of struct(start, end), the maximal removed runs of
     bytes) and kept (binary: what is left) in place of text."""
-    docs = named(docs.drop("n_bytes", "removed", "kept"))
+    docs = docs.drop("n_bytes", "removed", "kept")
+    # the caller's columns go by their place, so that no name of theirs meets ours
+    carried = {f"_in{i}": c for i, c in enumerate(c for c in docs.columns if c != "text")}
+    docs = named(docs.select("doc_id", "text", *[F.col(c).alias(n) for n, c in carried.items()]))
     spans = repeated_spans(docs.select("id", "_sub", text_or_empty().alias("text")), length, many)
-    rows = docs.join(spans, ["id", "_sub"], "left").drop("id", "_sub")
+    rows = docs.join(spans, ["id", "_sub"], "left").drop("id", "_sub", "doc_id")
     fields = [f for f in rows.schema.fields if f.name not in ("text", "spans")]
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([*fields, T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(span)), T.StructField("kept", T.BinaryType())])
@@ -349,7 +352,7 @@ def without_repeats(docs: DataFrame, length: int = 100, many: int = MANY) -> Dat
                 kept.append(b"".join([*left, data[at:]]))
             yield b.drop(columns=["text", "spans"]).assign(n_bytes=sizes, removed=removed, kept=kept)
 
-    return rows.mapInPandas(cut, schema)
+    return rows.mapInPandas(cut, schema).select(*[F.col(n).alias(c) for n, c in carried.items()], "n_bytes", "removed", "kept")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

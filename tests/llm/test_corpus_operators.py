@@ -337,3 +337,16 @@ def test_mix_agrees_between_reruns(spark):
     assert got[0] == got[1] == got[2] and len(got[0]) == 120
     shards = docs.select(F.conv(F.substring(mixing._digest("mix"), 1, 8), 16, 10).cast("long") % 8).distinct().count()
     assert shards == 8
+
+
+def test_columns_named_like_internal_ones_are_kept(spark):
+    """In every operator that returns the caller's rows; a null doc_id and a very long text among them."""
+    names = ("id", "spans", "_sub", "_key", "_sha", "_doc", "_row", "_ngram_key", "kinds", "_in0", "bytes", "label", "entry")
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(1, long), (2, long), (None, "a short text of its own"), (None, None)]
+    docs = spark.createDataFrame([(*r, *[f"{n} of {i}" for n in names]) for i, r in enumerate(rows)], ", ".join(["doc_id long", "text string", *[f"`{n}` string" for n in names]]))
+    for out, stay in ((exact_dedup.drop_copies(docs), {1, 2, 3}), (ngram_join.first_of_each(docs), {0, 2, 3}), (substring_dedup.without_repeats(docs), {0, 1, 2, 3})):
+        assert set(docs.columns) - {"text"} <= set(out.columns)
+        got = out.collect()
+        assert {r.id for r in got} == {f"id of {i}" for i in stay}
+        assert all(r[n] == f"{n} of {r.id[-1]}" for r in got for n in names)
