@@ -69,29 +69,38 @@ def probes(h: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([mix64(h + np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64))) & np.uint64(bits - 1) for i in range(PROBES)], axis=1).astype(np.int64)
 
 
+def has(filter_: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether all bits of each row of places are set."""
+    return ((filter_[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1).all(axis=1)
+
+
+def put(filter_: np.ndarray, places: np.ndarray) -> None:
+    p = np.unique(places)
+    if len(p):
+        starts = np.flatnonzero(np.diff(p >> 3, prepend=-1))
+        filter_[p[starts] >> 3] |= np.bitwise_or.reduceat((0x80 >> (p & 7)).astype(np.uint8), starts)
+
+
 class Filters:
-    """The two filters of a task, as arrays of bits in bytes."""
+    """The two filters of a task, eight bits to a byte."""
 
     def __init__(self, bits: int):
-        self.bits, self.once, self.twice = bits, np.zeros(bits, dtype=bool), np.zeros(bits, dtype=bool)
+        self.bits, self.once, self.twice = bits, np.zeros(bits // 8, dtype=np.uint8), np.zeros(bits // 8, dtype=np.uint8)
 
     def add(self, h: np.ndarray) -> None:
         """Hashes that are all of different lines or documents."""
         distinct, counts = np.unique(h, return_counts=True)
         places = probes(distinct, self.bits)
-        again = (counts > 1) | self.once[places].all(axis=1)
-        self.twice[places[again].ravel()] = True
-        self.once[places.ravel()] = True
+        again = (counts > 1) | has(self.once, places)
+        put(self.twice, places[again])
+        put(self.once, places)
 
     def segments(self) -> Iterator[tuple[int, bytes, bytes]]:
-        for s in range(0, self.bits, SEGMENT):
-            once = self.once[s : s + SEGMENT]
+        size = SEGMENT // 8
+        for s in range(0, self.bits // 8, size):
+            once = self.once[s : s + size]
             if once.any():
-                yield s // SEGMENT, packed(once), packed(self.twice[s : s + SEGMENT])
-
-
-def packed(bits: np.ndarray) -> bytes:
-    return zlib.compress(np.packbits(bits).tobytes(), 1)
+                yield s // size, zlib.compress(once.tobytes(), 1), zlib.compress(self.twice[s : s + size].tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -153,8 +162,7 @@ def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, most_bits: in
     def suspected(texts: pa.Array) -> pa.Array:
         seen = np.frombuffer(filter_.value, dtype=np.uint8)
         doc, place, key, h = long_lines(texts, min_chars)
-        bit = probes(h, len(seen) * 8)
-        at = np.flatnonzero(((seen[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1).all(axis=1))
+        at = np.flatnonzero(has(seen, probes(h, len(seen) * 8)))
         found = pa.StructArray.from_arrays([pa.array(place[at].astype(np.int32)), pa.array(key[at], pa.string())], names=["_at", "_key"])
         ends = np.searchsorted(doc[at], np.arange(len(texts) + 1))
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), found)
