@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import math
 import tempfile
 import time
 import uuid
@@ -39,6 +40,16 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A table of more rows is left in the partitions that it has.
+SMALL = 1 << 17
+
+
+def gathered(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """df, which has at most so many rows, in partitions of about ``each`` if they are few. Else a table of some hundred
+    rows is written, and read again, as so many files as there are shuffle partitions."""
+    return df.coalesce(max(1, math.ceil(rows / each))) if rows <= SMALL else df
+
+
 def small_batches(spark: SparkSession) -> None:
     """Texts go to Python in batches of 1,000 rows, unless the session says otherwise: 10,000 texts, Spark's default, and
     what is made of them are some hundred megabytes in each worker."""

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, keep
+from .common import drop, gathered, keep
+
+#: Labels of a task, where they are few.
+LABELS = 1 << 14
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -16,13 +19,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     the join, which adaptive execution splits.
     """
     both = keep(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "component-edges")
-    labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "component-labels")
+    rows = both.count()
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label"))
+    labels = keep(gathered(labels, rows, LABELS), "component-labels")
     for _ in range(rounds):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("least"))
         spread = labels.join(near, labels["node"] == near["a"], "left").select("node", F.least("label", "least").alias("next"), "label")
         jump = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
         after = spread.join(jump, spread["next"] == jump["_n"], "left").select("node", F.least("next", "_l").alias("label"), (F.least("next", "_l") != F.col("label")).alias("changed"))
-        after = keep(after, "component-labels")
+        after = keep(gathered(after, rows, LABELS), "component-labels")
         moving = after.where("changed").limit(1).count()
         drop(labels)
         labels = after

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop, keep, small_batches, table
+from .common import drop, gathered, keep, small_batches, table
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -181,6 +181,9 @@ def level(name: str, *columns: str) -> Column:
 BINS = 1024
 #: Seeded quarters of the vectors that are starts besides the quartiles and all rows.
 SEEDS = (1, 2)
+STARTS = 2 + len(SEEDS)
+#: Estimates of a task, where they are few.
+ESTIMATES = 8
 
 
 def _starts(rows: DataFrame) -> DataFrame:
@@ -232,15 +235,16 @@ def vectors_of(stats: DataFrame) -> DataFrame:
 def least_determinant(rows: DataFrame, share: float = 0.75) -> DataFrame:
     """The minimum-covariance-determinant estimate of each group of vectors_of(). A step never raises a determinant, so the
     steps end. The table is kept."""
-    now = keep(_starts(rows), "quality-start")
+    groups = rows.select("_q_group").distinct().count()
+    now = keep(gathered(_starts(rows), groups * STARTS, ESTIMATES), "quality-start")
     for _ in range(2):
-        after = keep(_step(rows, now, share), "quality-step")
+        after = keep(gathered(_step(rows, now, share), groups * STARTS, ESTIMATES), "quality-step")
         drop(now)
         now = after
     best = now.groupBy("_q_group").agg(F.min_by(F.struct("_q_start", "_q_mean", "_q_inverse", "det"), F.struct("det", "_q_start")).alias("b"))
-    now = keep(best.select("_q_group", "b.*"), "quality-step")
+    now = keep(gathered(best.select("_q_group", "b.*"), groups, ESTIMATES), "quality-step")
     while True:
-        after = keep(_step(rows, now, share), "quality-step")
+        after = keep(gathered(_step(rows, now, share), groups, ESTIMATES), "quality-step")
         fell = after.alias("x").join(now.alias("y"), "_q_group").where("x.det < y.det - 1e-9").limit(1).count()
         drop(now)
         now = after

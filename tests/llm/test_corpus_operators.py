@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scrimspark.llm import components, exact_dedup, mixing, ngram_join, substring_dedup
+from scrimspark.llm import components, exact_dedup, mixing, ngram_join, quality, substring_dedup
 
 rng = np.random.default_rng(3)
 WORDS = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 8))) for _ in range(800)]
@@ -180,6 +180,24 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_small_tables_are_few_files(spark):
+    """The number of shuffle partitions doesn't matter, also where adaptive execution doesn't coalesce them."""
+    names = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        labels = components.components(spark.range(400).selectExpr("id AS a", "id + 1 - id % 2 AS b"))
+        assert {r.node: r.label for r in labels.collect()} == {i: i - i % 2 for i in range(400)}
+        assert len(labels.inputFiles()) == 1
+        rows = spark.range(900).selectExpr("concat('g', id % 6) AS _q_group", *[f"(id * {7 + 2 * i}) % 31 AS _q_y{i}" for i in range(5)], "1L AS _q_n")
+        best = quality.least_determinant(rows.cache())
+        assert best.count() == 6 and len(best.inputFiles()) == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def brute_repeats(texts, length):
     seen, out = set(), {}
     for i, t in enumerate(texts):
