@@ -97,8 +97,7 @@ def match_pages(spark: SparkSession, d: str) -> DataFrame:
         F.lit('<html><body><div class="date" data-unix="'), ms, F.lit('">x</div><div class="veto-box"><div class="padding preformatted-text">Best of 3</div></div><div class="veto-box"><div class="padding">'), "vetoes",
         F.lit("<div>9. Someone banned Nuke</div><div>9 Someone picked Nuke</div><div>9. Moon was left over</div><div>Nuke was left over</div><div> </div></div></div>"), "holders", demo, F.lit('<div class="lineups">'), "lineups", F.lit("</div>"), "tabs", "tables", F.lit("</body></html>"),
     )
-    # parsing is what costs, so the pages are spread over more tasks than their bytes ask for
-    return rows.select(F.col("match_id").alias("page_id"), "match_id", html.alias("html")).repartition(32, "page_id")
+    return rows.select(F.col("match_id").alias("page_id"), "match_id", html.alias("html"))
 
 
 def payload_json(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from scrimspark.functions import dom
 from scrimspark.functions.dom import parse
 from scrimspark.functions.lookups import MAPS as MAP_NAMES
 from scrimspark.operators import pages as P
@@ -136,3 +137,27 @@ def test_malformed_events_and_event_teams(spark):
     assert [r.name for r in P.extract_events(pages(spark, html)).collect()] == ["Cup"]
     teams = '<div class="team-box"><div class="team-name"><div class="text">A</div></div></div><div class="team-box"><div class="team-name">B</div></div><div class="team-box">'
     assert [r.team_name for r in P.extract_event_teams(pages(spark, teams)).collect()] == ["A"]
+
+
+def test_a_selector_looks_only_at_elements_that_can_fit(monkeypatch):
+    page = parse('<div class="holder"><div class="name">A</div>' + '<p class="other"><i>x</i></p>' * 500 + '</div><div id="7">B</div>')
+    looked, fits = [], dom._fits
+    monkeypatch.setattr(dom, "_fits", lambda node, *more: looked.append(node) or fits(node, *more))
+    assert (page.first(".holder .name").text(), page.first("[id='7']").text()) == ("A", "B")
+    assert page.first(".missing") is None
+    assert len(looked) < 10
+
+
+def test_plain_pages_are_read_as_html_parser_reads_them(monkeypatch):
+    bits = ['<div class="a b">', "<div>", "</div>", '<p id="x">', "</p>", '<i class="c">', "</i>", "<br>", "<br/>", "<div/>", "t", " a &amp; b&lt", "<P CLASS='a'>", "<!-- c -->", "< ", "<a b>", '<a href="?a=1&copy=2">', "</ i>"]
+    r = random.Random(3)
+
+    def shape(n):
+        return n.tag, n.attrs, n.classes, n.text(" "), [shape(c) if isinstance(c, dom.Node) else c for c in n.children], [len(n.select(s)) for s in (".a", "i", "#x", "div > .c", ".a.b, p", "[href^='?']")]
+
+    htmls = ["".join(r.choices(bits[: r.choice((12, len(bits)))], k=r.randint(0, 12))) for _ in range(3000)]
+    plain = [dom._plain(h) is not None for h in htmls]
+    assert 500 < sum(plain) < 2900
+    fast = [shape(parse(h)) for h in htmls]
+    monkeypatch.setattr(dom, "_plain", lambda html: None)
+    assert fast == [shape(parse(h)) for h in htmls]
