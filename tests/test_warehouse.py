@@ -187,6 +187,18 @@ def test_a_batch_writes_its_buckets_only(spark, tables, tmp_path):
     assert not any("numbered" in str(p) for p in tmp_path.rglob("*"))
 
 
+def test_numbers_outgrow_32_bits(spark, tables, tmp_path):
+    top, root = 5_400_000_000, str(tmp_path / "w")
+    maps, veto, stats = (top, 2, 1, *[None] * 6), (top, 2, 1, 1, 1, 1), (top, top, 1, 1, *[None] * 6)
+    old = {n: spark.createDataFrame([row], TABLES[n]) for n, row in (("match_maps", maps), ("match_veto", veto), ("player_stats", stats))}
+    create_tables(spark, root, tables | old, 4)
+    load_payloads(spark, root, spark.createDataFrame([payload()], PAYLOAD))
+    now = current_tables(spark, root)
+    numbers = {n: sorted(r[0] - top for r in now[n].select(c).collect()) for n, c in (("match_maps", "match_map_id"), ("match_veto", "veto_id"), ("player_stats", "stat_id"))}
+    assert numbers == {"match_maps": [0, 1, 2], "match_veto": [0, 1, 2, 3], "player_stats": [0, 1, 2, 3]}
+    assert {r[0] - top for r in now["player_stats"].select("match_map_id").collect()} == {0, 1, 2}
+
+
 def test_a_killed_batch_leaves_the_old_version(spark, tables, tmp_path):
     store = store_of(spark, tables, str(tmp_path / "w"), 20, 4)
     before = rows_of(store.tables())
