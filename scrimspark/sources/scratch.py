@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import threading
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -29,10 +31,19 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written once and read back: what several plans read is worked out once, and survives a lost executor."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of finished steps now, not when the driver's heap happens to fill.
+    It takes two rounds: what holds a shuffle is let go by the first."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Deletes, at its end, what was made in it: nothing returned from it may still read that."""

@@ -135,7 +135,7 @@ class Store:
             rows = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in layout.stored])
             bucket = bucket_of(F.col(layout.key), n) if layout.key else F.lit(0)
             path = f"{data}/{name}"
-            rows.withColumn("bucket", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/{path}")
+            rows.withColumn("bucket", bucket).hint("rebalance", "bucket").write.option("compression", "zstd").partitionBy("bucket").parquet(f"{self.root}/{path}")
             there = self._files.listStatus(self._fs.Path(f"{self.root}/{path}"))
             new = {int(f.removeprefix("bucket=")): f"{path}/{f}" for f in (s.getPath().getName() for s in there) if f.startswith("bucket=")}
             gone = touched.get(name)
