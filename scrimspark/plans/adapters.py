@@ -56,14 +56,16 @@ VIEWS: dict[str, str] = {
 IN_SPARK = (("date_part('epoch', ts)", "unix_micros(CAST(ts AS TIMESTAMP)) / 1000000.0D"),)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The view, or the driver's table of that name, as a DataFrame."""
+def view(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The view, or the driver's table of that name, as a DataFrame. given: what stands for some of the tables."""
+    if given and name in given:
+        return given[name]
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = VIEWS[name]
     for there, here in IN_SPARK:
         sql = sql.replace(there, here)
-    return spark.sql(sql, **{n: view(spark, sf_dir, n) for n in dict.fromkeys(re.findall(r"\{(\w+)\}", sql))})
+    return spark.sql(sql, **{n: view(spark, sf_dir, n, given) for n in dict.fromkeys(re.findall(r"\{(\w+)\}", sql))})
 
 
 def with_views(*names: str, body: str) -> str:

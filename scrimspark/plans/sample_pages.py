@@ -65,10 +65,10 @@ def result_pages(spark: SparkSession, d: str) -> DataFrame:
 
 def match_pages(spark: SparkSession, d: str) -> DataFrame:
     """(page_id, match_id, html): a page for each match with date, maps, vetoes, one line-up, and a tab for each map."""
-    maps, teams = view(spark, d, "maps"), view(spark, d, "teams")
+    maps, teams, given = view(spark, d, "maps"), view(spark, d, "teams"), by_match(spark, d)
     text = F.col
     s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    played = view(spark, d, "match_maps").join(maps, "map_id")
+    played = view(spark, d, "match_maps", given).join(F.broadcast(maps), "map_id")
     span = lambda kind, c: F.concat(F.lit(f'<span class="{kind}">'), s(c), F.lit("</span>"))
     holder = F.concat(
         F.lit('<div class="mapholder"><div class="mapname">'), "map_name", F.lit('</div><div class="results-left"><div class="results-team-score">'), s("team1_score"),
@@ -77,7 +77,7 @@ def match_pages(spark: SparkSession, d: str) -> DataFrame:
     )
     tab = F.concat(F.lit('<div class="stats-menu-link"><div class="dynamic-map-name-full" id="m'), s("map_id"), F.lit('">'), "map_name", F.lit("</div></div>"))
     by_map = played.groupBy("match_id").agg(joined(F.struct("map_id", holder.alias("html"))).alias("holders"), joined(F.struct("map_id", tab.alias("html"))).alias("tabs"))
-    veto = view(spark, d, "match_veto").join(maps, "map_id").join(teams, "team_id", "left")
+    veto = view(spark, d, "match_veto", given).join(F.broadcast(maps), "map_id").join(teams, "team_id", "left")
     # in the spellings that pages have
     spelled = lambda *of: F.element_at(F.array(*map(F.lit, of)), (F.col("match_id") % len(of) + 1).cast("int"))
     over = spelled(" was left over", " was left over(decider)", " Left-Over (decider)", " WAS  LEFTOVER", " left over")
@@ -100,18 +100,32 @@ def match_pages(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("match_id").alias("page_id"), "match_id", html.alias("html"))
 
 
+def by_match(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The largest table dealt out by match, so that what the views and pages group by match isn't exchanged again."""
+    return {"lineitem": view(spark, d, "lineitem").repartition("l_orderkey")}
+
+
 def payload_json(spark: SparkSession, d: str) -> DataFrame:
-    """(value): a JSON document for each match."""
-    teams = view(spark, d, "teams")
-    veto = view(spark, d, "match_veto").join(teams, "team_id", "left")
+    """(value): a JSON document for each match. Every player of a match has the lines of all its maps, as often as the
+    line-up names the player."""
+    teams, given = view(spark, d, "teams"), by_match(spark, d)
+    veto = view(spark, d, "match_veto", given).join(teams, "team_id", "left")
     vetoes = veto.groupBy("match_id").agg(F.collect_list(F.struct(F.col("step").alias("stepNumber"), F.coalesce("team_name", F.lit("")).alias("teamName"), F.col("action_id").alias("vetoActionID"), F.col("map_id").alias("mapID"))).alias("matchVeto"))
-    played = view(spark, d, "match_maps")
     names = {f"team{n}{S}Score": f"team{n}_{s}score" for n in (1, 2) for s, S in (("", ""), ("t_", "T"), ("ct_", "CT"))}
-    results = played.where("team1_score IS NOT NULL").groupBy("match_id").agg(F.collect_list(F.struct(F.col("map_id").alias("mapID"), *[F.col(c).alias(n) for n, c in names.items()])).alias("results"))
+    result = F.struct(F.col("map_id").alias("mapID"), *[F.col(c).alias(n) for n, c in names.items()])
     line = F.struct(F.col("map_id").alias("mapID"), F.lit(1).alias("sideID"), F.col("team1_t_score").alias("kills"), F.col("team2_t_score").alias("deaths"), (F.col("team1_ct_score") + 0.5).alias("ADR"), F.lit(1.25).alias("swingPct"), (F.col("team2_ct_score") / 4).alias("rating"), F.lit("3.0").alias("ratingVersion"))
+    maps = view(spark, d, "match_maps", given).groupBy("match_id").agg(F.collect_list(F.when(F.col("team1_score").isNotNull(), result)).alias("results"), F.collect_list(line).alias("lines"))
     player = view(spark, d, "match_players").join(view(spark, d, "players"), "player_id").join(teams, "team_id")
-    stats = played.join(player, "match_id").groupBy("match_id", "alias", "team_name").agg(F.collect_list(line).alias("stats"))
-    players = stats.groupBy("match_id").agg(F.collect_list(F.struct("alias", F.col("team_name").alias("team"), "stats")).alias("players"))
-    rows = view(spark, d, "matches").join(vetoes, "match_id", "left").join(results, "match_id", "left").join(players, "match_id", "left")
+    named = player.groupBy("match_id", "alias", "team_name").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    line_ups = named.groupBy("match_id").agg(F.collect_list(F.struct("alias", "team_name", "n")).alias("line_up"))
+    rows = view(spark, d, "matches").join(vetoes, "match_id", "left").join(maps, "match_id", "left").join(line_ups, "match_id", "left")
+    of_player = lambda p: F.struct(p["alias"].alias("alias"), p["team_name"].alias("team"), F.flatten(F.array_repeat("lines", p["n"])).alias("stats"))
+    players = F.when(F.col("lines").isNotNull(), F.transform("line_up", of_player)).alias("players")
+    results = F.when(F.size("results") > 0, F.col("results")).alias("results")
     when = F.when(F.col("match_id") % 10 == 0, "").otherwise(F.date_format(F.col("match_date").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss"))
-    return rows.select(F.to_json(F.struct(F.col("match_id").alias("matchID"), when.alias("matchDate"), F.concat(F.lit("note "), F.col("match_id").cast("string")).alias("matchNotes"), F.col("demo_link").alias("demoLink"), "matchVeto", "players", "results")).alias("value"))
+    return rows.select(F.to_json(F.struct(F.col("match_id").alias("matchID"), when.alias("matchDate"), F.concat(F.lit("note "), F.col("match_id").cast("string")).alias("matchNotes"), F.col("demo_link").alias("demoLink"), "matchVeto", players, results)).alias("value"))
+
+
+def write_payloads(lines: DataFrame, path: str) -> None:
+    """lines (value) as compressed text. Such a file is one task's to read, so it holds no more than 100,000 lines."""
+    lines.write.option("compression", "gzip").option("maxRecordsPerFile", 100_000).text(path)

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from scrimspark.operators import warehouse as W
 from scrimspark.operators.numbering import numbered
+from scrimspark.plans import sample_pages as SP
 from scrimspark.schemas import PAYLOAD, TABLES
 from scrimspark.sources import frames as S
 from scrimspark.sources.store import Conflict
@@ -269,3 +271,30 @@ def test_bad_lines_are_put_aside_with_their_reason(spark, tables, tmp_path):
     lines.where("value <> ''").write.text(str(tmp_path / "in"))
     start_match_load(spark, str(tmp_path / "in"), root, str(tmp_path / "marks")).awaitTermination()
     assert {r.raw: r.reason for r in bad_payloads(spark, root).collect()} == {k: v for k, v in BAD.items() if k}
+
+
+def bytes_below(path):
+    return sum(p.stat().st_size for p in path.rglob("*") if p.is_file())
+
+
+def test_payload_files_are_compressed(spark, tmp_path):
+    """As text the payloads are many times the tables that they are made from."""
+    lines = SP.payload_json(spark, "/root/testdata/sf0.001")
+    SP.write_payloads(lines, str(tmp_path / "in"))
+    back = spark.read.text(str(tmp_path / "in"))
+    length = back.agg(F.sum(F.octet_length("value"))).head()[0]
+    assert back.count() == 1500 and bytes_below(tmp_path / "in") * 5 < length
+
+
+def test_what_a_split_writes_is_compressed_well(spark, tmp_path):
+    S.split_payloads(S.parse_payloads(spark.createDataFrame([("x" * 1000,), ("{}",)], "value string")), str(tmp_path / "split"))
+    files = [pq.ParquetFile(p) for p in (tmp_path / "split").rglob("*.parquet")]
+    assert files and {f.metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_payloads_and_pages_exchange_maps_once(spark):
+    """What is grouped by match is dealt out by match already: neither the maps' scores nor the lines of players are
+    exchanged again."""
+    for frame, most in ((SP.payload_json(spark, "/root/testdata/sf0.001"), 5), (SP.match_pages(spark, "/root/testdata/sf0.001"), 5)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= most
