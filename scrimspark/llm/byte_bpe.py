@@ -4,8 +4,9 @@ A text is cut into chunks of some hundred characters that overlap. Each chunk is
 starts. Two neighbours are stitched where their boundaries resynchronise: at the first boundary in the overlap that both
 found and that is certain. A boundary is certain if the two characters around it make it one whatever comes before and
 after, for instance a letter and a digit, a full stop and a letter, or anything and a space after it; so it is one of the
-whole text. The pieces between the stitches are encoded one by one and their ids concatenated. Neighbours without such a
-boundary stay in one piece. Texts of more than ``section`` characters are first dealt to several tasks, by sections that
+whole text. The matches between the stitches are encoded one by one and their ids concatenated. Neighbours without such a
+boundary stay in one piece, which is matched again. Where a text has characters that engines may class differently, what
+lies between its stitches is matched by the library. Texts of more than ``section`` characters are first dealt to several tasks, by sections that
 overlap and are stitched in the same way. Decoding concatenates the bytes of the ids.
 
 Nulls, ties, empty input: a null text counts as empty and has no ids; repeated rows give repeated rows; an empty table
@@ -19,8 +20,10 @@ from __future__ import annotations
 import base64
 import itertools
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -116,12 +119,82 @@ def stitches(text: str, chunk: int, overlap: int) -> list[int]:
     return out
 
 
+def matches(text: str, chunk: int, overlap: int) -> list[str]:
+    """The pattern's matches in a text: those of its chunks, from one stitch to the next. What lies between the stitches
+    of neighbours that aren't stitched to each other is matched again as a whole."""
+    find = splitter().findall
+    if len(text) <= chunk:
+        return find(text)
+    out: list[str] = []
+    since, whole = 0, True
+    left, left_ends = [], []
+    for start in range(0, len(text) - overlap, chunk - overlap):
+        right = find(text, start, start + chunk)
+        ends = list(itertools.accumulate(map(len, right), initial=start))[1:]
+        if start:
+            known = frozenset(left_ends[bisect_right(left_ends, start) :])
+            last = min(start + overlap, len(text) - 1)
+            cut = next((e for e in ends[: bisect_right(ends, last)] if e in known and certain(text, e)), None)
+            if cut is None:
+                whole = False
+            else:
+                out += left[bisect_right(left_ends, since) : bisect_right(left_ends, cut)] if whole else find(text[since:cut])
+                since, whole = cut, True
+        left, left_ends = right, ends
+    return out + (left[bisect_right(left_ends, since) :] if whole else find(text[since:]))
+
+
+#: Matches whose ids a worker remembers, at most, and their most characters.
+REMEMBERED, SHORT = 1 << 17, 32
+
+
+class Ids(dict):
+    """The ids of a match, little-endian unsigned 32-bit; those of short ones are remembered."""
+
+    def __init__(self, bpe):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, match: str) -> bytes:
+        found = self.bpe._encode_single_piece(match)
+        ids = pack(f"<{len(found)}I", *found)
+        if len(match) <= SHORT and len(self) < REMEMBERED:
+            self[match] = ids
+        return ids
+
+
+@lru_cache(maxsize=2)
+def remembered(bpe) -> Ids:
+    return Ids(bpe)
+
+
+def sure(text: str) -> bool:
+    """Whether all engines class all characters of a text alike. The long s counts as an s in 's to some."""
+    return all(map(CLASSES.__getitem__, set(text))) and "\u017f" not in text
+
+
 def encode_text(bpe, text: str, chunk: int, overlap: int) -> bytes:
-    """The ids of a text, little-endian unsigned 32-bit."""
+    """The ids of a text, little-endian unsigned 32-bit. The matches that the chunks found are encoded each by itself; a
+    text with characters that aren't sure is matched again by the library, between the stitches."""
+    if sure(text):
+        found = matches(text, chunk, overlap)
+        if sum(map(len, found)) == len(text):
+            return b"".join(map(remembered(bpe).__getitem__, found))
     cuts = [0, *stitches(text, chunk, overlap), len(text)]
     return b"".join(np.asarray(bpe.encode_ordinary(text[a:b]), dtype="<u4").tobytes() for a, b in itertools.pairwise(cuts))
 
 
+def once_each(do: Callable, values: Iterable) -> list:
+    """do(value) of each value, worked out once for neighbours that are equal, as the copies of a text in a mix are."""
+    out: list = []
+    before: list = []
+    for value in values:
+        if before != [value]:
+            before, found = [value], do(value)
+        out.append(found)
+    return out
+
+
 def seam(zone: str) -> int | None:
     """The first certain boundary in the overlap of two sections. It depends on the overlap alone, so both find the same."""
     return next((m.end() for m in splitter().finditer(zone) if m.end() < len(zone) and certain(zone, m.end())), None)
@@ -188,7 +261,7 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = 512, overlap:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = encoder(path)
         for b in batches:
-            yield b.drop(columns="text").assign(ids=[encode_text(bpe, t or "", chunk, overlap) for t in b["text"]])
+            yield b.drop(columns="text").assign(ids=once_each(lambda t: encode_text(bpe, t or "", chunk, overlap), b["text"]))
 
     short = docs.where(~long).mapInPandas(run, schema)
     rest = docs.where(long).select("text", F.struct(*(others or [F.lit(1).alias("_none")])).alias("_rest"))
@@ -204,7 +277,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = token_bytes(path)
         for b in batches:
-            texts = [b"".join(map(pieces.__getitem__, np.frombuffer(x, dtype="<u4").tolist())) for x in b["ids"]]
+            texts = once_each(lambda x: b"".join(map(pieces.__getitem__, np.frombuffer(x, dtype="<u4").tolist())), b["ids"])
             yield b.drop(columns="ids").assign(decoded=texts)
 
     return encoded.drop("decoded").mapInPandas(run, T.StructType([*fields, T.StructField("decoded", T.BinaryType())]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+import random
 import re
 
 import numpy as np
@@ -66,6 +67,32 @@ def test_bpe_equals_the_library_and_decodes(spark, chunk, overlap):
     assert byte_bpe.encode(docs.limit(0)).count() == 0
 
 
+def test_a_match_is_encoded_once_in_a_worker():
+    class Counting:
+        calls = 0
+
+        def _encode_single_piece(self, match):
+            self.calls += 1
+            return [len(match)]
+
+    bpe = Counting()
+    ids = np.frombuffer(byte_bpe.encode_text(bpe, "some words  come again" * 500, 64, 16), dtype="<u4")
+    assert bpe.calls <= 6 and ids.sum() == 22 * 500
+    assert byte_bpe.once_each(lambda x: bpe._encode_single_piece(x)[0], ["aa", "aa", "aa", "b", "aa"]) == [2, 2, 2, 1, 2]
+    assert bpe.calls <= 9
+
+
+def test_matches_of_chunks_are_those_of_the_whole():
+    r, bpe = random.Random(5), byte_bpe.encoder(byte_bpe.vocabulary_path())
+    bits = ["'s", "'LL", " ", "  ", "\n", "\r\n", "a", "Zebra", "über", "漢字", "123", "...", "\xa0", "🙂", "'", "don't", "ſ", "\x1c", "\x85", "ǅ", "٣", "\u200b"]
+    for _ in range(2000):
+        text = "".join(r.choices(bits[: r.choice((16, len(bits)))], k=r.randint(0, 60)))
+        assert byte_bpe.encode_text(bpe, text, 24, 8) == np.asarray(bpe.encode_ordinary(text), dtype="<u4").tobytes()
+        if byte_bpe.sure(text):
+            assert byte_bpe.matches(text, 24, 8) == byte_bpe.splitter().findall(text)
+    assert byte_bpe.matches("x" * 5000, 512, 64) == ["x" * 5000]
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.text(st.sampled_from("ab \n\t'sté1!.　日本。२\x85😀"), max_size=200), st.integers(3, 30), st.integers(1, 9))
 def test_stitches_are_boundaries_of_the_whole(text, more, overlap):
